@@ -1,26 +1,30 @@
 """Problem 8: passages of test items in the training text, by a distributed positional inverted index.
 
-The index is partitioned by documents: each batch of documents is a segment holding, for a term, its postings
-(document, position).  Terms outside the test items are never looked up and are not stored.  From each window of an
-item the rarest terms are probed; lists are intersected after subtracting the term's offset in the item, so that hits of
-one passage share a shift.  An exact check of the surviving pairs on the text follows.
+The index is partitioned by documents: a segment of documents holds, for each term, its postings (document, position).
+Terms outside the test items are never looked up and are not stored.  From each window of an item the rarest terms, by
+document frequency over the whole corpus, are probed; the lists are intersected after subtracting the term's offset in
+the item, so that the hits of one passage share a shift, and the surviving shifts are compared position by position.  All
+postings of a document lie in one segment, so nothing but document frequencies and results is shuffled.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import arrow_map, stored
+from indexloom.llm.common import stored
 
 #: Rarest offsets of a window that all must be hit, items looked up at a time; for a near match, different offsets hit and drift in words.
 PROBES, ITEM_BLOCK, NEAR, DRIFT = 2, 20_000, 6, 8
+#: Documents of a segment.
+SEGMENT = 1_000
 _word = re.compile(r"[^\W_]+").findall
 _marks = regex.compile(r"\p{M}+").sub
 
@@ -33,142 +37,170 @@ def words(text: str | None) -> list[str]:
 
 
 def positional_index(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int]) -> DataFrame:
-    """Segments of the index: term, n_docs, doc_ids and positions (parallel arrays, sorted)."""
+    """A row for each segment: doc_ids; terms and the starts of their postings; postings as doc (place in doc_ids) and
+    position, sorted by term, document and position; n_docs of each term."""
     sent = docs.sparkSession.sparkContext.broadcast(terms)  # at most ITEM_BLOCK items' words
-
-    def segment(c: dict[str, list]) -> dict[str, list]:
-        get, parts, rows = sent.value.get, [], []
-        for r, text in enumerate(c["text"]):
-            ids = np.fromiter((get(w, -1) for w in words(text)), np.int32)
-            at = np.flatnonzero(ids >= 0)
-            parts.append(np.stack([ids[at], at.astype(np.int32)]))
-            rows.append(np.full(len(at), r, np.int32))
-        flat, row = np.concatenate(parts, axis=1), np.concatenate(rows)
-        order = np.argsort(flat[0], kind="stable")
-        term, pos, doc = flat[0][order], flat[1][order], np.asarray(c["doc_id"], np.int64)[row[order]]
-        cut = np.flatnonzero(np.diff(term)) + 1
-        starts = [0, *cut.tolist()] if len(term) else []
-        docs_of = np.split(doc, cut) if len(term) else []
-        return {"term": [int(term[s]) for s in starts], "n_docs": [len(np.unique(d)) for d in docs_of], "doc_ids": docs_of, "positions": np.split(pos, cut) if len(term) else []}
-
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return arrow_map(texts, segment, "term int, n_docs long, doc_ids array<bigint>, positions array<int>")
-
-
-def probe_offsets(item: list[int], df: dict[int, int], window: int, probes: int = PROBES) -> set[int]:
+    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), *((n, pa.list_(pa.int32())) for n in ("terms", "starts", "n_docs", "doc", "position"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = sent.value.get
+        for batch in batches:
+            for at in range(0, batch.num_rows, SEGMENT):
+                part = batch.slice(at, SEGMENT)
+                coded = [[get(w, -1) for w in words(t)] for t in part.column(1).to_pylist()]
+                sizes = np.array([len(c) for c in coded])
+                flat = np.array([x for c in coded for x in c], np.int32)
+                doc = np.repeat(np.arange(len(coded), dtype=np.int32), sizes)
+                pos = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+                held = np.flatnonzero(flat >= 0)
+                order = held[np.argsort(flat[held], kind="stable")]
+                term, doc, pos = flat[order], doc[order], pos[order]
+                names, starts = np.unique(term, return_index=True)
+                new = np.ones(len(term), np.int32)
+                new[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
+                n_docs = np.add.reduceat(new, starts) if len(starts) else new[:0]
+                ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = [[ids], *([x.astype(np.int32)] for x in (names, np.append(starts, len(term)), n_docs, doc, pos))]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id IS NOT NULL AND text <> ''")
+    return texts.mapInArrow(run, "doc_ids array<bigint>, terms array<int>, starts array<int>, n_docs array<int>, doc array<int>, position array<int>")
+
+
+def probe_offsets(item: list[int], df: dict[int, int], window: int, probes: int = PROBES) -> list[int]:
     """Offsets of an item such that every window of it holds its ``probes`` rarest offsets."""
-    rank = sorted(range(len(item)), key=lambda o: (df.get(item[o], 0), o))
-    place = {o: i for i, o in enumerate(rank)}
-    return {o for s in range(len(item) - window + 1) for o in sorted(range(s, s + window), key=place.__getitem__)[:probes]}
-
-
-def gram_hashes(w: list[str], n: int) -> list[int]:
-    """This process's hashes of the runs of ``n`` words; equal hashes are compared word by word afterwards."""
-    return [hash(tuple(w[i : i + n])) for i in range(len(w) - n + 1)]
-
-
-@lru_cache(maxsize=100_000)
-def _item_grams(item: str, n: int) -> dict[int, list[int]]:
-    at: dict[int, list[int]] = {}
-    for o, h in enumerate(gram_hashes(item.split(" "), n)):
-        at.setdefault(h, []).append(o)
-    return at
-
-
-def longest_run(doc: list[str], grams: dict[int, list[int]], item: list[str], least: int) -> int:
-    """Length of the longest common run of words, if at least ``least``, else 0; ``grams``: the document's positions by hash."""
-    own = _item_grams(" ".join(item), least)
-    best = 0
-    for h in own.keys() & grams.keys():
-        for o in own[h]:
-            for i in grams[h]:
-                n = 0
-                while i + n < len(doc) and o + n < len(item) and doc[i + n] == item[o + n]:
-                    n += 1
-                best = max(best, n)
-    return best if best >= least else 0
+    place = {o: i for i, o in enumerate(sorted(range(len(item)), key=lambda o: (df.get(item[o], 0), o)))}
+    return sorted({o for s in range(len(item) - window + 1) for o in sorted(range(s, s + window), key=place.__getitem__)[:probes]})
+
+
+class Prober:
+    """Looks the items of a block up in segments."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], probes: list[tuple[int, int, int]], window: int, near: bool) -> None:
+        self.items, self.window, self.near = items, window, near
+        self.probes = sorted(probes)  # (term, item, offset)
+        self.table = np.array(self.probes, np.int64).reshape(-1, 3)
+        self.terms, first = np.unique(self.table[:, 0], return_index=True)
+        self.first = np.append(first, len(self.table))
+
+    def look_up(self, seg: dict[str, np.ndarray]) -> list[tuple[int, int, int, int]]:
+        """(place of the document, item, longest run, near hits) of the segment's matches."""
+        at = np.searchsorted(seg["terms"], self.terms)
+        at[at == len(seg["terms"])] = 0
+        hit = np.flatnonzero(seg["terms"][at] == self.terms) if len(seg["terms"]) else []
+        docs, shifts, which = [], [], []
+        for i in hit:
+            a, b = seg["starts"][at[i]], seg["starts"][at[i] + 1]
+            p = np.arange(self.first[i], self.first[i + 1])
+            docs.append(np.tile(seg["doc"][a:b], len(p)))
+            shifts.append((seg["position"][a:b][None, :] - self.table[p, 2][:, None]).reshape(-1))
+            which.append(np.repeat(p, b - a))
+        if not docs:
+            return []
+        doc, shift, p = np.concatenate(docs).astype(np.int64), np.concatenate(shifts).astype(np.int64), np.concatenate(which)
+        pair = doc * len(self.items) + self.table[p, 1]
+        best: dict[int, list[int]] = {}
+        order = np.lexsort((shift, pair))
+        pair, shift, offset = pair[order], shift[order], self.table[p, 2][order]
+        new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (shift[1:] != shift[:-1])))
+        many = np.flatnonzero(np.diff(np.append(new, len(pair))) >= PROBES)
+        forward = Forward(seg)
+        for k in new[many]:
+            key, of = int(pair[k]), self.items[int(pair[k]) % len(self.items)][1]
+            run = forward.run(key // len(self.items), of, int(shift[k]), self.window)
+            if run:
+                best.setdefault(key, [0, 0])[0] = max(run, best.get(key, [0])[0])
+        if self.near:
+            ends = np.flatnonzero(np.append(pair[1:] != pair[:-1], True)) + 1
+            for a, b in zip(np.append(0, ends[:-1]), ends, strict=True):
+                if b - a >= NEAR and (n := _near(shift[a:b], offset[a:b])) >= NEAR:
+                    best.setdefault(int(pair[a]), [0, 0])[1] = n
+        return [(k // len(self.items), k % len(self.items), run, n) for k, (run, n) in sorted(best.items())]
+
+
+class Forward:
+    """The terms of a segment's documents by position (-1: not a term of the items), made from the postings on demand."""
+
+    def __init__(self, seg: dict[str, np.ndarray]) -> None:
+        term = np.repeat(seg["terms"], np.diff(seg["starts"]))
+        order = np.argsort(seg["doc"], kind="stable")
+        self.term, self.pos = term[order], seg["position"][order]
+        self.start = np.searchsorted(seg["doc"][order], np.arange(len(seg["doc_ids"]) + 1))
+        self.made: dict[int, np.ndarray] = {}
+
+    def run(self, doc: int, item: np.ndarray, shift: int, least: int) -> int:
+        """Longest run of equal terms of the document and the item at this shift, if at least ``least``, else 0."""
+        if doc not in self.made:
+            a, b = self.start[doc], self.start[doc + 1]
+            row = np.full(int(self.pos[a:b].max()) + 1, -1, np.int32)
+            row[self.pos[a:b]] = self.term[a:b]
+            self.made[doc] = row
+        row = self.made[doc]
+        low, high = max(0, -shift), min(len(item), len(row) - shift)
+        if high - low < least:
+            return 0
+        same = row[low + shift : high + shift] == item[low:high]
+        breaks = np.flatnonzero(~np.concatenate([[False], same, [False]]))
+        longest = int(np.diff(breaks).max()) - 1
+        return longest if longest >= least else 0
+
+
+def _near(shift: np.ndarray, offset: np.ndarray, drift: int = DRIFT) -> int:
+    """Most different offsets whose shifts (sorted) differ by at most ``drift``."""
+    best, low, held = 0, 0, {}
+    for s, o in zip(shift.tolist(), offset.tolist(), strict=True):
+        held[o] = held.get(o, 0) + 1
+        while s - shift[low] > drift:
+            gone = int(offset[low])
+            held[gone] -= 1
+            if not held[gone]:
+                del held[gone]
+            low += 1
+        best = max(best, len(held))
+    return best
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 25) -> DataFrame:
-    """doc_id, item_id, longest_run, probe_hits, item_words and kind of each document that holds a passage of an item.
+def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 25, near: bool = True) -> DataFrame:
+    """doc_id, item_id, longest_run, near_hits, item_words and kind of each document that holds a passage of an item.
 
-    kind 'exact': at least ``window`` consecutive words of the item in order and without gaps; 'proximity': no such run,
-    but NEAR different rare offsets of the item with shifts that differ by at most DRIFT words.  Items are looked up in
-    blocks of ITEM_BLOCK, against all documents.  Null ids and texts, empty texts and items of fewer words than
-    ``window`` match nothing; repeated rows count once; an empty table gives an empty result; other columns are not read.
+    kind 'exact': at least ``window`` consecutive words of the item in order and without gaps; 'proximity' (only with
+    ``near``): no such run, but NEAR different rare offsets of the item with shifts that differ by at most DRIFT words.
+    Items are looked up in blocks of about ITEM_BLOCK, against all documents.  Null ids and texts, empty texts and items
+    of fewer words than ``window`` match nothing; repeated rows count once; an empty table gives an empty result; other
+    columns are not read.
     """
-    spark = docs.sparkSession
     wanted = items.select(items[item_id].cast("long").alias("item_id"), items[item_text].alias("item_text")).where("item_id IS NOT NULL AND item_text IS NOT NULL").distinct()
     blocks = max(1, -(-wanted.count() // ITEM_BLOCK))
     found = None
     for b in range(blocks):
         rows = wanted.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()  # about ITEM_BLOCK rows
-        part = _block(docs, {(r.item_id, k): words(r.item_text) for k, r in enumerate(sorted(rows))}, doc_id, doc_text, window)
+        part = _block(docs, [(r.item_id, words(r.item_text)) for r in sorted(rows)], doc_id, doc_text, window, near)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], "doc_id bigint, item_id bigint, longest_run int, probe_hits int, item_words int, kind string")
+    return found.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("longest_run", "near_hits", "item_words")], F.min("kind").alias("kind"))
 
 
-def _block(docs: DataFrame, items: dict[tuple[int, int], list[str]], doc_id: str, doc_text: str, window: int) -> DataFrame:
-    spark = docs.sparkSession
-    items = {k: w for k, w in items.items() if len(w) >= window}
+def _block(docs: DataFrame, items: list[tuple[int, list[str]]], doc_id: str, doc_text: str, window: int, near: bool) -> DataFrame:
+    items = [(k, w) for k, w in items if len(w) >= window]
     terms: dict[str, int] = {}
-    coded = {k: [terms.setdefault(x, len(terms)) for x in w] for k, w in items.items()}
+    coded = [(k, [terms.setdefault(x, len(terms)) for x in w]) for k, w in items]
     index = stored(positional_index(docs, doc_id, doc_text, terms))
-    df = {r.term: r.df for r in index.groupBy("term").agg(F.sum("n_docs").alias("df")).collect()}  # a row for each term of the block
-    keys = list(items)
-    offsets = [(coded[k][o], n, o) for n, k in enumerate(keys) for o in probe_offsets(coded[k], df, window)]
-    probe = F.broadcast(spark.createDataFrame(offsets, "term int, item int, offset int"))  # bounded by the block's words
-    hits = (
-        index.join(F.broadcast(probe.select("term").distinct()), "term", "left_semi")
-        .select("term", F.explode(F.arrays_zip("doc_ids", "positions")).alias("at"))
-        .select("term", F.col("at.doc_ids").alias("doc_id"), F.col("at.positions").alias("pos"))
-        .join(probe, "term")
-        .select("doc_id", "item", "offset", (F.col("pos") - F.col("offset")).alias("shift"))
-    )
-    shifts = hits.groupBy("doc_id", "item", "shift").agg(F.count_distinct("offset").alias("n"))
-    # shifts within DRIFT of each other share one of two overlapping buckets; the count is an upper bound, checked below
-    wide = 2 * DRIFT
-    buckets = F.array(F.floor(F.col("shift") / wide) * 2, F.floor((F.col("shift") + DRIFT) / wide) * 2 + 1)
-    near = shifts.select("doc_id", "item", "n", F.explode(buckets).alias("bucket")).groupBy("doc_id", "item", "bucket").agg(F.max("n").alias("best"), F.sum("n").alias("near"))
-    pairs = near.where((F.col("best") >= PROBES) | (F.col("near") >= NEAR)).select("doc_id", "item").distinct()
-    wanted = pairs.groupBy("doc_id").agg(F.collect_list("item").alias("items"))
-    texts = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[doc_text].alias("text")).join(wanted, "doc_id").distinct()
-    sent = spark.sparkContext.broadcast(([(k[0], items[k]) for k in keys], [sorted(probe_offsets(coded[k], df, window)) for k in keys]))
-
-    def check(c: dict[str, list]) -> dict[str, list]:
-        known, probes = sent.value
-        out: dict[str, list] = {n: [] for n in ("doc_id", "item_id", "longest_run", "probe_hits", "item_words", "kind")}
-        for doc, text, cand in zip(c["doc_id"], c["text"], c["items"], strict=True):
-            w = words(text)
-            at: dict[str, list[int]] = {}
-            for i, x in enumerate(w):
-                at.setdefault(x, []).append(i)
-            grams: dict[int, list[int]] = {}
-            for i, h in enumerate(gram_hashes(w, window)):
-                grams.setdefault(h, []).append(i)
-            for n_ in cand:
-                item, of = known[n_]
-                run, near = longest_run(w, grams, of, window), near_hits(at, of, probes[n_])
-                if run or near >= NEAR:
-                    for n, v in zip(out, (doc, item, run, near, len(of), "exact" if run else "proximity"), strict=True):
-                        out[n].append(v)
-        return out
-
-    checked = arrow_map(texts, check, "doc_id bigint, item_id bigint, longest_run int, probe_hits int, item_words int, kind string")
-    return checked.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("longest_run", "probe_hits", "item_words")], F.min("kind").alias("kind"))
-
-
-def near_hits(at: dict[str, list[int]], item: list[str], offsets: list[int], drift: int = DRIFT) -> int:
-    """Most offsets of the item found at positions ``at`` of a document with shifts that differ by at most ``drift``."""
-    shifts = sorted((p - o, o) for o in offsets for p in at.get(item[o], ()))
-    best, low, held = 0, 0, {}
-    for shift, o in shifts:
-        held[o] = held.get(o, 0) + 1
-        while shift - shifts[low][0] > drift:
-            gone = shifts[low][1]
-            held[gone] -= 1
-            if not held[gone]:
-                del held[gone]
-            low += 1
-        best = max(best, len(held))
-    return best
+    counts = index.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("x")).groupBy("x.terms").agg(F.sum("x.n_docs").alias("n"))
+    df = {r.terms: r.n for r in counts.collect()}  # a row for each term of the block
+    probes = [(w[o], n, o) for n, (_, w) in enumerate(coded) for o in probe_offsets(w, df, window)]
+    sent = docs.sparkSession.sparkContext.broadcast(([(k, np.array(w, np.int32)) for k, w in coded], probes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, p = sent.value
+        use = Prober(known, p, window, near)
+        for batch in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for r in range(batch.num_rows):
+                seg = {n: batch.column(i)[r].values.to_numpy() for i, n in enumerate(batch.schema.names)}
+                for doc, item, longest, hits in use.look_up(seg):
+                    for to, v in zip(out, (int(seg["doc_ids"][doc]), known[item][0], longest, hits, len(known[item][1]), "exact" if longest else "proximity"), strict=True):
+                        to.append(v)
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["doc_id", "item_id", "longest_run", "near_hits", "item_words", "kind"])
+
+    columns = ["doc_ids", "terms", "starts", "doc", "position"]
+    return index.select(*columns).mapInArrow(run, "doc_id bigint, item_id bigint, longest_run int, near_hits int, item_words int, kind string")
