@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import leaks, neardup, pieces, tokens
+from indexloom.llm import encoding, language, leaks, neardup, pieces, tokens
 from indexloom.llm.common import table
 
 
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of document_contents: its text, restored where it was decoded wrongly."""
+    contents, samples = table(spark, sf_dir, "document_contents"), table(spark, sf_dir, "lang_samples")
+    model = encoding.fitted(samples, contents, "lang", "text", "extracted_text")
+    return encoding.repaired(contents, model, "content_id", "extracted_text").withColumnRenamed("id", "content_id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_restored(spark, sf_dir).where("garbled").select("content_id").distinct()
+
+
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables of sections; each is cut on its own, then united."""
     extractions = table(spark, sf_dir, "section_extractions").select(F.lit("section_extractions").alias("source_table"), "document_id", "section_index", F.col("section_text_original").alias("text"))
@@ -22,6 +33,29 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_pieces(spark, sf_dir).where("piece_no = 1").select("source_table", "document_id", "section_index").distinct()
 
 
+def p4_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lang and confidence of every document with a letter."""
+    model = language.fitted(table(spark, sf_dir, "lang_samples"))
+    return language.document_languages(table(spark, sf_dir, "documents"), model, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, line_no, lang and confidence of the lines of sections in several languages."""
+    model = language.fitted(table(spark, sf_dir, "lang_samples"))
+    return language.line_languages(table(spark, sf_dir, "section_extractions"), model, "id", "section_text_original")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a missing or wrong label (line -1), and the lines of mixed sections."""
+    model = language.fitted(table(spark, sf_dir, "lang_samples"))
+    docs = table(spark, sf_dir, "documents")
+    right = language.document_languages(docs, model, "doc_id", "text", carry="detected_language")
+    wrong = right.where(~language.named_language(F.col("carried")).eqNullSafe(F.col("lang")))
+    a = wrong.select(F.lit("documents").alias("source_table"), F.col("id").alias("record_id"), F.lit(-1).alias("line_no"), "lang")
+    lines = language.line_languages(table(spark, sf_dir, "section_extractions"), model, "id", "section_text_original")
+    return a.unionByName(lines.select(F.lit("section_extractions").alias("source_table"), F.col("id").alias("record_id"), "line_no", "lang")).distinct()
+
+
 def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return neardup.near_duplicates(table(spark, sf_dir, "section_extractions"), "id", "section_text_original", words=3, threshold=0.7)
 
@@ -48,7 +82,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_pieces, p5_found, p5_groups, p7_ids, p8_found, p8_leaks)
+    f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p7_ids, p8_found, p8_leaks)
 }
 
 SQL: dict[str, str] = {
