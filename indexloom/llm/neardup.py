@@ -52,7 +52,7 @@ class Sketcher:
         for w in _word(text.lower()):
             h = cache.get(w)
             if h is None:
-                h = cache[w] = xxhash.xxh64_intdigest(w)
+                h = cache[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
             ids.append(h)
         if len(cache) > 300_000:
             cache.clear()
@@ -77,78 +77,68 @@ class Sketcher:
         return out
 
 
-def normal_text(col):  # noqa: ANN001, ANN201
-    """Lower-cased text, the form in which texts are equal or not before words are cut."""
-    return F.lower(col)
+def band_rows(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
+    """key, id and m (number of distinct shingles), ``bands`` rows a text; texts of fewer than ``n`` words have none."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = Sketcher(n, bands, rows)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                sets = [use.shingles(t) for t in part.column(1).to_pylist()]
+                full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+                if len(full):
+                    own = [sets[i] for i in full]
+                    ids = part.column(0).to_numpy(zero_copy_only=False)[full]
+                    sizes = np.array([len(s) for s in own], np.int32)
+                    columns = [use.band_keys(own).reshape(-1).view(np.int64), np.repeat(ids, bands), np.repeat(sizes, bands)]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "id", "m"])
+
+    return texts.mapInArrow(run, "key bigint, id bigint, m int")
 
-def sketches(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """id, shingles (sorted 64-bit hashes), keys (a 64-bit key a band); texts of fewer than ``n`` words are left out."""
+
+def similarities(pairs: DataFrame, n: int) -> DataFrame:
+    """a, b and similarity of pairs (a, b, ta, tb) of texts, over all their distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = Sketcher(n, bands, rows)
+        use = Sketcher(n, 1, 1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                sets = [use.shingles(t) if t else np.empty(0, np.uint64) for t in part.column(1).to_pylist()]
-                full = [i for i, s in enumerate(sets) if len(s)]
-                if not full:
-                    continue
-                own = [sets[i] for i in full]
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
-                keys = use.band_keys(own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(full)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64))),
-                        pa.ListArray.from_arrays(pa.array((np.arange(len(own) + 1) * bands).astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64))),
-                    ],
-                    names=["id", "shingles", "keys"],
-                )
-
-    return texts.mapInArrow(run, "id bigint, shingles array<bigint>, keys array<bigint>")
-
-
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, threshold: float = 0.8, bands: int = 40, rows: int = 5) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: members has id and class_id (the least id with the same shingle set) of every row with a
-    text of at least ``words`` words; links has class_a < class_b and similarity >= threshold of different classes.
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                got, last, sa = [], None, None
+                for ta, tb in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    sa, last = (sa, last) if ta == last else (use.shingles(ta), ta)
+                    sb = use.shingles(tb)
+                    both = len(np.intersect1d(sa, sb, assume_unique=True))
+                    got.append(both / (len(sa) + len(sb) - both) if both else 0.0)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(got, pa.float64())], names=["class_a", "class_b", "similarity"])
+
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "class_a bigint, class_b bigint, similarity double")
+
+
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, threshold: float = 0.8, bands: int = 36, rows: int = 5) -> tuple[DataFrame, DataFrame]:
+    """``(members, links)``: members has id and class_id (the least id with the same text) of every row with a text of
+    at least ``words`` words; links has class_a < class_b and similarity >= threshold of different classes.
 
     Words are runs of letters or digits, lower-cased; similarity is Jaccard over distinct runs of ``words`` words.
     With bands x rows signature coordinates a pair of similarity s is a candidate with 1 - (1 - s^rows)^bands; there is
     no cap on buckets, candidates or partners.  Null ids and null, empty or shorter texts are in neither result;
     repeated rows count once; an empty table gives empty results; other columns are not read.
     """
-    rows_ = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    keyed = rows_.select("id", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), F.length("text").alias("h3"), "text")
-    first = keyed.groupBy("h1", "h2", "h3").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id"))
-    made = stored(sketches(first.select("id", "text"), words, bands, rows))
-    # texts that differ in case, blanks or symbols only: one class by the shingle set
-    sets = made.select("id", F.xxhash64("shingles").alias("s"), F.size("shingles").alias("m"))
-    same = sets.groupBy("s", "m").agg(F.min("id").alias("class_id"))
-    classes = sets.join(same, ["s", "m"]).select(F.col("id").alias("first_id"), "class_id")
-    reps = made.join(classes.where("first_id = class_id").select(F.col("class_id").alias("id")), "id", "left_semi")
-    members = (
-        keyed.select("id", "h1", "h2", "h3").distinct()
-        .join(first.select("h1", "h2", "h3", F.col("id").alias("first_id")), ["h1", "h2", "h3"])
-        .join(classes, "first_id")
-        .select("id", "class_id")
-    )
-    return members, _links(reps, threshold)
-
-
-def _links(reps: DataFrame, threshold: float) -> DataFrame:
-    exploded = reps.select("id", F.explode("keys").alias("key"))
-    a, b = exploded.select(F.col("id").alias("a"), "key"), exploded.select(F.col("id").alias("b"), "key")
-    pairs = a.join(b, "key").where("a < b").select("a", "b").distinct()
-    left = reps.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = reps.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    inter = F.size(F.array_intersect("sa", "sb"))
-    return (
-        both.select("a", "b", inter.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-        .select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), (F.col("i") / (F.col("n") - F.col("i"))).alias("similarity"))
-        .where(F.col("similarity") >= threshold)
-    )
+    enough = r"[\p{L}\p{N}](?:[\p{L}\p{N}]*[^\p{L}\p{N}]+[\p{L}\p{N}]){%d}" % (words - 1)
+    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike(enough))
+    keyed = texts.select("id", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), F.length("t").alias("h3"), "t")
+    same = ["h1", "h2", "h3"]
+    reps = keyed.groupBy(*same).agg(F.min_by("t", "id").alias("t"), F.min("id").alias("id")).select("id", "t")
+    rows_ = band_rows(reps, words, bands, rows)
+    a = rows_.select("key", F.col("id").alias("a"), F.col("m").alias("ma"))
+    b = rows_.select("key", F.col("id").alias("b"), F.col("m").alias("mb"))
+    alike = (F.col("ma") >= F.col("mb") * threshold) & (F.col("mb") >= F.col("ma") * threshold)  # sizes alone rule out the rest
+    pairs = a.join(b, "key").where((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
+    one = texts.groupBy("id").agg(F.min("t").alias("t"))
+    both = pairs.join(one.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(one.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    members = keyed.select("id", *same).join(keyed.groupBy(*same).agg(F.min("id").alias("class_id")), same).select("id", "class_id").distinct()
+    return members, similarities(both, words).where(F.col("similarity") >= threshold)
 
 
 def pairs_of_ids(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -167,6 +157,7 @@ def groups(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
     Components by alternating large-star and small-star steps on class links; edges stay distributed, each step is
     written to the shared folder, and it ends when a step changes nothing.
     """
+    links = stored(links)
     edges = stored(links.select(F.col("class_b").alias("u"), F.col("class_a").alias("v")))
     before = None
     for _ in range(rounds):
