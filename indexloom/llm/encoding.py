@@ -39,6 +39,18 @@ SWAPS = tuple(
 COMMON = "·•«»“”„‘’–—…©§°"
 #: What is left of bytes that could not be decoded: the replacement character, and that character read wrongly again.
 LOST = re.compile("�|ï¿½|锟斤拷|ďż˝|пїЅ|я┐╜|├»┬┐┬╜|Ôªø|∩┐╜")
+#: Letters that an encoding could not hold leave question marks: one between letters, or two and more where a word goes on.
+ASKED = re.compile(r"(?<=[^\W\d_])\?(?=[^\W\d_=])(?![^\s?]*=)|\?{2,}(?=[^\W\d_])")
+ASKED_TWICE = re.compile(r"(?<!\?)\?{2,}(?!\?)(?!$)", re.M)
+
+
+def lost(text: str) -> int:
+    """Characters of a text that are lost for good: replacement characters, and question marks in place of letters."""
+    n = len(LOST.findall(text))
+    if "?" in text:
+        sure, maybe = len(ASKED.findall(text)), len(ASKED_TWICE.findall(text))
+        n += max(sure, maybe) if sure or maybe > 1 else 0
+    return n
 
 
 class _Bytes:
@@ -190,7 +202,7 @@ class Coder:
                 lines[i] = pick[2] + "\r" * lines[i].endswith("\r")
                 used[pick[1]] += 1
         fixed = "\n".join(lines)
-        return fixed, [" ".join(c) for c in sorted(used)], len(LOST.findall(fixed))
+        return fixed, [" ".join(c) for c in sorted(used)], lost(fixed)
 
 
 def fit(labelled: list[tuple[str, str]], texts: list[str]) -> tuple[dict[str, bytes], dict[str, str]]:
@@ -232,23 +244,23 @@ def fitted(samples: DataFrame, corpus: DataFrame, lang_col: str, sample_col: str
     return fit([(r.k, r.t) for r in rows], [r.t for r in texts])
 
 
-def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str) -> DataFrame:
+def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str, carry: list[str] = ()) -> DataFrame:
     """id, text (restored where possible), garbled, lost (characters that cannot be restored) and chains of every row.
 
-    Null and empty texts are not garbled and stay as they are; ASCII lines are not touched; repeated rows give one row;
-    whole texts are read; an empty table gives an empty result; other columns are not read.
+    Null and empty texts are not garbled and stay as they are; ASCII lines are not changed; repeated rows give one row;
+    whole texts are read; an empty table gives an empty result; of other columns only the strings ``carry`` are read and come along.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
-    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text")).distinct()
+    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *[df[c].cast("string").alias(c) for c in carry]).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = None
         for batch in batches:
             use = use or Coder(*sent.value)
-            got = [(t, [], 0) if not t or t.isascii() else use.repair(t) for t in batch.column(1).to_pylist()]
+            got = [(t, [], lost(t) if t else 0) if not t or t.isascii() else use.repair(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([bool(g[1] or g[2]) for g in got]), pa.array([g[2] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.list_(pa.string()))],
-                names=["id", "text", "garbled", "lost", "chains"],
+                [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([bool(g[1] or g[2]) for g in got]), pa.array([g[2] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.list_(pa.string())), *[batch.column(2 + i) for i in range(len(carry))]],
+                names=["id", "text", "garbled", "lost", "chains", *carry],
             )
 
-    return texts.mapInArrow(run, "id bigint, text string, garbled boolean, lost int, chains array<string>")
+    return texts.mapInArrow(run, ", ".join(["id bigint, text string, garbled boolean, lost int, chains array<string>", *[f"`{c}` string" for c in carry]]))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import encoding, language, leaks, neardup, pieces, tokens
-from indexloom.llm.common import table
+from indexloom.llm import boilerplate, encoding, language, leaks, neardup, pieces, residue, tokens
+from indexloom.llm.common import stored, table
 
 
 def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,39 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_restored(spark, sf_dir).where("garbled").select("content_id").distinct()
 
 
+def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, boilerplate.Weights]:
+    """id, text with the right encoding and content_type of document_contents, and the weights of furniture."""
+    contents, samples = table(spark, sf_dir, "document_contents"), table(spark, sf_dir, "lang_samples")
+    weights = boilerplate.fitted(contents, "extracted_text", "content_type", corpus=table(spark, sf_dir, "documents"))
+    model = encoding.fitted(samples, contents, "lang", "text", "extracted_text")
+    return encoding.repaired(contents, model, "content_id", "extracted_text", carry=["content_type", "url"]), weights
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Furniture is told by its words, so garbled lines are restored first; that changes no line's number."""
+    clean, weights = _clean(spark, sf_dir)
+    lines = boilerplate.furniture_lines(clean.where("content_type = 'html'"), weights, "id", "text")
+    return lines.select(F.col("id").alias("content_id"), "line_no")
+
+
+def p2_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """content_id and main body of every row of document_contents."""
+    clean, weights = _clean(spark, sf_dir)
+    return boilerplate.main_text(clean, weights, "id", "text", "content_type").select(F.col("id").alias("content_id"), "text")
+
+
+def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """content_id, residue, probability and the deciding sentence of the main body of every row with a text."""
+    clean, weights = _clean(spark, sf_dir)
+    bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"]))
+    model = residue.fitted(bodies, "text", "url")
+    return residue.judged(bodies, model, "id", "text").withColumnRenamed("id", "content_id")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_judged(spark, sf_dir).where("residue").select("content_id").distinct()
+
+
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables of sections; each is cut on its own, then united."""
     extractions = table(spark, sf_dir, "section_extractions").select(F.lit("section_extractions").alias("source_table"), "document_id", "section_index", F.col("section_text_original").alias("text"))
@@ -82,7 +115,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p7_ids, p8_found, p8_leaks)
+    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_main, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p6_found, p6_judged, p7_ids, p8_found, p8_leaks)
 }
 
 SQL: dict[str, str] = {
