@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 3_000, 2_000, 3_000
 #: Least pages with a run; odds from which a run is furniture; the same for runs of words that other texts use too and that
 #: start no line; odds from which a run makes a line furniture that starts with it; how much one line can add to a region,
-#: and how much it can take, so that furniture inside the text does not part it.
-LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP = 4, 2.0, 4.2, 2.5, 12.0, 2.0
+#: and how much it can take, so that furniture inside the text does not part it; odds of runs that many pages have; and
+#: characters of other texts that are no mere message.
+LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250
 _token = re.compile(r"[一-鿿]|[^\W\d_]+|\d+|[^\w\s]|_")
 _quoted = re.compile("«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|‘[^‘’]*’(?![^\\W\\d_])|\"[^\"\n]*\"")
 
@@ -91,7 +92,7 @@ class Scanner:
         self.w, self.kept = w, {}
 
     def score(self, line: str) -> tuple[float, float]:
-        """(score of the line, mean odds of its words)."""
+        """(score of the line, highest odds of its words)."""
         if line not in self.kept:
             if len(self.kept) > 100_000:
                 self.kept.clear()
@@ -114,10 +115,10 @@ class Scanner:
         words = [(t, c) for t, c in zip(toks, cover[1:-1], strict=True) if t[0].isalnum()]
         bad = sum(c for _, c in words)
         good = sum(1.0 for t, c in words if not c and t in self.w.legal)
-        mean = bad / max(len(words), 1)
+        top = max(cover)
         if head >= HEAD_ODDS and not (bad < good and head < HEAD_ODDS + 0.7):
-            return -min(max(head, bad), MOST), mean
-        return max(-MOST, min(MOST, good - bad)), mean
+            return -min(max(head, bad), MOST), top
+        return max(-MOST, min(MOST, good - bad)), top
 
     def furniture(self, text: str) -> list[int]:
         """Numbers of the furniture lines of a page."""
@@ -131,22 +132,27 @@ class Scanner:
             if total > best:
                 best, low, high = total, start, i
         full = [i for i, x in enumerate(lines) if x]
-        if high < 0:  # nothing but furniture or a message: the sentence most like text of other documents is the body
-            low = min(full, key=lambda i: (lines[i][-1] not in ".!?…。！？", scored[i][1], i), default=-1)
-            return [i for i in full if i != low]
+        if high < 0:  # nothing but furniture or a message: the sentence least like furniture, and lines beside it no page has often
+            best_ = min(range(len(full)), key=lambda k: (lines[full[k]][-1] not in ".!?…。！？", scored[full[k]][1], k), default=0)
+            low, high = best_, best_
+            while low > 0 and scored[full[low - 1]][1] < COMMON_ODDS:
+                low -= 1
+            while high + 1 < len(full) and scored[full[high + 1]][1] < COMMON_ODDS:
+                high += 1
+            return full[:low] + full[high + 1 :]
         return [i for i in full if scored[i][0] < (-0.5 if low <= i <= high else 0.5)]
 
 
 def fitted(df: DataFrame, text_col: str, kind_col: str, page_kind: str = "html", corpus: DataFrame | None = None, corpus_col: str = "text") -> Weights:
     """As ``fit``, of at most SAMPLE_PAGES pages, SAMPLE_OTHERS other texts of ``df`` and SAMPLE_CORPUS of ``corpus``
-    (texts that never were pages), those of the least hash."""
+    (texts that never were pages), those of the least hash.  Other texts that may be a mere message are left out."""
 
     def least(texts: DataFrame, n: int) -> list[str]:
         return [r.t for r in texts.where("t <> ''").distinct().orderBy(F.xxhash64("t"), "t").limit(n).collect()]
 
     rows, page = df.select(F.col(text_col).alias("t"), kind_col), F.col(kind_col).eqNullSafe(page_kind)
     more = least(corpus.select(F.col(corpus_col).alias("t")), SAMPLE_CORPUS) if corpus is not None else []
-    return fit(least(rows.where(page).select("t"), SAMPLE_PAGES), least(rows.where(~page).select("t"), SAMPLE_OTHERS), *([more] if more else []))
+    return fit(least(rows.where(page).select("t"), SAMPLE_PAGES), least(rows.where(~page & (F.length("t") >= MESSAGE)).select("t"), SAMPLE_OTHERS), *([more] if more else []))
 
 
 def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import boilerplate, encoding, language, leaks, neardup, pieces, residue, tokens
+from indexloom.llm import boilerplate, encoding, language, leaks, neardup, pieces, residue, subjects, tokens
 from indexloom.llm.common import stored, table
 
 
@@ -114,8 +114,21 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), near=False).select("doc_id", "item_id")
 
 
+def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, subject_code and n_sentences of every document's subjects."""
+    docs = table(spark, sf_dir, "documents")
+    model = subjects.fitted(docs, table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "lang_samples"))
+    return subjects.subjects(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects that subject_areas lists."""
+    areas = table(spark, sf_dir, "subject_areas").select(F.lower(F.trim("subject_code")).alias("subject_code")).distinct()
+    return p9_subjects(spark, sf_dir).join(F.broadcast(areas), "subject_code", "left_semi").select("doc_id", "subject_code").distinct()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_main, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p6_found, p6_judged, p7_ids, p8_found, p8_leaks)
+    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_main, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p6_found, p6_judged, p7_ids, p8_found, p8_leaks, p9_found, p9_subjects)
 }
 
 SQL: dict[str, str] = {
