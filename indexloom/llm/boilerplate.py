@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the samples: pages, other documents, further texts.
-SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 3_000, 2_000, 3_000
+SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 2_400, 1_400, 1_800
 #: Least pages with a run; odds from which a run is furniture; the same for runs of words that other texts use too and that
 #: start no line; odds from which a run makes a line furniture that starts with it; how much one line can add to a region,
 #: and how much it can take, so that furniture inside the text does not part it; odds of runs that many pages have; and
@@ -57,6 +57,12 @@ class Weights:
 
     def __init__(self, odds: dict[str, float], legal: frozenset[str], known: frozenset[str]) -> None:
         self.odds, self.legal, self.known = odds, legal, known
+        runs = [(tuple(g.split(" ")), v) for g, v in odds.items()]
+        self.alone = {r[0]: v for r, v in runs if len(r) == 1}
+        self.starts: dict[tuple[str, str], list[tuple[tuple[str, ...], float]]] = {}
+        for r, v in runs:
+            if len(r) > 1:
+                self.starts.setdefault(r[:2], []).append((r, v))
 
 
 def fit(pages: list[str], *others: list[str]) -> Weights:
@@ -103,15 +109,22 @@ class Scanner:
         toks = tokens(unquoted(line))
         if not toks:
             return 0.0, 0.0
-        odds, cover, head = self.w.odds, [0.0] * (len(toks) + 2), 0.0
-        for i, j, g in _runs(toks, self.w.known):
-            v = odds.get(g)
-            if v is not None:
-                if i <= 2 and j - i >= 2:
-                    head = max(head, v)
-                for k in range(i, j):
-                    if v > cover[k]:
-                        cover[k] = v
+        known, alone, starts = self.w.known, self.w.alone, self.w.starts
+        seq = ["^", *(t if t in known or not t[0].isalpha() else "N" for t in toks), "$"]
+        cover, head = [0.0] * len(seq), 0.0
+        for i in range(len(seq) - 1):
+            t = seq[i]
+            if t in alone:
+                cover[i] = max(cover[i], alone[t])
+            longer = starts.get((t, seq[i + 1]))
+            if longer is not None:
+                for run, v in longer:
+                    if tuple(seq[i + 2 : i + len(run)]) == run[2:]:
+                        if i <= 2:
+                            head = max(head, v)
+                        for k in range(i, i + len(run)):
+                            if v > cover[k]:
+                                cover[k] = v
         words = [(t, c) for t, c in zip(toks, cover[1:-1], strict=True) if t[0].isalnum()]
         bad = sum(c for _, c in words)
         good = sum(1.0 for t, c in words if not c and t in self.w.legal)
@@ -148,7 +161,7 @@ def fitted(df: DataFrame, text_col: str, kind_col: str, page_kind: str = "html",
     (texts that never were pages), those of the least hash.  Other texts that may be a mere message are left out."""
 
     def least(texts: DataFrame, n: int) -> list[str]:
-        return [r.t for r in texts.where("t <> ''").distinct().orderBy(F.xxhash64("t"), "t").limit(n).collect()]
+        return sorted({r.t for r in texts.where("t <> ''").orderBy(F.xxhash64("t"), "t").limit(n).collect()})
 
     rows, page = df.select(F.col(text_col).alias("t"), kind_col), F.col(kind_col).eqNullSafe(page_kind)
     more = least(corpus.select(F.col(corpus_col).alias("t")), SAMPLE_CORPUS) if corpus is not None else []

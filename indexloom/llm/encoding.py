@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the samples the dictionaries are made from, their size, and the prices (bytes) of an escaped character, of a
-#: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for.
-SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5
+#: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for;
+#: share of a line's bytes from which it is plain text of a language.
+SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE, PLAIN = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5, 0.5
 #: Single-byte encodings that text is read in by mistake.
 SINGLE = ("latin-1", "cp1252", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "koi8-r", "cp1254")
 MULTI = ("gb18030", "big5", "cp932")
@@ -89,6 +90,8 @@ def _pairs(name: str) -> re.Pattern:
 
 
 SPELLS = {n: _pairs(n) for n in SINGLE}
+_high = re.compile(r"[^\x00-\x7e]").findall
+_double = re.compile(r"[^\x00-\x7f]{2}").search
 _wide = re.compile("[\u2e80-\U0010ffff]")
 
 
@@ -120,7 +123,8 @@ def readings(line: str, depth: int = 3, swaps: bool = True) -> dict[str, tuple[s
     for d in range(depth):
         new: dict[str, tuple[str, ...]] = {}
         for s, chain in front.items():
-            for read in (*(n for n in SINGLE if SPELLS[n].search(s)), *(MULTI if _wide.search(s) else ())):
+            spelt = (n for n in SINGLE if SPELLS[n].search(s)) if _double(s) else ()
+            for read in (*spelt, *(MULTI if _wide.search(s) else ())):
                 t = _undone(s, read, "utf-8")
                 if t is None and read in ("latin-1", "cp1252", "cp1250", "cp1251", "mac-roman", "cp437", "cp850", "gb18030"):
                     t = _partly(s, read)
@@ -170,18 +174,31 @@ class Coder:
         if line not in self.kept:
             if len(self.kept) > 50_000:
                 self.kept.clear()
-            escapes = self.escapes(line)
-            own, found = self.cost(line, escapes), []
-            # a Latin line without strange characters has no reading that is not UTF-8
-            for text, chain in readings(line, swaps=bool(escapes[0][0]) or not _latin(line)).items():
-                new = self.escapes(text)
-                # a reading with more strange characters than the line is no candidate
-                c = self.cost(text, new, own) if new[0][0] <= escapes[0][0] else own
-                if c < own:
-                    found.append((own - c, chain, text))
-            self.kept[line] = sorted(found, key=lambda x: (-x[0], x[1]))[:8]
+            self.kept[line] = self._gains(line)
         return self.kept[line]
 
+    def _gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
+        high = set(_high(line))
+        clean = any(high <= a for a in self.alphabets.values()) and not _odd(line)
+        own = escapes = None
+        swaps = not (clean and _latin(line))  # a Latin line without strange characters has no reading that is not UTF-8
+        if clean and swaps:
+            escapes = self.escapes(line)
+            own = self.cost(line, escapes)
+            swaps = own > PLAIN * len(line.encode("utf-8", "surrogatepass"))  # what a dictionary explains well is right
+        others = readings(line, swaps=swaps)
+        if not others:
+            return []
+        escapes = escapes or self.escapes(line)
+        own, found = self.cost(line, escapes) if own is None else own, []
+        for text, chain in others.items():
+            new = self.escapes(text)
+            # a reading with more strange characters than the line is no candidate
+            c = self.cost(text, new, own) if new[0][0] <= escapes[0][0] else own
+            if c < own:
+                found.append((own - c, chain, text))
+        return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
+
     def repair(self, text: str) -> tuple[str, list[str], int]:
         """The text with its best readings, the chains used, and the characters lost for good."""
         lines = text.split("\n")
@@ -240,7 +257,7 @@ def fit(labelled: list[tuple[str, str]], texts: list[str]) -> tuple[dict[str, by
 def fitted(samples: DataFrame, corpus: DataFrame, lang_col: str, sample_col: str, text_col: str) -> tuple[dict[str, bytes], dict[str, str]]:
     """As ``fit``, of at most SAMPLE_LINES labelled texts and SAMPLE_TEXTS texts of the corpus, those of the least hash."""
     rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(sample_col).alias("t")).where("k <> '' AND t IS NOT NULL").distinct().orderBy(F.xxhash64("k", "t")).limit(SAMPLE_LINES).collect()
-    texts = corpus.select(F.col(text_col).alias("t")).where("t <> ''").orderBy(F.xxhash64("t")).limit(SAMPLE_TEXTS).collect()
+    texts = corpus.select(F.col(text_col).alias("t")).where("t <> ''").orderBy(F.xxhash64("t"), "t").limit(SAMPLE_TEXTS).collect()
     return fit([(r.k, r.t) for r in rows], [r.t for r in texts])
 
 
