@@ -191,9 +191,9 @@ def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str)
 
 
 def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_col: str, page_kind: str = "html", carry: list[str] = ()) -> DataFrame:
-    """id, text and the strings ``carry`` of every row: the main body of pages, other rows as they are; null stays null."""
+    """id, text and the strings ``carry`` (as carried_<name>) of every row: the main body of pages, other rows as they are; null stays null."""
     sent = df.sparkSession.sparkContext.broadcast(weights)
-    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), df[kind_col].eqNullSafe(page_kind).alias("page"), *[df[c].cast("string").alias(c) for c in carry])
+    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), df[kind_col].eqNullSafe(page_kind).alias("page"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = None
@@ -205,6 +205,6 @@ def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_
                     drop = set(use.furniture(t))
                     t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop).strip("\n")
                 out.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), *[batch.column(3 + i) for i in range(len(carry))]], names=["id", "text", *carry])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), *[batch.column(3 + i) for i in range(len(carry))]], names=["id", "text", *[f"carried_{c}" for c in carry]])
 
-    return texts.mapInArrow(run, ", ".join(["id bigint, text string", *[f"`{c}` string" for c in carry]]))
+    return texts.mapInArrow(run, ", ".join(["id bigint, text string", *[f"`carried_{c}` string" for c in carry]]))

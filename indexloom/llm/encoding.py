@@ -265,10 +265,10 @@ def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_c
     """id, text (restored where possible), garbled, lost (characters that cannot be restored) and chains of every row.
 
     Null and empty texts are not garbled and stay as they are; ASCII lines are not changed; repeated rows give one row;
-    whole texts are read; an empty table gives an empty result; of other columns only the strings ``carry`` are read and come along.
+    whole texts are read; an empty table gives an empty result; of other columns only the strings ``carry`` are read; they come along as carried_<name>.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
-    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *[df[c].cast("string").alias(c) for c in carry]).distinct()
+    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry]).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = None
@@ -277,7 +277,7 @@ def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_c
             got = [(t, [], lost(t) if t else 0) if not t or t.isascii() else use.repair(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([bool(g[1] or g[2]) for g in got]), pa.array([g[2] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.list_(pa.string())), *[batch.column(2 + i) for i in range(len(carry))]],
-                names=["id", "text", "garbled", "lost", "chains", *carry],
+                names=["id", "text", "garbled", "lost", "chains", *[f"carried_{c}" for c in carry]],
             )
 
-    return texts.mapInArrow(run, ", ".join(["id bigint, text string, garbled boolean, lost int, chains array<string>", *[f"`{c}` string" for c in carry]]))
+    return texts.mapInArrow(run, ", ".join(["id bigint, text string, garbled boolean, lost int, chains array<string>", *[f"`carried_{c}` string" for c in carry]]))

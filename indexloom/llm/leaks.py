@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from indexloom.llm.common import stored
 
-#: Rarest offsets of a window that all must be hit, items looked up at a time; for a near match, different offsets hit and drift in words.
+#: Rarest offsets of a window that all must be hit (twice as many are probed for near matches), items looked up at a time; for a near match, different offsets hit and drift in words.
 PROBES, ITEM_BLOCK, NEAR, DRIFT = 2, 20_000, 6, 8
 #: Documents of a segment.
 SEGMENT = 1_000
@@ -186,7 +186,7 @@ def _block(docs: DataFrame, items: list[tuple[int, list[str]]], doc_id: str, doc
     index = stored(positional_index(docs, doc_id, doc_text, terms))
     counts = index.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("x")).groupBy("x.terms").agg(F.sum("x.n_docs").alias("n"))
     df = {r.terms: r.n for r in counts.collect()}  # a row for each term of the block
-    probes = [(w[o], n, o) for n, (_, w) in enumerate(coded) for o in probe_offsets(w, df, window)]
+    probes = [(w[o], n, o) for n, (_, w) in enumerate(coded) for o in probe_offsets(w, df, window, 2 * PROBES if near else PROBES)]
     sent = docs.sparkSession.sparkContext.broadcast(([(k, np.array(w, np.int32)) for k, w in coded], probes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

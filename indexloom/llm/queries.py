@@ -23,11 +23,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, boilerplate.Weights]:
-    """id, text with the right encoding and content_type of document_contents, and the weights of furniture."""
+    """id, text with the right encoding, content_type and url of document_contents, and the weights of furniture."""
     contents, samples = table(spark, sf_dir, "document_contents"), table(spark, sf_dir, "lang_samples")
     weights = boilerplate.fitted(contents, "extracted_text", "content_type", corpus=table(spark, sf_dir, "documents"))
     model = encoding.fitted(samples, contents, "lang", "text", "extracted_text")
-    return encoding.repaired(contents, model, "content_id", "extracted_text", carry=["content_type", "url"]), weights
+    clean = encoding.repaired(contents, model, "content_id", "extracted_text", carry=["content_type", "url"])
+    return clean.select("id", "text", F.col("carried_content_type").alias("content_type"), F.col("carried_url").alias("url")), weights
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """content_id, residue, probability and the deciding sentence of the main body of every row with a text."""
     clean, weights = _clean(spark, sf_dir)
     bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"]))
-    model = residue.fitted(bodies, "text", "url")
+    model = residue.fitted(bodies, "text", "carried_url")
     return residue.judged(bodies, model, "id", "text").withColumnRenamed("id", "content_id")
 
 

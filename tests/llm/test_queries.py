@@ -1,0 +1,27 @@
+"""Every query of the subpackage runs at the smallest scale with the stated columns, and agrees with its SQL."""
+
+import duckdb
+import pytest
+
+from indexloom.llm import queries
+
+DATA = "/root/testdata/sf0.001"
+COLUMNS = {
+    "p1_found": [("content_id", "bigint")], "p2_found": [("content_id", "bigint"), ("line_no", "int")], "p3_found": [("source_table", "string"), ("document_id", "bigint"), ("section_index", "int")],
+    "p4_found": [("source_table", "string"), ("record_id", "bigint"), ("line_no", "int"), ("lang", "string")], "p5_found": [("id_a", "bigint"), ("id_b", "bigint")], "p6_found": [("content_id", "bigint")],
+    "p7_ids": [("doc_id", "bigint"), ("ids", "array<int>")], "p8_found": [("doc_id", "bigint"), ("item_id", "bigint")], "p9_found": [("doc_id", "bigint"), ("subject_code", "string")],
+}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query(spark, name):
+    df = queries.QUERIES[name](spark, DATA)
+    rows = df.collect()
+    assert name not in COLUMNS or df.dtypes == COLUMNS[name]
+    if name.endswith("_found"):
+        assert len(rows) == len(set(rows))
+    if name in queries.SQL:
+        sql = queries.SQL[name]
+        for t in ("section_extractions", "document_sections"):
+            sql = sql.replace(f"FROM {t}", f"FROM '{DATA}/{t}.parquet'")
+        assert sorted(map(tuple, rows)) == sorted(duckdb.sql(sql).fetchall())
