@@ -49,6 +49,7 @@ def test_edges(spark):
     item = " ".join(f"word{i}" for i in range(30))
     near = " ".join(f"word{i}" if i % 6 else "other" for i in range(30))
     rows = [(1, item, 0), (1, item, 0), (2, None, 0), (3, "", 0), (None, item, 0), (4, "x " * 50_000 + item, 0), (5, near, 0), (6, " ".join(item.split()[:24]), 0)]
+    rows += [(10 + i, "word0 word6 word12 word18 word24", 0) for i in range(5)]  # so that the words that differ are not the rarest
     docs = spark.createDataFrame(rows, "doc_id bigint, body string, item_id int")
     items = spark.createDataFrame([(7, item, "t"), (8, "too short", "t"), (9, None, "t"), (None, item, "t")], "item_id bigint, text string, body string")
     got = {r.doc_id: r for r in leaks.leaks(docs, items, doc_text="body").collect()}
