@@ -29,9 +29,9 @@ SWAPS = tuple(
     (a, b)
     for b, read in {
         "cp1250": ("cp1252", "latin-1", "iso8859-2", "mac-roman", "cp852"), "iso8859-2": ("cp1252", "latin-1", "cp1250"),
-        "cp1251": ("cp1252", "latin-1", "koi8-r", "cp866", "iso8859-5", "mac-cyrillic"), "koi8-r": ("cp1251", "cp1252", "latin-1", "cp866", "iso8859-5"),
-        "cp866": ("cp1251", "cp1252", "latin-1", "koi8-r", "cp437"), "iso8859-5": ("cp1251", "cp1252", "latin-1", "koi8-r"),
-        "gb18030": ("latin-1", "cp1252", "cp1251", "big5"), "big5": ("latin-1", "cp1252", "gb18030"),
+        "cp1251": ("cp1252", "latin-1", "koi8-r", "cp866", "iso8859-5", "mac-cyrillic", "mac-roman", "cp437", "cp850"), "koi8-r": ("cp1251", "cp1252", "latin-1", "cp866", "iso8859-5", "mac-roman", "cp437"),
+        "cp866": ("cp1251", "cp1252", "latin-1", "koi8-r", "cp437", "cp850", "mac-roman"), "iso8859-5": ("cp1251", "cp1252", "latin-1", "koi8-r", "mac-roman"),
+        "gb18030": ("latin-1", "cp1252", "cp1251", "cp1250", "mac-roman", "cp437", "cp850", "big5"), "big5": ("latin-1", "cp1252", "gb18030"),
         "cp1252": ("mac-roman", "cp437", "cp850", "cp1250", "cp1251", "iso8859-2", "koi8-r", "cp866"), "mac-roman": ("cp1252", "latin-1"), "cp850": ("cp1252", "latin-1"), "cp437": ("cp1252", "latin-1"), "cp852": ("cp1252", "cp1250", "latin-1"),
     }.items()
     for a in read
@@ -91,6 +91,7 @@ def _pairs(name: str) -> re.Pattern:
 
 SPELLS = {n: _pairs(n) for n in SINGLE}
 _high = re.compile(r"[^\x00-\x7e]").findall
+_control = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]").findall
 _double = re.compile(r"[^\x00-\x7f]{2}").search
 _wide = re.compile("[\u2e80-\U0010ffff]")
 
@@ -110,10 +111,24 @@ _chunks = re.compile(r"([ \t�]+)")
 
 
 def _partly(s: str, read: str) -> str | None:
-    """As ``_undone`` to UTF-8, word by word; words that cannot be undone stay."""
+    """As ``_undone`` to UTF-8, word by word: words that cannot be undone stay, a few bytes that are gone in a long one
+    are replaced, and a last byte that was taken for a blank (U+00A0) is put back."""
     parts = _chunks.split(s)
-    new = [p if p.isascii() else (_undone(p, read, "utf-8") or p) for p in parts]
-    return "".join(new) if new != parts else None
+    codec, blank = CODECS[read], CODECS[read].table[0xA0] if read in SINGLE else ""
+    for i, p in enumerate(parts):
+        if p.isascii() or p.isspace():
+            continue
+        new = _undone(p, read, "utf-8") or (blank and _undone(p + blank, read, "utf-8"))
+        if not new and len(p) > 8:
+            try:
+                new = codec.encode(p).decode("utf-8", "replace")
+            except (UnicodeError, ValueError):
+                continue
+            if 5 * new.count("�") > len(_high(new)):
+                continue
+        parts[i] = new or p
+    out = "".join(parts)
+    return out if out != s else None
 
 
 def readings(line: str, depth: int = 3, swaps: bool = True) -> dict[str, tuple[str, ...]]:
@@ -126,9 +141,9 @@ def readings(line: str, depth: int = 3, swaps: bool = True) -> dict[str, tuple[s
             spelt = (n for n in SINGLE if SPELLS[n].search(s)) if _double(s) else ()
             for read in (*spelt, *(MULTI if _wide.search(s) else ())):
                 t = _undone(s, read, "utf-8")
-                if t is None and read in ("latin-1", "cp1252", "cp1250", "cp1251", "mac-roman", "cp437", "cp850", "gb18030"):
+                if t is None and not d and read in ("latin-1", "cp1252", "cp1250", "cp1251", "mac-roman", "cp437", "cp850", "gb18030"):
                     t = _partly(s, read)
-                if t is not None and t != line and t not in out and t not in new and t.isprintable() >= line.isprintable():
+                if t is not None and t != line and t not in out and t not in new and len(_control(t)) <= len(_control(line)):
                     new[t] = (*chain, f"{read}>utf-8")
             if not d and swaps:
                 for read, written in SWAPS:
@@ -187,6 +202,8 @@ class Coder:
             own = self.cost(line, escapes)
             swaps = own > PLAIN * len(line.encode("utf-8", "surrogatepass"))  # what a dictionary explains well is right
         others = readings(line, swaps=swaps)
+        if swaps and not clean:
+            others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
         if not others:
             return []
         escapes = escapes or self.escapes(line)
@@ -199,6 +216,23 @@ class Coder:
                 found.append((own - c, chain, text))
         return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
 
+    def _strange_words(self, line: str) -> dict[str, tuple[str, ...]]:
+        """Readings in which only words with strange characters change, where the line holds right words beside them."""
+        parts = _chunks.split(line)
+        held = [i for i, p in enumerate(parts) if not p.isascii() and not p.isspace()]
+        strange = [i for i in held if self.escapes(parts[i])[0][0]]
+        out: dict[str, tuple[str, ...]] = {}
+        if 0 < len(strange) < len(held):
+            for read, written in SWAPS:
+                new, changed = parts[:], False
+                for i in strange:
+                    t = _undone(parts[i], read, written)
+                    if t is not None and self.escapes(t)[0][0] < self.escapes(parts[i])[0][0]:
+                        new[i], changed = t, True
+                if changed:
+                    out.setdefault("".join(new), (f"{read}>{written}",))
+        return out
+
     def repair(self, text: str) -> tuple[str, list[str], int]:
         """The text with its best readings, the chains used, and the characters lost for good."""
         lines = text.split("\n")
@@ -214,7 +248,7 @@ class Coder:
         used: Counter = Counter()
         for i, g in enumerate(gains):
             # among near equal readings the chain that explains more of the text
-            pick = max(((gain + min(total[c], 60.0) * 0.02, c, t) for gain, c, t in g if c in paid and gain > LINE), default=None)
+            pick = max(((gain + min(total[c], 200.0) * 0.03, c, t) for gain, c, t in g if c in paid and gain > LINE), default=None)
             if pick:
                 lines[i] = pick[2] + "\r" * lines[i].endswith("\r")
                 used[pick[1]] += 1
