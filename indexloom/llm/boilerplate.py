@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the samples: pages, other documents, further texts.
-SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 2_400, 1_400, 1_800
+SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 2_200, 1_200, 1_400
 #: Least pages with a run; odds from which a run is furniture; the same for runs of words that other texts use too and that
 #: start no line; odds from which a run makes a line furniture that starts with it; how much one line can add to a region,
 #: and how much it can take, so that furniture inside the text does not part it; odds of runs that many pages have; and
@@ -106,7 +106,13 @@ class Scanner:
         return self.kept[line]
 
     def _score(self, line: str) -> tuple[float, float]:
-        toks = tokens(unquoted(line))
+        text = unquoted(line)
+        head, dash, _ = text.partition(" – ")
+        if dash and (of_head := self._weigh(tokens(head)))[0] <= -1:  # a link's title before its teaser
+            return of_head
+        return self._weigh(tokens(text))
+
+    def _weigh(self, toks: list[str]) -> tuple[float, float]:
         if not toks:
             return 0.0, 0.0
         known, alone, starts = self.w.known, self.w.alone, self.w.starts
