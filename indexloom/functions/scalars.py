@@ -110,3 +110,26 @@ def file_type_hint(text: Column) -> Column:
 
 def confidence_weight(confidence: Column, weighted: bool = True) -> Column:
     return F.coalesce(mapped(confidence, seeds.CONFIDENCE), F.lit(seeds.DEFAULT_CONFIDENCE)) if weighted else F.lit(1.0)
+
+
+def titled(name: Column) -> Column:
+    """A snake-case name as a title."""
+    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+
+
+def search_language(lang: Column, region: Column) -> Column:
+    """Language code for a search: Chinese needs its script."""
+    return F.when(F.lower(lang) == "zh", F.when(F.upper(region).isin("TW", "HK", "MO"), "zh-TW").otherwise("zh-CN")).otherwise(lang)
+
+
+def filled(template: str, **columns: Column) -> Column:
+    """A prompt: ``{name}`` in the template stands for a column, null for nothing; ``{{`` and ``}}`` are braces."""
+    import string
+
+    parts = []
+    for literal, name, _, _ in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(F.coalesce(columns[name].cast("string"), F.lit("")))
+    return F.concat(*parts) if parts else F.lit("")

@@ -48,3 +48,22 @@ def score_summary(df: DataFrame, by: list[str], score: str, cuts: tuple[float, .
 def common_values(df: DataFrame, value: str, k: int, order: str) -> DataFrame:
     """The ``k`` most frequent values, ties by first sight in ``order``."""
     return df.groupBy(value).agg(F.count("*").alias("n"), F.min(order).alias("first_seen")).orderBy(F.desc("n"), "first_seen", value).limit(k)
+
+
+def scored_results(results: DataFrame, scores: DataFrame, by: list[str], url: str = "url", least: float | None = 6.0, k: int | None = 5) -> DataFrame:
+    """Results with their score: the first result of an address counts, scores without one are dropped; the best ``k``."""
+    first = first_seen(results, [*by, url], ["position"])
+    out = first.join(scores, [*by, url])
+    out = out if least is None else out.where(F.col("score") >= least)
+    return out if k is None else top_k(out, by, [F.desc("score"), "position", url], k)
+
+
+def merged_lists(*lists: Column) -> Column:
+    """The items of all lists, first seen first, each once; null lists are empty."""
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*[F.coalesce(x, none) for x in lists]))
+
+
+def meaningful(text: Column) -> Column:
+    """Not one of the ways to say that there is nothing."""
+    return ~F.lower(F.trim(F.coalesce(text, F.lit("")))).isin("", "none", "none significant", "none.", "n/a")

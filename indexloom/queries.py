@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from indexloom import seeds
 from indexloom.functions import scalars, text
 from indexloom.operators import discovery, evidence, index, merge, resolve, retrieval, sensitivity, upsert
+from indexloom.plans import extraction, scoring
 from indexloom.sources import readers
 from indexloom.sources.readers import table
 from indexloom.streaming import incremental
@@ -531,3 +532,67 @@ def snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
     page = F.concat(F.lit('<html><script id="cases">[{"c": "'), F.upper("name"), F.lit('", "d": "2021-05-0'), (F.col("id") % 9 + 1).cast("string"), F.lit('", "f": "12,5"}]</script></html>'))
     cases = readers.embedded_json(c.select(page.alias("html")), "html", "cases", "c: string, d: string, f: string")
     return readers.case_indicators(cases, c)
+
+
+@query(f"""WITH r AS (SELECT o_orderkey AS id, CAST(o_orderkey % 14 AS INT) + 1 AS criterion_number, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 60 AS DOUBLE) / 10 END AS s, CASE WHEN o_orderkey % 3 = 0 THEN CAST(10 + o_orderkey % 41 AS DOUBLE) / 10 END AS l FROM orders WHERE o_orderkey % 10 = 1)
+SELECT id, s AS criterion_score, CASE WHEN criterion_number IN (4, 5, 7, 9, 14) THEN coalesce(l, s) ELSE l END AS legal_subscore, CASE WHEN criterion_number IN (4, 5, 7, 9, 14) THEN s END AS enforcement_subscore, 'low' AS confidence FROM r WHERE s BETWEEN 1 AND 5""")
+def score_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores read from JSON answers; out of range and missing ones are rejected."""
+    o = table(spark, sf, "orders").where("o_orderkey % 10 = 1")
+    s = F.when(F.col("o_orderkey") % 7 != 0, (F.col("o_orderkey") % 60).cast("double") / 10)
+    sub = F.when(F.col("o_orderkey") % 3 == 0, (10 + F.col("o_orderkey") % 41).cast("double") / 10)
+    answers = o.select(F.col("o_orderkey").alias("id"), ((F.col("o_orderkey") % 14).cast("int") + 1).alias("criterion_number"), F.concat(F.lit("```json\n"), F.to_json(F.struct(s.alias("criterion_score"), sub.alias("legal_subscore"))), F.lit("\n```")).alias("response"))
+    good, _ = scoring.parsed_scores(answers)
+    return good.select("id", "criterion_score", "legal_subscore", "enforcement_subscore", "confidence")
+
+
+@query("""WITH r AS (SELECT event_id % 200 AS grp, 'u' || (event_id % 37) AS url, event_id AS position FROM events), f AS (SELECT grp, url, min(position) AS position FROM r GROUP BY 1, 2),
+s AS (SELECT DISTINCT event_id % 200 AS grp, 'u' || (event_id % 41) AS url, CAST((event_id % 200 + event_id % 41) % 11 AS DOUBLE) AS score FROM events),
+t AS (SELECT f.*, s.score, row_number() OVER (PARTITION BY f.grp ORDER BY s.score DESC, f.position, f.url) AS place FROM f JOIN s ON s.grp = f.grp AND s.url = f.url WHERE s.score >= 6)
+SELECT grp, url, position, score, CAST(place AS INT) AS place FROM t WHERE place <= 5""")
+def scored_urls(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").withColumn("grp", F.col("event_id") % 200)
+    results = e.select("grp", F.concat(F.lit("u"), F.col("event_id") % 37).alias("url"), F.col("event_id").alias("position"))
+    given = e.select("grp", F.concat(F.lit("u"), F.col("event_id") % 41).alias("url"), ((F.col("event_id") % 200 + F.col("event_id") % 41) % 11).cast("double").alias("score")).distinct()
+    return discovery.scored_results(results, given, ["grp"])
+
+
+@query("""WITH l AS (SELECT id, list_concat(coalesce(languages, []), coalesce(aliases, []), ['en']) AS l FROM countries), x AS (SELECT id, unnest(l) AS x, generate_subscripts(l, 1) AS o FROM l),
+f AS (SELECT id, x, min(o) AS o FROM x GROUP BY 1, 2) SELECT id, string_agg(x, ',' ORDER BY o) AS merged FROM f GROUP BY 1""")
+def merged_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "countries").select("id", F.array_join(discovery.merged_lists(F.col("languages"), F.col("aliases"), F.array(F.lit("en"))), ",").alias("merged"))
+
+
+@query("SELECT coalesce(max(s.reference_year), 0) AS latest FROM (" + _SCORES + ") s")
+def latest_year(spark: SparkSession, sf: str) -> DataFrame:
+    return scores(spark, sf).agg(F.coalesce(F.max("reference_year"), F.lit(0)).alias("latest"))
+
+
+@query("SELECT succeeded, count(*) AS documents, sum(attempts) AS attempts FROM (SELECT doc_id, count(*) AS attempts, coalesce(bool_or(extraction_success), false) AS succeeded FROM (SELECT DISTINCT content_id, doc_id, extraction_success FROM document_contents) c GROUP BY 1) d GROUP BY 1")
+def status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "document_contents").select("content_id", "doc_id", "extraction_success").distinct()
+    d = rows.groupBy("doc_id").agg(F.count("*").alias("attempts"), F.coalesce(F.bool_or("extraction_success"), F.lit(False)).alias("succeeded"))
+    return d.groupBy("succeeded").agg(F.count("*").alias("documents"), F.sum("attempts").alias("attempts"))
+
+
+@query()
+def section_records(spark: SparkSession, sf: str) -> DataFrame:
+    """One record a document from all its extracted sections."""
+    x = table(spark, sf, "section_extractions").select("document_id", "section_index", "extracted_fields", "all_null", "error_message").distinct()
+    return extraction.records(x, "document_id", [], {"scope_count": "int", "consent": "boolean"})
+
+
+@query()
+def evidence_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence of all entities and criteria, with hashed words in place of an embedding model's vectors."""
+    x = table(spark, sf, "section_extractions").where("NOT all_null AND section_text_original IS NOT NULL").select("document_id", "id", "section_text_original", "all_null").distinct()
+    # a vector of 32 signed word counts, made inside the JVM
+    words = F.filter(F.split(F.lower("section_text_original"), r"[^\p{L}]+"), lambda w: w != "")
+    spots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(32)).cast("int"))
+    vector = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.size(F.filter(spots, lambda s: s == i)).cast("double"))
+    vectors = x.withColumn("embedding", vector)
+    ask = spark.createDataFrame(list(seeds.QUERY_SENTENCES.items()), "criterion_number int, section_text_original string").select("criterion_number", vector.alias("query_embedding"))
+    docs = table(spark, sf, "documents").where("criteria_ids IS NOT NULL AND country_id IS NOT NULL").select(F.col("doc_id").alias("document_id"), "country_id", "document_type", "official_name", "criteria_ids")
+    r = table(spark, sf, "enforcement_records").where("country_id IS NOT NULL AND pi_criterion_number IS NOT NULL").select("id", "country_id", "pi_criterion_number", "enforcing_body", "summary", "reliability_score", "sanction_date").distinct()
+    i = spark.sql(_INDICATORS, supplier=table(spark, sf, "supplier")).withColumn("country_id", F.col("country_id").cast("int"))
+    return scoring.evidence_texts(vectors, docs, ask, r, i).select("country_id", "criterion_number", "n_evidence", F.length("evidence").alias("n_chars"))

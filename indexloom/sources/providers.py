@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESPONSE = "request_key string, response string, error string, tokens bigint"
@@ -63,3 +63,17 @@ def hashed_vector(text: str, dims: int = 64) -> list[float]:
 def usage(answers: DataFrame, by: list[str] = ()) -> DataFrame:
     """Calls, errors and tokens."""
     return answers.groupBy(*by).agg(F.count("*").alias("calls"), F.count("error").alias("errors"), F.sum("tokens").alias("tokens"))
+
+
+def retried(requests: DataFrame, answers: DataFrame, smaller: DataFrame, call: Callable[[str], str]) -> DataFrame:
+    """Answers in which those that failed or are empty were asked once more with the ``smaller`` payload of their key."""
+    good = answers.where("error IS NULL AND response <> ''")
+    again = smaller.join(requests.select("request_key"), "request_key", "left_semi").join(good.select("request_key"), "request_key", "left_anti")
+    return good.unionByName(called(again, call))
+
+
+def query_vectors(spark: SparkSession, embed: Callable[[str], list[float]] = hashed_vector) -> DataFrame:
+    """criterion_number and query_embedding of the fixed query sentences (a row a criterion)."""
+    from indexloom.seeds import QUERY_SENTENCES
+
+    return spark.createDataFrame([(n, embed(t)) for n, t in QUERY_SENTENCES.items()], "criterion_number int, query_embedding array<double>")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from indexloom.functions.scalars import decimal_of, linear_score, or_default, year_of
+from indexloom.functions.scalars import decimal_of, host_of, linear_score, or_default, year_of
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,3 +55,38 @@ def scraped(pages: DataFrame, html_col: str, score_class: str, status_class: str
         return F.nullif(F.trim(F.regexp_extract(html_col, rf"(?s)<[^>]*\bclass=[\"'][^\"']*\b{cls}\b[^\"']*[\"'][^>]*>\s*([^<]*)", 1)), F.lit(""))
 
     return pages.select(*keep, decimal_of(inner(score_class)).alias("indicator_value"), inner(status_class).alias("status"))
+
+
+def search_results(responses: DataFrame, keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(results, failed) of recorded search answers: url, title, snippet, position (from 1) and domain; soft errors fail.
+
+    A result without an address is dropped; an answer that is no JSON or carries an error is in ``failed``."""
+    item = "link: string, title: string, snippet: string"
+    parsed = responses.withColumn("r", F.from_json("response", f"struct<error: string, organic_results: array<struct<{item}>>>"))
+    bad = F.col("response").isNull() | F.col("r.error").isNotNull() | F.try_parse_json("response").isNull()
+    rows = parsed.where(~bad).select(*keep, F.posexplode("r.organic_results").alias("at", "x")).where("x.link <> ''")
+    found = rows.select(*keep, F.col("x.link").alias("url"), F.col("x.title").alias("title"), F.col("x.snippet").alias("snippet"), (F.col("at") + 1).alias("position"), host_of(F.col("x.link")).alias("domain"))
+    return found, parsed.where(bad).select(*keep, F.coalesce("r.error", F.lit("no answer")).alias("error"))
+
+
+def collected(sources: dict[str, Callable[[], DataFrame]]) -> tuple[DataFrame | None, dict[str, str | None]]:
+    """(union of the sources that can be read, error of each source or None): a failing one does not stop the others."""
+    out, errors = None, {}
+    for name, read in sources.items():
+        try:
+            part = read().withColumn("source_name", F.lit(name))
+            part.schema  # noqa: B018 - analysis fails here, not in the middle of the union
+        except Exception as e:  # noqa: BLE001
+            errors[name] = f"{type(e).__name__}: {e}"[:200]
+            continue
+        errors[name] = None
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out, errors
+
+
+def entity_rows(answers: DataFrame) -> DataFrame:
+    """Seed rows of entities from a provider's JSON: code in capitals and two letters, lists never null."""
+    r = F.from_json("response", "struct<name: string, iso_code: string, region: string, languages: array<string>, aliases: array<string>>")
+    none = F.array().cast("array<string>")
+    rows = answers.where("error IS NULL").select(r.alias("r")).where("r.name <> ''")
+    return rows.select(F.col("r.name").alias("name"), F.substring(F.upper("r.iso_code"), 1, 2).alias("iso_code"), F.coalesce("r.region", F.lit("")).alias("region"), F.coalesce("r.languages", none).alias("languages"), F.coalesce("r.aliases", none).alias("aliases"))
