@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from indexloom.functions.scalars import cosine, norm
 
@@ -25,6 +30,61 @@ def similar(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str
     return out if k is None else out.where(F.col("place") <= k)
 
 
+def similar_in_blocks(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, query_id: str, query_col: str, within: list[str] = (), least: float = 0.35, k: int | None = 20, max_queries: int = 10_000) -> DataFrame:
+    """As ``similar``, for long vectors: an Arrow batch of vectors is multiplied with all queries at once, and only the
+    batch's own ``k`` best of each query and group leave it, so little is shuffled."""
+    rows = queries.select(query_id, query_col).limit(max_queries + 1).collect()
+    if len(rows) > max_queries:
+        raise ValueError(f"more than {max_queries} query vectors; look up at most so many at a time")
+    rows = [r for r in rows if r[1] and any(r[1])]
+    schema = vectors.select(id_col, *within).join(queries.select(query_id).limit(0)).select(query_id, *within, id_col).withColumn("similarity", F.lit(0.0)).schema
+    sent = vectors.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [list(map(float, r[1])) for r in rows]))
+    names = [query_id, *within, id_col, "similarity"]
+    kind = to_arrow_schema(schema).field(0).type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, given = sent.value
+        by_length: dict[int, list[int]] = {}
+        for i, v in enumerate(given):
+            by_length.setdefault(len(v), []).append(i)
+        matrices = {n: np.array([given[i] for i in own]) for n, own in by_length.items()}
+        matrices = {n: m / np.linalg.norm(m, axis=1, keepdims=True) for n, m in matrices.items()}
+        for batch in batches:
+            vec, last = batch.column(batch.num_columns - 1), batch.num_columns - 2
+            sizes = vec.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for n, m in matrices.items():
+                at = np.flatnonzero(sizes == n)
+                if not len(at):
+                    continue
+                block = vec.take(pa.array(at)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(at), n)
+                length = np.linalg.norm(block, axis=1)
+                at, block, length = at[length > 0], block[length > 0], length[length > 0]
+                r, c = np.nonzero((sims := (block / length[:, None]) @ m.T) >= least)
+                found.append((at[r], np.array(by_length[n])[c], sims[r, c]))
+            if not found:
+                continue
+            row, col, sim = (np.concatenate(x) for x in zip(*found, strict=True))
+            if k is not None and len(row):
+                groups = np.zeros(batch.num_rows, np.int64)
+                for j in range(last):
+                    codes = batch.column(j).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                    groups = np.unique(groups * (int(codes.max(initial=0)) + 3) + codes + 1, return_inverse=True)[1]
+                place_of_id = np.argsort(np.argsort(batch.column(last).to_numpy(zero_copy_only=False), kind="stable"))
+                order = np.lexsort((place_of_id[row], -sim, groups[row], col))
+                row, col, sim = row[order], col[order], sim[order]
+                start = np.flatnonzero(np.append(True, (col[1:] != col[:-1]) | (groups[row][1:] != groups[row][:-1])))
+                place = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+                row, col, sim = row[place < k], col[place < k], sim[place < k]
+            taken = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array([ids[c] for c in col], kind), *[batch.column(j).take(taken) for j in range(last)], batch.column(last).take(taken), pa.array(sim)], names=names)
+
+    near = vectors.where(F.col(id_col).isNotNull()).select(*within, id_col, vector_col).mapInArrow(run, schema)
+    order = Window.partitionBy(query_id, *within).orderBy(F.desc("similarity"), id_col)
+    out = near.withColumn("place", F.row_number().over(order))
+    return out if k is None else out.where(F.col("place") <= k)
+
+
 def first_k(df: DataFrame, by: list[str], order: list, k: int | None) -> DataFrame:
     """The first ``k`` rows of each group in ``order``, with their place."""
     out = df.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

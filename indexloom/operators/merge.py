@@ -6,27 +6,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def in_order(order: Column | str, value: Column) -> Column:
+#: Orders of a first-level part: a group of any size is put together from parts of at most about so many rows.
+PART = 1_000
+
+
+def in_order(order: Column, value: Column) -> Column:
     """Aggregate: the non-null values of a group as a list in ``order`` (ties by the value)."""
-    held = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(F.col(order).alias("o") if isinstance(order, str) else order.alias("o"), value.alias("v")))))
+    held = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))))
     return F.transform(held, lambda x: x["v"])
 
 
 def first_value(order: str, value: Column) -> Column:
-    """Aggregate: the first non-null value in order."""
+    """Aggregate: the first non-null value in order; partial aggregates hold one row."""
     return F.min_by(value, F.when(value.isNotNull(), F.struct(F.col(order), value)))
 
 
+def distinct_in_order(df: DataFrame, by: list[str], order: str, lists: list[str]) -> DataFrame:
+    """Distinct items of each list column, first seen first.
+
+    The first sight of each item is aggregated before anything is collected, so a hot group brings its distinct items
+    together and not its rows."""
+    names = F.array(*map(F.lit, lists))
+    items = df.select(*by, F.col(order).alias("__o"), F.explode(F.arrays_zip(names.alias("c"), F.array(*[F.col(c) for c in lists]).alias("l"))).alias("x"))
+    seen = items.select(*by, "__o", F.col("x.c").alias("c"), F.posexplode("x.l").alias("at", "v")).where("v IS NOT NULL")
+    first = seen.groupBy(*by, "c", "v").agg(F.min(F.struct("__o", "at")).alias("f"))
+    none = F.array().cast("array<string>")
+    return first.groupBy(*by).agg(*[F.coalesce(F.transform(F.array_sort(F.collect_list(F.when(F.col("c") == c, F.struct("f", "v")))), lambda x: x["v"]), none).alias(c) for c in lists])
+
+
 def merged(df: DataFrame, by: list[str], order: str, lists: list[str] = (), objects: list[str] = (), scalars: list[str] = (), notes: str | None = None) -> DataFrame:
     """``lists``: distinct strings, first seen first; ``objects``: all, in order; ``scalars``: first that is not null;
-    ``notes``: '[§index] note' of each section, joined with ' | '."""
-    aggs = [F.array_distinct(F.filter(F.flatten(in_order(order, F.col(c))), lambda x: x.isNotNull())).alias(c) for c in lists]
-    aggs += [F.flatten(in_order(order, F.col(c))).alias(c) for c in objects]
-    aggs += [first_value(order, F.col(c)).alias(c) for c in scalars]
-    if notes:
-        line = F.concat(F.lit("[§"), F.col(order), F.lit("] "), F.col(notes))
-        aggs.append(F.nullif(F.array_join(in_order(order, F.when(F.col(notes) != "", line)), " | "), F.lit("")).alias(notes))
-    return df.groupBy(*by).agg(*aggs)
+    ``notes``: '[§index] note' of each section, joined with ' | '.
+
+    ``order`` is a whole number.  Objects and notes are put together in parts of PART orders first, so that no task sorts
+    a whole hot group; what they become is one value by definition."""
+    line = F.concat(F.lit("[§"), F.col(order), F.lit("] "), F.col(notes)) if notes else None
+    part = df.groupBy(*by, F.floor(F.col(order) / PART).alias("__part")).agg(
+        F.count("*").alias("__n"),
+        *[F.flatten(in_order(F.col(order), F.col(c))).alias(c) for c in objects],
+        *[first_value(order, F.col(c)).alias(c) for c in scalars],
+        *([F.nullif(F.array_join(in_order(F.col(order), F.when(F.col(notes) != "", line)), " | "), F.lit("")).alias(notes)] if notes else []),
+    )
+    p = F.col("__part")
+    out = part.groupBy(*by).agg(
+        F.sum("__n").alias("__n"),
+        *[F.flatten(in_order(p, F.col(c))).alias(c) for c in objects],
+        *[first_value("__part", F.col(c)).alias(c) for c in scalars],
+        *([F.nullif(F.array_join(in_order(p, F.col(notes)), " | "), F.lit("")).alias(notes)] if notes else []),
+    ).drop("__n")
+    if lists:
+        got = distinct_in_order(df, by, order, lists)
+        on = [out[k].eqNullSafe(got[k]) for k in by]
+        condition = on[0]
+        for c in on[1:]:
+            condition = condition & c
+        none = F.array().cast("array<string>")
+        out = out.join(got, condition, "left").select(*[out[c] for c in out.columns], *[F.coalesce(got[c], none).alias(c) for c in lists])
+    return out
 
 
 def promoted(df: DataFrame, json_col: str, fields: dict[str, str]) -> DataFrame:

@@ -18,7 +18,7 @@ def evidence_texts(vectors: DataFrame, documents: DataFrame, queries: DataFrame,
     k best sections of a criterion are sought among the documents mapped to it, as one set-based plan for all."""
     mapped = documents.select("document_id", "country_id", "document_type", "official_name", F.explode("criteria_ids").alias("for_criterion"))
     embedded = vectors.where("embedding IS NOT NULL AND NOT all_null").select("document_id", "id", "embedding", "section_text_original")
-    near = evidence.similar(embedded, queries, "id", "embedding", "criterion_number", "query_embedding", within=["document_id"], least=least, k=None).drop("place")
+    near = evidence.similar_in_blocks(embedded, queries, "id", "embedding", "criterion_number", "query_embedding", within=["document_id"], least=least, k=None).drop("place")
     kept = near.join(mapped, (near.document_id == mapped.document_id) & (near.criterion_number == mapped.for_criterion)).drop(mapped.document_id)
     top = evidence.first_k(kept, KEYS, [F.desc("similarity"), "id"], k)
     texts = top.join(embedded.select("id", F.col("section_text_original").alias("body")), "id")

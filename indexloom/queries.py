@@ -98,7 +98,7 @@ SELECT n.n_name AS country_name, final_score, legal_score, enforcement_score, ca
 FROM idx JOIN nation n ON n.n_nationkey = idx.country_id LEFT JOIN r USING (country_id)""")
 def index_ranked_export(spark: SparkSession, sf: str) -> DataFrame:
     ranked = index.ranked(_index(spark, sf), "country_id")
-    nation = F.broadcast(table(spark, sf, "nation"))  # a dimension of entities
+    nation = table(spark, sf, "nation")
     out = ranked.join(nation, ranked.country_id == nation.n_nationkey).select(F.col("n_name").alias("country_name"), "final_score", "legal_score", "enforcement_score", F.col("category").alias("pi_category"), "rank", "criteria_count")
     return out.orderBy(F.asc_nulls_last("rank"), "country_name")
 
@@ -419,9 +419,9 @@ def cache_hits_ttl(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").withColumn("key", scalars.cache_key(F.col("user_id").cast("string"), F.col("event_type"))).withColumn("ts", F.date_trunc("second", "ts"))
     raw = table(spark, sf, "events").withColumn("key", scalars.cache_key(F.col("user_id").cast("string"), F.col("event_type")))
     cache = raw.groupBy("key", "ts").agg(F.max("value").alias("value"))
-    now = raw.agg(F.max("ts").alias("now"))
-    last = upsert.latest(cache, ["key"], ["ts"]).crossJoin(F.broadcast(now))  # one row
-    fresh = incremental.unexpired(last, "ts", F.col("now"), 864_000)
+    now = raw.agg(F.max("ts")).scalar()
+    last = upsert.latest(cache, ["key"], ["ts"])
+    fresh = incremental.unexpired(last, "ts", now, 864_000)
     return upsert.cache_hits(e.select("key").distinct(), fresh.select("key", "value", "ts"), "key", F.lit(None).cast("timestamp"), None, "value", "ts").select("key", "value", "hit")
 
 

@@ -44,7 +44,7 @@ def embedded_json(pages: DataFrame, html_col: str, script_id: str, schema: str,
 
 def case_indicators(cases: DataFrame, entities: DataFrame) -> DataFrame:
     """Cases (c, d, f: country, date, fine) joined with entities by upper-cased name: year and amount (1 if unknown)."""
-    e = F.broadcast(entities.select(F.col("id").alias("country_id"), F.upper("name").alias("c_name")))
+    e = entities.select(F.col("id").alias("country_id"), F.upper("name").alias("c_name"))
     return cases.join(e, F.upper("c") == F.col("c_name")).select("country_id", year_of(F.col("d")).alias("source_year"), or_default(decimal_of(F.col("f").cast("string")), 1.0).alias("indicator_value"))
 
 

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -18,6 +18,9 @@ def test_merge(spark):
     got = {r.d: r for r in merge.merged(df, ["d"], "i", lists=["l"], scalars=["s"], notes="n").collect()}
     assert (got[1].l, got[1].s, got[1].n) == (["a", "b"], "DPA", "[§2] x | [§3] y")
     assert (got[2].l, got[2].s, got[2].n) == ([], None, None)
+    many = spark.range(3_000).select(F.lit(1).alias("d"), F.col("id").alias("i"), F.array((F.col("id") % 7).cast("string")).alias("l"), F.lit("n").alias("n"))
+    one = merge.merged(many, ["d"], "i", lists=["l"], notes="n").first()  # a hot group, over several parts
+    assert one.l == [str(i) for i in range(7)] and one.n.split(" | ") == [f"[§{i}] n" for i in range(3_000)]
     assert merge.merged(df, ["d"], "i", objects=["l"]).where("d = 1").first().l == ["a", None, "b", "a"]
 
 
@@ -69,8 +72,19 @@ def test_resolution(spark):
     q = spark.createDataFrame([("Valmeria",), ("VM",), ("ostrana",), ("xb",), ("Valmeri",), ("zzz",), (None,)], "q string")
     got = {r.q: (r.entity_id, r.stage) for r in resolve.resolved(q, e, "q").collect()}
     assert got == {"Valmeria": (1, "name"), "VM": (1, "alias"), "ostrana": (2, "folded"), "xb": (2, "code"), "Valmeri": (1, "fuzzy"), "zzz": (None, None), None: (None, None)}
-    with pytest.raises(ValueError):
-        resolve.resolved(q, e, "q", max_entities=1)
+    assert resolve.resolved(q.limit(0), e, "q").count() == 0 and {r.stage for r in resolve.resolved(q, e.limit(0), "q").collect()} == {None}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.text("abc", min_size=5, max_size=8), st.text("abc", min_size=5, max_size=8))
+def test_deletions_meet_within_two_edits(spark, a, b):
+    def left(x):
+        one = {x[:i] + x[i + 1 :] for i in range(len(x))}
+        return {x} | one | {y[:i] + y[i + 1 :] for y in one for i in range(len(y))}
+
+    row = spark.createDataFrame([(a, b)], "a string, b string").select(resolve.deletions(F.col("a")), resolve.deletions(F.col("b")), F.levenshtein("a", "b")).first()
+    assert set(row[0]) == left(a) and set(row[1]) == left(b)
+    assert row[2] > 2 or set(row[0]) & set(row[1])
 
 
 def test_similar(spark):
@@ -92,6 +106,16 @@ def test_weighted_mean_lies_between(values, weights):
         assert min(values) - 1e-6 <= mean <= max(values) + 1e-6
 
 
+def test_blocks_agree_with_columns(spark):
+    v = spark.range(400).select("id", (F.col("id") % 3).alias("g"), F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(6)]).alias("v"))
+    v = v.unionByName(spark.createDataFrame([(900, 0, None), (901, 1, [0.0] * 6), (902, 2, [1.0]), (903, None, [1.0] + [0.0] * 5)], "id bigint, g bigint, v array<double>"))
+    q = spark.createDataFrame([(1, [1.0, 0.5, 0.0, 0.0, 0.0, 0.2]), (2, [0.0, 0.0, 1.0, 0.0, -1.0, 0.0]), (3, [0.0] * 6)], "qid int, q array<double>")
+    for within, k in (([], 7), (["g"], 3), (["g"], None)):
+        a, b = ({(r.qid, r.id, r.place): r.similarity for r in f(v, q, "id", "v", "qid", "q", within=within, least=0.3, k=k).collect()} for f in (evidence.similar, evidence.similar_in_blocks))
+        assert a.keys() == b.keys() and all(abs(a[x] - b[x]) < 1e-9 for x in a) and a
+    assert evidence.similar_in_blocks(v.limit(0), q, "id", "v", "qid", "q").count() == 0
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("http://u@a.b:80/c?d", "1.234,5"), ("no address", "x")], "u string, n string")
     got = df.select(scalars.host_of(F.col("u")), scalars.decimal_of(F.col("n")), scalars.slug(F.col("u"))).collect()
