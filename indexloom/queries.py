@@ -14,7 +14,7 @@ from indexloom import seeds
 from indexloom.functions import scalars, text
 from indexloom.operators import discovery, evidence, index, merge, resolve, retrieval, sensitivity, upsert
 from indexloom.plans import extraction, scoring
-from indexloom.sources import readers
+from indexloom.sources import providers, readers
 from indexloom.sources.readers import table
 from indexloom.streaming import incremental
 
@@ -586,12 +586,8 @@ def section_records(spark: SparkSession, sf: str) -> DataFrame:
 def evidence_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Evidence of all entities and criteria, with hashed words in place of an embedding model's vectors."""
     x = table(spark, sf, "section_extractions").where("NOT all_null AND section_text_original IS NOT NULL").select("document_id", "id", "section_text_original", "all_null").distinct()
-    # a vector of 32 signed word counts, made inside the JVM
-    words = F.filter(F.split(F.lower("section_text_original"), r"[^\p{L}]+"), lambda w: w != "")
-    spots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(32)).cast("int"))
-    vector = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.size(F.filter(spots, lambda s: s == i)).cast("double"))
-    vectors = x.withColumn("embedding", vector)
-    ask = spark.createDataFrame(list(seeds.QUERY_SENTENCES.items()), "criterion_number int, section_text_original string").select("criterion_number", vector.alias("query_embedding"))
+    vectors = providers.embedded(x, "section_text_original")
+    ask = providers.query_vectors(spark)
     docs = table(spark, sf, "documents").where("criteria_ids IS NOT NULL AND country_id IS NOT NULL").select(F.col("doc_id").alias("document_id"), "country_id", "document_type", "official_name", "criteria_ids")
     r = table(spark, sf, "enforcement_records").where("country_id IS NOT NULL AND pi_criterion_number IS NOT NULL").select("id", "country_id", "pi_criterion_number", "enforcing_body", "summary", "reliability_score", "sanction_date").distinct()
     i = spark.sql(_INDICATORS, supplier=table(spark, sf, "supplier")).withColumn("country_id", F.col("country_id").cast("int"))

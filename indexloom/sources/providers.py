@@ -72,6 +72,19 @@ def retried(requests: DataFrame, answers: DataFrame, smaller: DataFrame, call: C
     return good.unionByName(called(again, call))
 
 
+def embedded(df: DataFrame, text_col: str, out_col: str = "embedding", chars: int = 1200, embed: Callable[[str], list[float]] = hashed_vector) -> DataFrame:
+    """All columns and the vector of the text's first ``chars`` characters (an embedding model's limit); null for null."""
+    schema = df.withColumn(out_col, F.lit(None).cast("array<double>")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            vectors = [None if t is None else embed(t[:chars]) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(vectors, pa.list_(pa.float64()))], names=[*batch.schema.names, out_col])
+
+    return df.mapInArrow(run, schema)
+
+
 def query_vectors(spark: SparkSession, embed: Callable[[str], list[float]] = hashed_vector) -> DataFrame:
     """criterion_number and query_embedding of the fixed query sentences (a row a criterion)."""
     from indexloom.seeds import QUERY_SENTENCES
