@@ -11,20 +11,22 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from math import log
+from collections.abc import Container, Iterator, Sequence
+from math import exp, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexloom.llm.common import bounded_sample
+
 #: Bounds of the samples: pages, other documents, further texts.
 SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 2_200, 1_200, 1_400
 #: Least pages with a run; odds from which a run is furniture; the same for runs of words that other texts use too and that
 #: start no line; odds from which a run makes a line furniture that starts with it; how much one line can add to a region,
 #: and how much it can take, so that furniture inside the text does not part it; odds of runs that many pages have; and
-#: characters of other texts that are no mere message.
-LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250
+#: characters of other texts that are no mere message; other texts that are read first.
+LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE, FEW = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250, 400
 _token = re.compile(r"[一-鿿]|[^\W\d_]+|\d+|[^\w\s]|_")
 _quoted = re.compile("«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|‘[^‘’]*’(?![^\\W\\d_])|\"[^\"\n]*\"")
 
@@ -39,17 +41,48 @@ def tokens(line: str) -> list[str]:
     return ["0" if t[0].isdigit() else t for t in _token.findall(line.lower())]
 
 
-def _runs(toks: list[str], known: set[str] | None) -> Iterator[tuple[int, int, str]]:
-    """(start, end, run) in the line with its two ends; words outside ``known`` are one and the same name."""
-    seq = ["^", *(t if known is None or t in known or not t[0].isalpha() else "N" for t in toks), "$"]
+def _named(toks: Sequence[str], known: Container[str]) -> list[str]:
+    """The words with the line's two ends; words outside ``known`` are one and the same name."""
+    return ["^", *(t if t in known or not t[0].isalpha() else "N" for t in toks), "$"]
+
+
+def _starts(runs: dict[str, float]) -> tuple[dict[str, float], dict[tuple[str, str], list[tuple[tuple[str, ...], float]]]]:
+    """(runs of one word, longer runs by their first two words), with their values."""
+    alone: dict[str, float] = {}
+    starts: dict[tuple[str, str], list[tuple[tuple[str, ...], float]]] = {}
+    for g, v in runs.items():
+        r = tuple(g.split(" "))
+        if len(r) == 1:
+            alone[g] = v
+        else:
+            starts.setdefault(r[:2], []).append((r, v))
+    return alone, starts
+
+
+def _runs(toks: Sequence[str], known: Container[str]) -> list[str]:
+    """The runs of a line with its two ends.
+
+    The end counts only with the start: teasers end in the words that texts are made of.  A Chinese character alone says
+    little: runs that hold some have three at least, or four from the start, and one other word or sign at most."""
+    seq = _named(toks, known)
+    last = len(seq) - 1
+    han = [t >= "一" for t in seq]
+    if not any(han):
+        out = seq[:last]
+        out += map(" ".join, zip(seq[: last - 1], seq[1:last]))
+        out += map(" ".join, zip(seq[: last - 2], seq[1 : last - 1], seq[2:last]))
+        if last < 3:
+            out.append(" ".join(seq))
+        return out
+    out = []
     for n in (1, 2, 3, 4):
-        for i in range(len(seq) - n + 1):
-            run = seq[i : i + n]
-            han = sum(t >= "一" for t in run)
-            # a Chinese character alone says little: two with an end or a sign, or four
-            # the end of a line counts only with its start: teasers end in the words that texts are made of
-            if (n - han < 2 and n >= 3 or n == 4 and run[0] == "^" if han else n < 4) and (run[-1] != "$" or run[0] == "^"):
-                yield i, i + n, " ".join(run)
+        for i in range(last - n + 2):
+            if i + n > last and i:
+                continue
+            k = sum(han[i : i + n])
+            if (n - k < 2 and n >= 3 or n == 4 and not i) if k else n < 4:
+                out.append(" ".join(seq[i : i + n]))
+    return out
 
 
 class Weights:
@@ -57,12 +90,7 @@ class Weights:
 
     def __init__(self, odds: dict[str, float], legal: frozenset[str], known: frozenset[str]) -> None:
         self.odds, self.legal, self.known = odds, legal, known
-        runs = [(tuple(g.split(" ")), v) for g, v in odds.items()]
-        self.alone = {r[0]: v for r, v in runs if len(r) == 1}
-        self.starts: dict[tuple[str, str], list[tuple[tuple[str, ...], float]]] = {}
-        for r, v in runs:
-            if len(r) > 1:
-                self.starts.setdefault(r[:2], []).append((r, v))
+        self.alone, self.starts = _starts(odds)
 
 
 def fit(pages: list[str], *others: list[str]) -> Weights:
@@ -72,16 +100,38 @@ def fit(pages: list[str], *others: list[str]) -> Weights:
     known = {w for w, n in seen.items() if n >= LEAST + 1}
     made: dict[tuple[str, ...], list[str]] = {}
 
-    def runs(line: tuple[str, ...], keep: dict | None) -> list[str]:
-        if keep is None and len(line) < 30:
-            if line not in made:
-                made[line] = [g for _, _, g in _runs(list(line), known)]
-            return made[line]
-        return [g for _, _, g in _runs(list(line), known) if keep is None or g in keep]
+    def runs(line: tuple[str, ...]) -> list[str]:
+        if len(line) >= 30:
+            return _runs(line, known)
+        if line not in made:
+            made[line] = _runs(line, known)
+        return made[line]
 
-    first = Counter(g for text in sides[0] for g in {g for x in text for g in runs(x, None)})
+    first = Counter(g for text in sides[0] for g in {g for x in text for g in runs(x)})
     pages_with = {g: n for g, n in first.items() if n >= LEAST and g.strip("^$N ")}
-    rest = [Counter(g for text in side for g in {g for x in text for g in runs(x, pages_with)}) for side in sides[1:]]
+    # what a few hundred other texts hold as often as pages is no furniture, so that few runs are left to be looked up
+    few = [Counter(g for text in side[:FEW] for g in {g for x in text for g in runs(x)}) for side in sides[1:]]
+    least = [(3, 1 / max(min(len(side), FEW), 1)) for side in sides[1:]]
+    usual = {g for c, (n, share) in zip(few, least, strict=True) for g, k in c.items() if k >= n and k * share > first[g] / max(len(sides[0]), 1) / exp(ODDS)}
+    pages_with = {g: n for g, n in pages_with.items() if g not in usual}
+    alone, starts = _starts(pages_with)
+    kept: dict[tuple[str, ...], set[str]] = {}
+
+    def held(line: tuple[str, ...]) -> set[str]:
+        """The runs of ``pages_with`` that a line holds, looked up by their first two words."""
+        if line not in kept:
+            seq = _named(line, known)
+            found = {t for t in seq if t in alone}
+            for i in range(len(seq) - 1):
+                for run, _ in starts.get((seq[i], seq[i + 1]), ()):
+                    if tuple(seq[i + 2 : i + len(run)]) == run[2:]:
+                        found.add(" ".join(run))
+            if len(line) >= 30:
+                return found
+            kept[line] = found
+        return kept[line]
+
+    rest = [Counter(g for text in side for g in set().union(*map(held, text))) for side in sides[1:]]
     sizes = [max(len(side), 1) for side in sides]
     texts_with = Counter(w for side in sides[1:] for text in side for w in {w for x in text for w in x})
     legal = frozenset(w for w in known if texts_with[w] >= 2)
@@ -116,7 +166,7 @@ class Scanner:
         if not toks:
             return 0.0, 0.0
         known, alone, starts = self.w.known, self.w.alone, self.w.starts
-        seq = ["^", *(t if t in known or not t[0].isalpha() else "N" for t in toks), "$"]
+        seq = _named(toks, known)
         cover, head = [0.0] * len(seq), 0.0
         for i in range(len(seq) - 1):
             t = seq[i]
@@ -167,7 +217,7 @@ def fitted(df: DataFrame, text_col: str, kind_col: str, page_kind: str = "html",
     (texts that never were pages), those of the least hash.  Other texts that may be a mere message are left out."""
 
     def least(texts: DataFrame, n: int) -> list[str]:
-        return sorted({r.t for r in texts.where("t <> ''").orderBy(F.xxhash64("t"), "t").limit(n).collect()})
+        return sorted(r.t for r in bounded_sample(texts.where("t <> ''"), n).collect())
 
     rows, page = df.select(F.col(text_col).alias("t"), kind_col), F.col(kind_col).eqNullSafe(page_kind)
     more = least(corpus.select(F.col(corpus_col).alias("t")), SAMPLE_CORPUS) if corpus is not None else []

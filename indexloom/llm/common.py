@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,18 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """At most ``n`` distinct rows, those of the least hash of ``keys`` (all columns by default), whatever their order.
+
+    Rows are first thinned by their hash to a few times ``n``, and copies become one, so that neither a sort nor the
+    driver ever sees more than that, however many partitions there are."""
+    names = keys or tuple(df.columns)
+    total = df.count()
+    if total > 6 * n:
+        df = df.where(F.pmod(F.xxhash64(*names), F.lit(1 << 40)) < int((1 << 40) * 3 * n / total))
+    return df.distinct().orderBy(F.xxhash64(*names), *names).limit(n)
+
+
 def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``rows`` (columns of a batch as lists -> columns of any length) batch by batch."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -17,10 +17,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexloom.llm.common import bounded_sample
+
 #: Bounds of the samples the dictionaries are made from, their size, and the prices (bytes) of an escaped character, of a
 #: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for;
 #: share of a line's bytes from which it is plain text of a language.
-SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE, PLAIN = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5, 0.5
+SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE, PLAIN = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5, 0.65
 #: Single-byte encodings that text is read in by mistake.
 SINGLE = ("latin-1", "cp1252", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "koi8-r", "cp1254")
 MULTI = ("gb18030", "big5", "cp932")
@@ -160,6 +162,7 @@ class Coder:
 
     def __init__(self, dictionaries: dict[str, bytes], alphabets: dict[str, str]) -> None:
         self.alphabets = {k: frozenset(v) for k, v in alphabets.items()}
+        self.langs, self.lacks = list(alphabets), {}
         self.press = {}
         for k, d in dictionaries.items():
             use = zstandard.ZstdCompressionDict(d)
@@ -169,9 +172,14 @@ class Coder:
 
     def escapes(self, line: str) -> list[tuple[float, str]]:
         """(price of the escapes, language), cheapest first: characters outside the alphabet, odd neighbours."""
-        high = Counter(c for c in line if c > "\x7e")
-        odd = ESCAPE * len(_odd(line))
-        return sorted((odd + ESCAPE * sum(n for c, n in high.items() if c not in letters), k) for k, letters in self.alphabets.items())
+        counts, lacks = [len(_odd(line))] * len(self.langs), self.lacks
+        for c, n in Counter(_high(line)).items():
+            where = lacks.get(c)
+            if where is None:
+                where = lacks[c] = tuple(j for j, k in enumerate(self.langs) if c not in self.alphabets[k])
+            for j in where:
+                counts[j] += n
+        return sorted(zip((ESCAPE * n for n in counts), self.langs, strict=True))
 
     def cost(self, line: str, escapes: list[tuple[float, str]], most: float = 1e9) -> float:
         """Least length over the languages; those whose escapes alone reach ``most`` are passed over."""
@@ -290,9 +298,9 @@ def fit(labelled: list[tuple[str, str]], texts: list[str]) -> tuple[dict[str, by
 
 def fitted(samples: DataFrame, corpus: DataFrame, lang_col: str, sample_col: str, text_col: str) -> tuple[dict[str, bytes], dict[str, str]]:
     """As ``fit``, of at most SAMPLE_LINES labelled texts and SAMPLE_TEXTS texts of the corpus, those of the least hash."""
-    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(sample_col).alias("t")).where("k <> '' AND t IS NOT NULL").distinct().orderBy(F.xxhash64("k", "t")).limit(SAMPLE_LINES).collect()
-    texts = corpus.select(F.col(text_col).alias("t")).where("t <> ''").orderBy(F.xxhash64("t"), "t").limit(SAMPLE_TEXTS).collect()
-    return fit([(r.k, r.t) for r in rows], [r.t for r in texts])
+    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(sample_col).alias("t")).where("k <> '' AND t IS NOT NULL")
+    texts = corpus.select(F.col(text_col).alias("t")).where("t <> ''")
+    return fit([(r.k, r.t) for r in bounded_sample(rows, SAMPLE_LINES).collect()], [r.t for r in bounded_sample(texts, SAMPLE_TEXTS).collect()])
 
 
 def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str, carry: list[str] = ()) -> DataFrame:

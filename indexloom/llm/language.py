@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indexloom.llm.common import bounded_sample
+
 #: Feature space, labelled lines used for training (bound of the sample), synthetic sequences, training steps, L2.
 FEATURES, SAMPLE_LINES, SEQUENCES, STEPS, L2 = 1 << 15, 4_000, 500, 60, 2e-4
 #: Share of a line that its own language must hold, and letters it needs, for the line to prove that a text is mixed.
@@ -231,8 +233,8 @@ class Tagger:
 
 def fitted(samples: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
     """The model of at most SAMPLE_LINES labelled texts (those of the least hash, so any order gives the same)."""
-    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(text_col).alias("t")).where("k <> '' AND t IS NOT NULL").distinct()
-    return train([(r.k, r.t) for r in rows.orderBy(F.xxhash64("k", "t")).limit(SAMPLE_LINES).collect()])
+    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(text_col).alias("t")).where("k <> '' AND t IS NOT NULL")
+    return train([(r.k, r.t) for r in bounded_sample(rows, SAMPLE_LINES).collect()])
 
 
 def named_language(col: Column) -> Column:
