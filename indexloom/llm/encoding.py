@@ -10,7 +10,8 @@ from __future__ import annotations
 import codecs
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
@@ -98,6 +99,15 @@ _double = re.compile(r"[^\x00-\x7f]{2}").search
 _wide = re.compile("[\u2e80-\U0010ffff]")
 
 
+@lru_cache(maxsize=None)
+def _swap_table(pair: tuple[str, str]) -> dict[str, str] | None:
+    """Characters beyond ASCII as the other encoding has their bytes; None where that is no matter of single bytes."""
+    read, written = (CODECS[n] for n in pair)
+    if not (isinstance(read, _Bytes) and isinstance(written, _Bytes)):
+        return None
+    return {read.table[b]: written.table[b] for b in range(0x80, 0x100)}
+
+
 def _undone(s: str, read: str, written: str) -> str | None:
     try:
         out = CODECS[written].decode(CODECS[read].encode(s))
@@ -133,7 +143,7 @@ def _partly(s: str, read: str) -> str | None:
     return out if out != s else None
 
 
-def readings(line: str, depth: int = 3, swaps: bool = True) -> dict[str, tuple[str, ...]]:
+def readings(line: str, depth: int = 3, swaps: Iterable[tuple[str, str]] = SWAPS) -> dict[str, tuple[str, ...]]:
     """The other texts a line may stand for, each with its shortest chain of steps (read>written)."""
     out: dict[str, tuple[str, ...]] = {}
     front = {line: ()}
@@ -147,8 +157,8 @@ def readings(line: str, depth: int = 3, swaps: bool = True) -> dict[str, tuple[s
                     t = _partly(s, read)
                 if t is not None and t != line and t not in out and t not in new and len(_control(t)) <= len(_control(line)):
                     new[t] = (*chain, f"{read}>utf-8")
-            if not d and swaps:
-                for read, written in SWAPS:
+            if not d:
+                for read, written in swaps:
                     t = _undone(s, read, written)
                     if t is not None and t not in new:
                         out.setdefault(t, (f"{read}>{written}",))
@@ -163,6 +173,7 @@ class Coder:
     def __init__(self, dictionaries: dict[str, bytes], alphabets: dict[str, str]) -> None:
         self.alphabets = {k: frozenset(v) for k, v in alphabets.items()}
         self.langs, self.lacks = list(alphabets), {}
+        self.known = frozenset().union(*self.alphabets.values()) | set(COMMON)
         self.press = {}
         for k, d in dictionaries.items():
             use = zstandard.ZstdCompressionDict(d)
@@ -209,7 +220,7 @@ class Coder:
             escapes = self.escapes(line)
             own = self.cost(line, escapes)
             swaps = own > PLAIN * len(line.encode("utf-8", "surrogatepass"))  # what a dictionary explains well is right
-        others = readings(line, swaps=swaps)
+        others = readings(line, swaps=self._swaps(line, high) if swaps else ())
         if swaps and not clean:
             others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
         if not others:
@@ -224,21 +235,44 @@ class Coder:
                 found.append((own - c, chain, text))
         return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
 
+    def _swaps(self, line: str, high: set[str]) -> list[tuple[str, str]]:
+        """The swaps worth trying: all characters map, to no more unknown ones; two-byte ones only for dense lines."""
+        unknown = sum(c not in self.known for c in high)
+        dense = 3 * len(_high(line)) >= len(line)
+        out = []
+        for pair in SWAPS:
+            table = _swap_table(pair)
+            if table is None:
+                if dense:
+                    out.append(pair)
+                continue
+            new = 0
+            for c in high:
+                t = table.get(c)
+                if t is None:
+                    break
+                new += t not in self.known
+            else:
+                if new <= unknown:
+                    out.append(pair)
+        return out
+
     def _strange_words(self, line: str) -> dict[str, tuple[str, ...]]:
         """Readings in which only words with strange characters change, where the line holds right words beside them."""
         parts = _chunks.split(line)
         held = [i for i, p in enumerate(parts) if not p.isascii() and not p.isspace()]
-        strange = [i for i in held if self.escapes(parts[i])[0][0]]
+        prices = {i: self.escapes(parts[i])[0][0] for i in held}
+        strange = [i for i in held if prices[i]]
         out: dict[str, tuple[str, ...]] = {}
         if 0 < len(strange) < len(held):
-            for read, written in SWAPS:
-                new, changed = parts[:], False
-                for i in strange:
-                    t = _undone(parts[i], read, written)
-                    if t is not None and self.escapes(t)[0][0] < self.escapes(parts[i])[0][0]:
-                        new[i], changed = t, True
-                if changed:
-                    out.setdefault("".join(new), (f"{read}>{written}",))
+            changed: dict[tuple[str, str], dict[int, str]] = {}
+            for i in strange:
+                for pair in self._swaps(parts[i], set(_high(parts[i]))):
+                    t = _undone(parts[i], *pair)
+                    if t is not None and self.escapes(t)[0][0] < prices[i]:
+                        changed.setdefault(pair, {})[i] = t
+            for (read, written), new in changed.items():
+                out.setdefault("".join(new.get(i, p) for i, p in enumerate(parts)), (f"{read}>{written}",))
         return out
 
     def repair(self, text: str) -> tuple[str, list[str], int]:
@@ -277,7 +311,7 @@ def fit(labelled: list[tuple[str, str]], texts: list[str]) -> tuple[dict[str, by
     lines: dict[str, list[tuple[int, str]]] = {k: [] for k in by}
     fresh = {k: Counter() for k in by}
     for line, n in sorted(seen.items()):
-        if not line or LOST.search(line) or not line.isascii() and any("utf-8" in c[0] for c in readings(line, 1, False).values()):
+        if not line or LOST.search(line) or not line.isascii() and any("utf-8" in c[0] for c in readings(line, 1, ()).values()):
             continue
         if first.escapes(line)[0][0] and any(g[0] > 2 * CHAIN for g in first.gains(line)):
             continue
