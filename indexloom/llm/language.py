@@ -125,8 +125,11 @@ def sequences(lines: list[tuple[str, str]], langs: list[str], n: int, seed: int
 
 
 def train(lines: list[tuple[str, str]], n: int = SEQUENCES, steps: int = STEPS) -> Model:
-    """Maximum likelihood with L2 by AdaGrad over the synthetic sequences; the same lines give the same model."""
-    m = Model(sorted({k for k, _ in lines}))
+    """Maximum likelihood with L2 by AdaGrad over the synthetic sequences; the same lines give the same model.
+    Without lines the only language is 'und' (undetermined)."""
+    m = Model(sorted({k for k, _ in lines}) or ["und"])
+    if not lines:
+        return m
     made = sequences(sorted(lines), m.langs, n)
     vocab = {w: i for i, w in enumerate(dict.fromkeys(w for words, _, _ in made for w in words))}
     feats = [features(w) for w in vocab]

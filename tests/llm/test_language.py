@@ -40,6 +40,11 @@ def test_marginals_sum_to_one(model):
     assert np.allclose(post[0, 2], joint.sum(1) / joint.sum(), atol=1e-3) and np.allclose(post[1, 2], joint.sum(0) / joint.sum(), atol=1e-3)
 
 
+def test_nothing_to_learn_from(spark):
+    got = language.document_languages(spark.createDataFrame([(1, "text")], "id bigint, t string"), language.train([]), "id", "t").first()
+    assert (got.lang, got.confidence) == ("und", 1.0)
+
+
 def test_mixed_lines(spark, model, samples):
     by = {}
     for k, t in samples:
