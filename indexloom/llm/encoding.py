@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from indexloom.llm.common import bounded_sample
 
 #: Bounds of the samples the dictionaries are made from, their size, and the prices (bytes) of an escaped character, of a
-#: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for;
-#: share of a line's bytes from which it is plain text of a language.
-SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE, PLAIN = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5, 0.65
+#: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for.
+SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5
 #: Single-byte encodings that text is read in by mistake.
 SINGLE = ("latin-1", "cp1252", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "koi8-r", "cp1254")
 MULTI = ("gb18030", "big5", "cp932")
@@ -41,6 +40,7 @@ SWAPS = tuple(
 )
 #: Signs that texts of every language may hold.
 COMMON = "·•«»“”„‘’–—…©§°"
+_signs = frozenset(COMMON)
 #: What is left of bytes that could not be decoded: the replacement character, and that character read wrongly again.
 LOST = re.compile("�|ï¿½|锟斤拷|ďż˝|пїЅ|я┐╜|├»┬┐┬╜|Ôªø|∩┐╜")
 #: Letters that an encoding could not hold leave question marks: one between letters, or two and more where a word goes on.
@@ -117,8 +117,7 @@ def _undone(s: str, read: str, written: str) -> str | None:
 
 
 #: Capitals inside a word, two scripts in a word, and signs right after a letter, which cost an escape each.
-_odd = re.compile("(?<=[a-zß-öø-ÿа-џ])[À-ÖØ-ÞЀ-Я]|(?<=[A-Za-zÀ-ÖØ-ſ])[Ѐ-ӿ一-鿿]|(?<=[Ѐ-ӿ])[A-Za-zÀ-ÖØ-ſ]|(?<=[^\\W\\d_])[§©®±¶¤¦¨¬¯´¸¼½¾¢£¥¹²³€†‡‰™]").findall
-_latin = re.compile(r"[\x00-\u024f\u1e00-\u206f\u2116\u20ac\u2122]*").fullmatch
+_odd = re.compile("(?<=[a-zß-öø-ÿа-џ])[À-ÖØ-ÞЀ-Я]|(?<=[A-Za-zÀ-ÖØ-ſ])[Ѐ-ӿ一-鿿]|(?<=[Ѐ-ӿ])[A-Za-zÀ-ÖØ-ſ]|(?<=[一-鿿])[A-Za-zÀ-ÖØ-ſ]|(?<=[^\\W\\d_])[§©®±¶¤¦¨¬¯´¸¼½¾¢£¥¹²³€†‡‰™]").findall
 _chunks = re.compile(r"([ \t�]+)")
 
 
@@ -180,6 +179,7 @@ class Coder:
             use.precompute_compress(level=LEVEL)
             self.press[k] = zstandard.ZstdCompressor(level=LEVEL, dict_data=use, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.kept: dict[str, tuple[float, list]] = {}
+        self.fitting: dict[frozenset[str], list[tuple[str, str]]] = {}
 
     def escapes(self, line: str) -> list[tuple[float, str]]:
         """(price of the escapes, language), cheapest first: characters outside the alphabet, odd neighbours."""
@@ -212,49 +212,44 @@ class Coder:
         return self.kept[line]
 
     def _gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
-        high = set(_high(line))
+        high = frozenset(_high(line))
         clean = any(high <= a for a in self.alphabets.values()) and not _odd(line)
-        own = escapes = None
-        swaps = not (clean and _latin(line))  # a Latin line without strange characters has no reading that is not UTF-8
-        if clean and swaps:
-            escapes = self.escapes(line)
-            own = self.cost(line, escapes)
-            swaps = own > PLAIN * len(line.encode("utf-8", "surrogatepass"))  # what a dictionary explains well is right
-        others = readings(line, swaps=self._swaps(line, high) if swaps else ())
-        if swaps and not clean:
+        others = readings(line, swaps=self._swaps(high))
+        if not clean:
             others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
         if not others:
             return []
-        escapes = escapes or self.escapes(line)
-        own, found = self.cost(line, escapes) if own is None else own, []
-        for text, chain in others.items():
-            new = self.escapes(text)
-            # a reading with more strange characters than the line is no candidate
-            c = self.cost(text, new, own) if new[0][0] <= escapes[0][0] else own
+        escapes = self.escapes(line)
+        # a reading with more strange characters than the line is no candidate
+        priced = [(t, c, new) for t, c in others.items() if (new := self.escapes(t))[0][0] <= escapes[0][0]]
+        own, found = self.cost(line, escapes) if priced else 0.0, []
+        for text, chain, new in priced:
+            c = self.cost(text, new, own)
             if c < own:
                 found.append((own - c, chain, text))
         return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
 
-    def _swaps(self, line: str, high: set[str]) -> list[tuple[str, str]]:
-        """The swaps worth trying: all characters map, to no more unknown ones; two-byte ones only for dense lines."""
+    def _swaps(self, high: frozenset[str]) -> list[tuple[str, str]]:
+        """The swaps that can be candidates for lines with these characters: two-byte ones always, others if all map and
+        no more are unknown; where the line fits an alphabet, what they map to must fit one as well."""
+        out = self.fitting.get(high)
+        if out is not None:
+            return out
         unknown = sum(c not in self.known for c in high)
-        dense = 3 * len(_high(line)) >= len(line)
+        fits = any(high <= a for a in self.alphabets.values())
         out = []
         for pair in SWAPS:
             table = _swap_table(pair)
             if table is None:
-                if dense:
-                    out.append(pair)
+                out.append(pair)
                 continue
-            new = 0
-            for c in high:
-                t = table.get(c)
-                if t is None:
-                    break
-                new += t not in self.known
-            else:
-                if new <= unknown:
-                    out.append(pair)
+            new = {table.get(c) for c in high}
+            if None in new or new == high and all(table[c] == c for c in high):
+                continue
+            if any(new <= a for a in self.alphabets.values()) if fits else sum(table[c] not in self.known for c in high) <= unknown:
+                out.append(pair)
+        if len(self.fitting) < 50_000:
+            self.fitting[high] = out
         return out
 
     def _strange_words(self, line: str) -> dict[str, tuple[str, ...]]:
@@ -267,7 +262,7 @@ class Coder:
         if 0 < len(strange) < len(held):
             changed: dict[tuple[str, str], dict[int, str]] = {}
             for i in strange:
-                for pair in self._swaps(parts[i], set(_high(parts[i]))):
+                for pair in self._swaps(frozenset(_high(parts[i]))):
                     t = _undone(parts[i], *pair)
                     if t is not None and self.escapes(t)[0][0] < prices[i]:
                         changed.setdefault(pair, {})[i] = t
@@ -279,14 +274,21 @@ class Coder:
         """The text with its best readings, the chains used, and the characters lost for good."""
         lines = text.split("\n")
         gains = [self.gains(x.strip("\r")) for x in lines]
-        total: Counter = Counter()
-        for g in gains:
-            best: dict[tuple[str, ...], float] = {}
-            for gain, chain, _ in g:
-                best[chain] = max(best.get(chain, 0.0), gain - LINE)
-            for chain, gain in best.items():
-                total[chain] += max(gain, 0.0)
-        paid = {c for c, gain in total.items() if gain > CHAIN + sum(STEP if x.endswith('>utf-8') else SWAP for x in c)}
+        # signs that every language may hold do not tell which of them was meant, so they pay for no chain
+        by_line = [{c: gain - LINE for gain, c, t in reversed(g) if not _signs.issuperset(_high(x + t))} for x, g in zip(lines, gains, strict=True)]
+        total, paid, saved = Counter(), set(), [0.0] * len(lines)
+        while True:  # a chain is paid for by what it saves beyond the chains that are paid already
+            more: Counter = Counter()
+            for best, so_far in zip(by_line, saved, strict=True):
+                for chain, gain in best.items():
+                    if gain > so_far and chain not in paid:
+                        more[chain] += gain - so_far
+            total = total or more
+            worth = [(gain - price, c) for c, gain in more.items() if gain > (price := CHAIN + sum(STEP if x.endswith(">utf-8") else SWAP for x in c))]
+            if not worth:
+                break
+            paid.add(chosen := max(worth)[1])
+            saved = [max(n, best.get(chosen, 0.0)) for best, n in zip(by_line, saved, strict=True)]
         used: Counter = Counter()
         for i, g in enumerate(gains):
             # among near equal readings the chain that explains more of the text

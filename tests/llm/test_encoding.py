@@ -33,6 +33,17 @@ def test_round_trip(coder, lang, written, read):
     assert fixed == text and chains and not lost
 
 
+@pytest.mark.parametrize(("written", "read"), [("cp1250", "cp1252"), ("iso8859-2", "latin-1")])
+def test_lines_that_fit_the_alphabet_of_another_language(model, written, read):
+    alphabets = model[1] | {"fr": model[1]["fr"] + "êëæñ¿", "pl": model[1]["pl"] + "ąćęłńóśźż"}
+    lines = ["Pielęgniarki piszę rejestr w każdym urzędzie.", "Sędziowie piszę rejestr w każdym urzędzie."]
+    pl = "\n".join([*LINES["pl"], *lines]).encode()
+    coder = encoding.Coder(model[0] | {"pl": pl}, alphabets)
+    bad = [encoding.CODECS[read].decode(encoding.CODECS[written].encode(x)) for x in lines]
+    assert all(set(encoding._high(x)) <= set(alphabets["fr"]) for x in bad)  # clean as they stand
+    assert coder.repair("\n".join(bad))[0] == "\n".join(lines)
+
+
 def test_twice_and_some_lines(coder):
     text = LINES["fr"][0]
     once = encoding.CODECS["cp1252"].decode(text.encode())
