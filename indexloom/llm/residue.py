@@ -57,6 +57,7 @@ FORMS = re.compile(
     r"\[(INSERT|TO BE|YOUR|Your|object) [^\]]*\]|\bundefined\b|\bNaN\b|\bXX/XX/XXXX\b"
 )
 _sentence = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_])|(?<=[。！？])\s*")
+_unspaced = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").search
 _word = re.compile(r"[一-鿿]|[^\W\d_]+|\d+|[^\w\s]+|_+")
 
 
@@ -184,7 +185,8 @@ class Judge:
         found = sentences(text)
         best, where = 0.0, ""
         for s, opens in found:
-            if s.rstrip(".").isalpha():  # a lone word is a name or the rest of a sentence
+            # a lone word is a name or the rest of a sentence, but not where its script has no blanks or it is a message itself
+            if s.rstrip(".").isalpha() and not _unspaced(s) and not weak_label(s):
                 continue
             p = self.kept.get((s, opens))
             if p is None:

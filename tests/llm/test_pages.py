@@ -77,6 +77,16 @@ def test_residue(judge):
         assert use.probability(text)[0] < residue.THRESHOLD, text
 
 
+def test_residue_of_letters_only():
+    bad = ["拒绝访问", "系统维护中", "示例文本示例文本", "undefined", "NaN"]
+    good = [("\n".join(x.format(n=i) for x in [*LEGAL, "数据控制者不得出售个人信息", "个人信息保护办法"]), f"h{i % 17}.example") for i in range(150)]
+    w, b, _ = residue.fit(good + [(m, f"h{i}.example") for i in range(12) for m in bad])
+    use = residue.Judge(w, b)
+    for text in bad:
+        assert use.probability(text)[0] >= residue.THRESHOLD, text
+    assert use.probability("个人信息保护办法")[0] < residue.THRESHOLD and use.probability("Sekeberg.") == (0.0, "")
+
+
 def test_residue_operator_edges(spark, judge):
     rows = [(1, MESSAGES[0], 1.0), (1, MESSAGES[0], 1.0), (2, None, None), (3, " ", 0.0), (4, (LEGAL[0] + " ") * 3_000, 0.0), (None, MESSAGES[1], 0.0)]
     df = spark.createDataFrame(rows, "content_id bigint, body string, probability double")
