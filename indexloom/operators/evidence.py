@@ -13,30 +13,48 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from indexloom.functions.scalars import cosine, norm
 
 
+def _blocks(queries: DataFrame, n: int, order: list[str], most: int) -> list[DataFrame]:
+    """The ``n`` queries in blocks of at most ``most`` rows."""
+    if most < 1:
+        raise ValueError(f"blocks of {most} query vectors; at least one is looked up at a time")
+    if n <= most:
+        return [queries]
+    placed = queries.withColumn("__at", F.row_number().over(Window.orderBy(*order)) - 1)
+    return [placed.where((F.col("__at") >= at) & (F.col("__at") < at + most)).drop("__at") for at in range(0, n, most)]
+
+
 def similar(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, query_id: str, query_col: str, within: list[str] = (), least: float = 0.35, k: int | None = 20, max_queries: int = 10_000) -> DataFrame:
     """Per query (and group ``within``) the ``k`` most similar vectors of at least ``least``: ids, similarity, place.
 
-    The queries are broadcast, at most ``max_queries`` of them (checked); vectors are read once and only their ids and
-    similarities are shuffled.  Ties go to the lesser id; null or zero vectors and other lengths match nothing."""
-    n = queries.count()
-    if n > max_queries:
-        raise ValueError(f"{n} query vectors; look up at most {max_queries} at a time")
-    q = queries.select(F.col(query_id), F.col(query_col).alias("__q"), norm(F.col(query_col)).alias("__nq"))
+    The queries are broadcast, at most ``max_queries`` of them at a time; vectors are read once for each such block and
+    only their ids and similarities are shuffled.  Ties go to the lesser id; null or zero vectors and other lengths match nothing."""
     v = vectors.select(id_col, *within, F.col(vector_col).alias("__v"), norm(F.col(vector_col)).alias("__nv"))
-    pairs = v.join(F.broadcast(q), F.size("__v") == F.size("__q")).select(query_id, *within, id_col, cosine(F.col("__v"), F.col("__q"), F.col("__nv"), F.col("__nq")).alias("similarity"))
-    pairs = pairs.where(F.col("similarity") >= least)
+    pairs = None
+    for block in _blocks(queries.select(query_id, query_col), queries.count(), [query_id, query_col], max_queries):
+        q = block.select(F.col(query_id), F.col(query_col).alias("__q"), norm(F.col(query_col)).alias("__nq"))
+        part = v.join(F.broadcast(q), F.size("__v") == F.size("__q")).select(query_id, *within, id_col, cosine(F.col("__v"), F.col("__q"), F.col("__nv"), F.col("__nq")).alias("similarity"))
+        part = part.where(F.col("similarity") >= least)
+        pairs = part if pairs is None else pairs.unionByName(part)
     order = Window.partitionBy(query_id, *within).orderBy(F.desc("similarity"), id_col)
     out = pairs.withColumn("place", F.row_number().over(order))
     return out if k is None else out.where(F.col("place") <= k)
 
 
 def similar_in_blocks(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, query_id: str, query_col: str, within: list[str] = (), least: float = 0.35, k: int | None = 20, max_queries: int = 10_000) -> DataFrame:
-    """As ``similar``, for long vectors: an Arrow batch of vectors is multiplied with all queries at once, and only the
-    batch's own ``k`` best of each query and group leave it, so little is shuffled."""
-    rows = queries.select(query_id, query_col).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} query vectors; look up at most so many at a time")
-    rows = [r for r in rows if r[1] and any(r[1])]
+    """As ``similar``, for long vectors: an Arrow batch of vectors is multiplied with all queries of a block at once, and
+    only the batch's own ``k`` best of each query and group leave it, so little is shuffled."""
+    near = None
+    for block in _blocks(queries.select(query_id, query_col), queries.count(), [query_id, query_col], max_queries):
+        part = _near(vectors, block, id_col, vector_col, query_id, query_col, within, least, k)
+        near = part if near is None else near.unionByName(part)
+    order = Window.partitionBy(query_id, *within).orderBy(F.desc("similarity"), id_col)
+    out = near.withColumn("place", F.row_number().over(order))
+    return out if k is None else out.where(F.col("place") <= k)
+
+
+def _near(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, query_id: str, query_col: str, within: list[str], least: float, k: int | None) -> DataFrame:
+    """Per query of one block, and group, the near vectors; the ``k`` best of each batch."""
+    rows = [r for r in queries.collect() if r[1] and any(r[1])]
     schema = vectors.select(id_col, *within).join(queries.select(query_id).limit(0)).select(query_id, *within, id_col).withColumn("similarity", F.lit(0.0)).schema
     sent = vectors.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [list(map(float, r[1])) for r in rows]))
     names = [query_id, *within, id_col, "similarity"]
@@ -79,10 +97,7 @@ def similar_in_blocks(vectors: DataFrame, queries: DataFrame, id_col: str, vecto
             taken = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array([ids[c] for c in col], kind), *[batch.column(j).take(taken) for j in range(last)], batch.column(last).take(taken), pa.array(sim)], names=names)
 
-    near = vectors.where(F.col(id_col).isNotNull()).select(*within, id_col, vector_col).mapInArrow(run, schema)
-    order = Window.partitionBy(query_id, *within).orderBy(F.desc("similarity"), id_col)
-    out = near.withColumn("place", F.row_number().over(order))
-    return out if k is None else out.where(F.col("place") <= k)
+    return vectors.where(F.col(id_col).isNotNull()).select(*within, id_col, vector_col).mapInArrow(run, schema)
 
 
 def first_k(df: DataFrame, by: list[str], order: list, k: int | None) -> DataFrame:

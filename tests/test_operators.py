@@ -116,6 +116,14 @@ def test_blocks_agree_with_columns(spark):
     assert evidence.similar_in_blocks(v.limit(0), q, "id", "v", "qid", "q").count() == 0
 
 
+@pytest.mark.parametrize("f", [evidence.similar, evidence.similar_in_blocks])
+def test_more_queries_than_a_block(spark, f):
+    v = spark.range(40).select("id", F.array((F.col("id") % 7 + 1).cast("double"), (F.col("id") % 5).cast("double")).alias("v"))
+    q = v.where("id < 11").select(F.col("id").alias("qid"), F.col("v").alias("q")).union(v.where("id = 3"))
+    one, many = (f(v, q, "id", "v", "qid", "q", k=4, max_queries=n).collect() for n in (12, 5))
+    assert len(one) == 44 and sorted((r.qid, r.id, r.place, round(r.similarity, 9)) for r in one) == sorted((r.qid, r.id, r.place, round(r.similarity, 9)) for r in many)
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("http://u@a.b:80/c?d", "1.234,5"), ("no address", "x")], "u string, n string")
     got = df.select(scalars.host_of(F.col("u")), scalars.decimal_of(F.col("n")), scalars.slug(F.col("u"))).collect()
