@@ -11,22 +11,22 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Container, Iterator, Sequence
+from collections.abc import Callable, Container, Iterable, Iterator, Sequence
 from math import exp, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import bounded_sample
+from indexloom.llm.common import stored
 
-#: Bounds of the samples: pages, other documents, further texts.
-SAMPLE_PAGES, SAMPLE_OTHERS, SAMPLE_CORPUS = 2_200, 1_200, 1_400
+#: Runs that a task counts before it passes them on.
+HELD = 300_000
 #: Least pages with a run; odds from which a run is furniture; the same for runs of words that other texts use too and that
 #: start no line; odds from which a run makes a line furniture that starts with it; how much one line can add to a region,
 #: and how much it can take, so that furniture inside the text does not part it; odds of runs that many pages have; and
-#: characters of other texts that are no mere message; other texts that are read first.
-LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE, FEW = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250, 400
+#: characters of other texts that are no mere message.
+LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250
 _token = re.compile(r"[一-鿿]|[^\W\d_]+|\d+|[^\w\s]|_")
 _quoted = re.compile("«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|‘[^‘’]*’(?![^\\W\\d_])|\"[^\"\n]*\"")
 
@@ -93,54 +93,58 @@ class Weights:
         self.alone, self.starts = _starts(odds)
 
 
+def _words_of(text: str) -> list[str]:
+    return [w for x in text.split("\n") if x.strip() for w in tokens(unquoted(x))]
+
+
+def _runs_of(text: str, known: Container[str], made: dict[str, list[str]]) -> list[str]:
+    """The runs of a text's lines; those of short lines are kept in ``made``, since lines of pages come again."""
+    out: list[str] = []
+    for x in {x for x in text.split("\n") if x.strip()}:
+        runs = made.get(x)
+        if runs is None:
+            runs = _runs(tokens(unquoted(x)), known)
+            if len(x) < 120 and len(made) < 50_000:
+                made[x] = runs
+        out += runs
+    return out
+
+
+def _rate(sizes: Sequence[int], counts: Sequence[int]) -> float:
+    return max([0.5 / max(sum(sizes[1:]), 1), *(c / max(m, 1) for c, m in zip(counts[1:], sizes[1:], strict=True))])
+
+
+def _weights(sizes: Sequence[int], words: list[tuple[str, int, int]], runs: Iterable[tuple[str, Sequence[int]]]) -> Weights:
+    """Of texts by side, (word, texts, texts other than pages) and (run, texts by side)."""
+    known = frozenset(w for w, n, _ in words if n >= LEAST + 1)
+    legal = frozenset(w for w, n, others in words if n >= LEAST + 1 and others >= 2)
+    odds = {}
+    for g, counts in runs:
+        if counts[0] < LEAST or not g.strip("^$N "):
+            continue
+        # the least number that chance leaves plausible, as a lone few pages beside many texts without a run prove little
+        sure = max(counts[0] - 1.96 * counts[0] ** 0.5, 1e-9)
+        w = log(counts[0] / sizes[0] / _rate(sizes, counts))
+        if w + log(sure / counts[0]) > (PLAIN_ODDS if legal.issuperset(w for w in g.split(" ") if w != "N") else ODDS):
+            odds[g] = round(w, 3)
+    return Weights(odds, legal, known)
+
+
 def fit(pages: list[str], *others: list[str]) -> Weights:
     """Odds from labelled texts: pages against the kind of other texts that has a run most often; once a text counts."""
-    sides = [[{tuple(tokens(unquoted(x))) for x in t.split("\n") if x.strip()} for t in side] for side in (pages, *others)]
-    seen: Counter = Counter(w for side in sides for text in side for w in {w for x in text for w in x})
+    sides = [pages, *others]
+    seen, beside = Counter(), Counter()
+    for j, side in enumerate(sides):
+        for t in side:
+            held = set(_words_of(t))
+            seen.update(held)
+            if j:
+                beside.update(held)
     known = {w for w, n in seen.items() if n >= LEAST + 1}
-    made: dict[tuple[str, ...], list[str]] = {}
-
-    def runs(line: tuple[str, ...]) -> list[str]:
-        if len(line) >= 30:
-            return _runs(line, known)
-        if line not in made:
-            made[line] = _runs(line, known)
-        return made[line]
-
-    first = Counter(g for text in sides[0] for g in {g for x in text for g in runs(x)})
-    pages_with = {g: n for g, n in first.items() if n >= LEAST and g.strip("^$N ")}
-    # what a few hundred other texts hold as often as pages is no furniture, so that few runs are left to be looked up
-    few = [Counter(g for text in side[:FEW] for g in {g for x in text for g in runs(x)}) for side in sides[1:]]
-    least = [(3, 1 / max(min(len(side), FEW), 1)) for side in sides[1:]]
-    usual = {g for c, (n, share) in zip(few, least, strict=True) for g, k in c.items() if k >= n and k * share > first[g] / max(len(sides[0]), 1) / exp(ODDS)}
-    pages_with = {g: n for g, n in pages_with.items() if g not in usual}
-    alone, starts = _starts(pages_with)
-    kept: dict[tuple[str, ...], set[str]] = {}
-
-    def held(line: tuple[str, ...]) -> set[str]:
-        """The runs of ``pages_with`` that a line holds, looked up by their first two words."""
-        if line not in kept:
-            seq = _named(line, known)
-            found = {t for t in seq if t in alone}
-            for i in range(len(seq) - 1):
-                for run, _ in starts.get((seq[i], seq[i + 1]), ()):
-                    if tuple(seq[i + 2 : i + len(run)]) == run[2:]:
-                        found.add(" ".join(run))
-            if len(line) >= 30:
-                return found
-            kept[line] = found
-        return kept[line]
-
-    rest = [Counter(g for text in side for g in set().union(*map(held, text))) for side in sides[1:]]
+    made: dict[str, list[str]] = {}
+    counts = [Counter(g for t in side for g in set(_runs_of(t, known, made))) for side in sides]
     sizes = [max(len(side), 1) for side in sides]
-    texts_with = Counter(w for side in sides[1:] for text in side for w in {w for x in text for w in x})
-    legal = frozenset(w for w in known if texts_with[w] >= 2)
-    odds = {}
-    for g, n in pages_with.items():
-        rate = max([0.5 / sum(sizes[1:], 1), *(c[g] / m for c, m in zip(rest, sizes[1:], strict=True))])
-        if (w := log(n / sizes[0] / rate)) > (PLAIN_ODDS if legal.issuperset(w for w in g.split(" ") if w != "N") else ODDS):
-            odds[g] = round(w, 3)
-    return Weights(odds, legal, frozenset(known))
+    return _weights(sizes, [(w, n, beside[w]) for w, n in seen.items()], ((g, [c[g] for c in counts]) for g in counts[0]))
 
 
 class Scanner:
@@ -213,15 +217,48 @@ class Scanner:
 
 
 def fitted(df: DataFrame, text_col: str, kind_col: str, page_kind: str = "html", corpus: DataFrame | None = None, corpus_col: str = "text") -> Weights:
-    """As ``fit``, of at most SAMPLE_PAGES pages, SAMPLE_OTHERS other texts of ``df`` and SAMPLE_CORPUS of ``corpus``
-    (texts that never were pages), those of the least hash.  Other texts that may be a mere message are left out."""
+    """As ``fit``, of all pages and other texts of ``df`` and all texts of ``corpus`` (texts that never were pages).
+
+    Other texts that may be a mere message are left out.  Words and runs are counted by Spark; the driver gets the known
+    words and the runs whose odds are those of furniture."""
+    page = F.col(kind_col).eqNullSafe(page_kind)
+    rows = df.select(F.when(page, 0).otherwise(1).alias("side"), F.col(text_col).cast("string").alias("t")).where((F.col("side") == 0) | (F.length("t") >= MESSAGE))
+    if corpus is not None:
+        rows = rows.unionByName(corpus.select(F.lit(2).alias("side"), F.col(corpus_col).cast("string").alias("t")))
+    texts = stored(rows.where("t <> ''").distinct())
+    found = {r.side: r.n for r in texts.groupBy("side").agg(F.count("*").alias("n")).collect()}
+    sizes = [max(found.get(j, 0), 1) for j in range(3 if found.get(2) else 2)]
+
+    def counted(of: Callable[[str], Iterable[str]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [Counter(), Counter(), Counter()]
+
+        def out() -> pa.RecordBatch:
+            keys = list(set().union(*counts))
+            batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([c[g] for g in keys], pa.int64()) for c in counts]], names=["g", "n0", "n1", "n2"])
+            for c in counts:
+                c.clear()
+            return batch
+
+        for batch in batches:
+            for side, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts[side].update(set(of(t)))
+                if sum(map(len, counts)) > HELD:
+                    yield out()
+        yield out()
+
+    def totals(run: Callable) -> DataFrame:
+        return texts.mapInArrow(run, "g string, n0 bigint, n1 bigint, n2 bigint").groupBy("g").agg(*[F.sum(n).alias(n) for n in ("n0", "n1", "n2")])
+
+    words = [(r.g, r.n0 + r.n1 + r.n2, r.n1 + r.n2) for r in totals(lambda b: counted(_words_of, b)).where(F.col("n0") + F.col("n1") + F.col("n2") >= LEAST + 1).toLocalIterator()]
+    sent = df.sparkSession.sparkContext.broadcast(frozenset(w for w, _, _ in words))
 
-    def least(texts: DataFrame, n: int) -> list[str]:
-        return sorted(r.t for r in bounded_sample(texts.where("t <> ''"), n).collect())
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, made = sent.value, {}
+        yield from counted(lambda t: _runs_of(t, known, made), batches)
 
-    rows, page = df.select(F.col(text_col).alias("t"), kind_col), F.col(kind_col).eqNullSafe(page_kind)
-    more = least(corpus.select(F.col(corpus_col).alias("t")), SAMPLE_CORPUS) if corpus is not None else []
-    return fit(least(rows.where(page).select("t"), SAMPLE_PAGES), least(rows.where(~page & (F.length("t") >= MESSAGE)).select("t"), SAMPLE_OTHERS), *([more] if more else []))
+    rate = F.greatest(F.lit(0.5 / max(sum(sizes[1:]), 1)), *[F.col(f"n{j}") / sizes[j] for j in range(1, len(sizes))])
+    few = totals(runs).where((F.col("n0") >= LEAST) & (F.log(F.col("n0") / sizes[0] / rate) > ODDS - 1e-9))
+    return _weights(sizes, words, [(r.g, [r.n0, r.n1, r.n2][: len(sizes)]) for r in few.toLocalIterator()])
 
 
 def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str) -> DataFrame:

@@ -27,6 +27,16 @@ def weights():
     return boilerplate.fit([page(i, i % 2 == 0) for i in range(60)], others)
 
 
+def test_all_pages_count(spark):
+    pages = [(page(i) + ("\nVolver arriba" if i % 600 == 0 else ""), "html") for i in range(8_000)]
+    others = ["\n".join([f"Decision number {i} of the office", *[x.format(n=i) for x in LEGAL]]) for i in range(6_000)]
+    df = spark.createDataFrame(pages + [(x, "pdf") for x in others], "t string, kind string")
+    got = boilerplate.fitted(df, "t", "kind")
+    assert "^ volver arriba" in got.odds  # 14 pages of 8,000
+    want = boilerplate.fit([t for t, _ in pages], others)
+    assert (got.odds, got.legal, got.known) == (want.odds, want.legal, want.known)
+
+
 @pytest.mark.parametrize("teaser", [False, True])
 def test_furniture(weights, teaser):
     text = page(77, teaser)
