@@ -122,6 +122,13 @@ def search_language(lang: Column, region: Column) -> Column:
     return F.when(F.lower(lang) == "zh", F.when(F.upper(region).isin("TW", "HK", "MO"), "zh-TW").otherwise("zh-CN")).otherwise(lang)
 
 
+def language_or_known(lang: Column, probability: Column, known: Column) -> Column:
+    """The detected language; the first known one where it is none of them and its probability is below 0.80."""
+    first = F.try_element_at(known, F.lit(1))
+    other = ~F.coalesce(F.exists(known, lambda x: x.eqNullSafe(lang)), F.lit(False))
+    return F.when(first.isNotNull() & (first != "") & other & (probability < 0.80), first).otherwise(lang)
+
+
 def filled(template: str, **columns: Column) -> Column:
     """A prompt: ``{name}`` in the template stands for a column, null for nothing; ``{{`` and ``}}`` are braces."""
     import string

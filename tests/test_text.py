@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from indexloom.functions import text
+from indexloom.functions import scalars, text
 
 
 def one(spark, column, value):
@@ -82,3 +82,10 @@ def test_gate_order(spark):
 def test_content_type(spark):
     df = spark.createDataFrame([("application/pdf", "x", b""), (None, "http://a/b.DOCX?x=1", b""), (None, "http://a/b", b"%PDF-1"), (None, None, b"")], "h string, u string, b binary")
     assert [r[0] for r in df.select(text.content_type_of(F.col("h"), F.col("u"), F.col("b"))).collect()] == ["pdf", "docx", "pdf", "html"]
+
+
+def test_language_or_known(spark):
+    rows = [("ca", 0.5, ["es", "eu"]), ("ca", 0.8, ["es"]), ("eu", 0.5, ["es", "eu"]), ("unknown", 0.0, ["es"]), ("ca", 0.5, []), ("ca", 0.5, None)]
+    df = spark.createDataFrame(rows, "lang string, p double, known array<string>")
+    got = [r[0] for r in df.select(scalars.language_or_known(F.col("lang"), F.col("p"), F.col("known"))).collect()]
+    assert got == ["es", "ca", "eu", "es", "ca", "ca"]
