@@ -179,7 +179,7 @@ class Coder:
             use.precompute_compress(level=LEVEL)
             self.press[k] = zstandard.ZstdCompressor(level=LEVEL, dict_data=use, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.kept: dict[str, tuple[float, list]] = {}
-        self.fitting: dict[frozenset[str], list[tuple[str, str]]] = {}
+        self.fitting: dict[tuple[frozenset[str], bool], list[tuple[str, str]]] = {}
 
     def escapes(self, line: str) -> list[tuple[float, str]]:
         """(price of the escapes, language), cheapest first: characters outside the alphabet, odd neighbours."""
@@ -214,7 +214,7 @@ class Coder:
     def _gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
         high = frozenset(_high(line))
         clean = any(high <= a for a in self.alphabets.values()) and not _odd(line)
-        others = readings(line, swaps=self._swaps(high))
+        others = readings(line, swaps=self._swaps(high, clean))
         if not clean:
             others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
         if not others:
@@ -229,14 +229,13 @@ class Coder:
                 found.append((own - c, chain, text))
         return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
 
-    def _swaps(self, high: frozenset[str]) -> list[tuple[str, str]]:
+    def _swaps(self, high: frozenset[str], clean: bool) -> list[tuple[str, str]]:
         """The swaps that can be candidates for lines with these characters: two-byte ones always, others if all map and
-        no more are unknown; where the line fits an alphabet, what they map to must fit one as well."""
-        out = self.fitting.get(high)
+        no more are unknown; where the line is clean, what they map to must fit one as well."""
+        out = self.fitting.get((high, clean))
         if out is not None:
             return out
         unknown = sum(c not in self.known for c in high)
-        fits = any(high <= a for a in self.alphabets.values())
         out = []
         for pair in SWAPS:
             table = _swap_table(pair)
@@ -246,10 +245,10 @@ class Coder:
             new = {table.get(c) for c in high}
             if None in new or new == high and all(table[c] == c for c in high):
                 continue
-            if any(new <= a for a in self.alphabets.values()) if fits else sum(table[c] not in self.known for c in high) <= unknown:
+            if any(new <= a for a in self.alphabets.values()) if clean else sum(table[c] not in self.known for c in high) <= unknown:
                 out.append(pair)
         if len(self.fitting) < 50_000:
-            self.fitting[high] = out
+            self.fitting[high, clean] = out
         return out
 
     def _strange_words(self, line: str) -> dict[str, tuple[str, ...]]:
@@ -262,7 +261,7 @@ class Coder:
         if 0 < len(strange) < len(held):
             changed: dict[tuple[str, str], dict[int, str]] = {}
             for i in strange:
-                for pair in self._swaps(frozenset(_high(parts[i]))):
+                for pair in self._swaps(frozenset(_high(parts[i])), False):
                     t = _undone(parts[i], *pair)
                     if t is not None and self.escapes(t)[0][0] < prices[i]:
                         changed.setdefault(pair, {})[i] = t
