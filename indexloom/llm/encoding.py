@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ from indexloom.llm.common import bounded_sample
 #: Bounds of the samples the dictionaries are made from, their size, and the prices (bytes) of an escaped character, of a
 #: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for.
 SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5
+#: Bytes that one character read anew can save at most (a match goes on in place of a literal and a new match), and what marks a character that a swap does not know.
+SAVED, BAR = 8.0, 1_000
 #: Single-byte encodings that text is read in by mistake.
 SINGLE = ("latin-1", "cp1252", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "koi8-r", "cp1254")
 MULTI = ("gb18030", "big5", "cp932")
@@ -96,6 +99,7 @@ SPELLS = {n: _pairs(n) for n in SINGLE}
 _high = re.compile(r"[^\x00-\x7e]").findall
 _control = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]").findall
 _double = re.compile(r"[^\x00-\x7f]{2}").search
+_letters = re.compile(r"[^\W\d_]+").findall
 _wide = re.compile("[\u2e80-\U0010ffff]")
 
 
@@ -167,38 +171,104 @@ def readings(line: str, depth: int = 3, swaps: Iterable[tuple[str, str]] = SWAPS
 
 
 class Coder:
-    """Description lengths of lines: a dictionary and an alphabet for each language."""
+    """Description lengths of lines: a dictionary and an alphabet for each language.
+
+    What is asked of characters is kept in arrays, a row a character: the languages that lack it, and for each swap of
+    single-byte encodings what becomes of it.  So the price of the escapes of every swap is known before any is made."""
 
     def __init__(self, dictionaries: dict[str, bytes], alphabets: dict[str, str]) -> None:
         self.alphabets = {k: frozenset(v) for k, v in alphabets.items()}
-        self.langs, self.lacks = list(alphabets), {}
+        self.langs = list(alphabets)
         self.known = frozenset().union(*self.alphabets.values()) | set(COMMON)
         self.press = {}
         for k, d in dictionaries.items():
             use = zstandard.ZstdCompressionDict(d)
             use.precompute_compress(level=LEVEL)
             self.press[k] = zstandard.ZstdCompressor(level=LEVEL, dict_data=use, write_content_size=False, write_checksum=False, write_dict_id=False)
-        self.kept: dict[str, tuple[float, list]] = {}
-        self.fitting: dict[tuple[frozenset[str], bool], list[tuple[str, str]]] = {}
+        self.kept: dict[str, list[tuple[float, tuple[str, ...], str]]] = {}
+        self.odd_of: dict[str, int] = {}
+        # words that a dictionary holds, and for each the swaps that make another such word of it (bits)
+        self.vocabulary = {w for d in dictionaries.values() for w in _letters(d.decode("utf-8", "ignore")) if not w.isascii()}
+        self.turns: dict[str, int] = {}
+        self.tables = [(pair, t) for pair in SWAPS if (t := _swap_table(pair)) is not None]
+        self.double = [pair for pair in SWAPS if _swap_table(pair) is None]
+        n, p, k = 1 << 10, len(self.tables), len(self.langs)
+        self.rows: dict[str, int] = {}
+        self.lacks, self.unknown = np.zeros((n, k), np.float32), np.zeros(n, np.float32)
+        self.swapped, self.strange, self.moved = np.zeros((n, p * k), np.float32), np.zeros((n, p), np.float32), np.zeros((n, p), np.float32)
+
+    def _lacking(self, c: str) -> list[bool]:
+        return [c not in self.alphabets[k] for k in self.langs]
+
+    def _row(self, c: str) -> int:
+        """The place of a character; those that no single-byte swap knows have what they become at BAR."""
+        at = self.rows.get(c)
+        if at is None:
+            at = self.rows[c] = len(self.rows)
+            if at == len(self.lacks):
+                for name in ("lacks", "unknown", "swapped", "strange", "moved"):
+                    old = getattr(self, name)
+                    setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+            self.lacks[at], self.unknown[at] = self._lacking(c), c not in self.known
+            for j, (_, table) in enumerate(self.tables):
+                new = table.get(c)
+                self.swapped[at, j * len(self.langs) : (j + 1) * len(self.langs)] = BAR if new is None else self._lacking(new)
+                self.strange[at, j] = BAR if new is None else new not in self.known
+                self.moved[at, j] = new != c
+        return at
+
+    def _turned(self, line: str) -> int | None:
+        """The swaps (bits) that make a known word of a word of the line; None where a word or sign is not known."""
+        bits, rest = 0, line
+        for w in set(_letters(line)):
+            if not w.isascii():
+                k = self.turns.get(w)
+                if k is None:
+                    if w not in self.vocabulary:
+                        return None
+                    k = sum(1 << j for j, (pair, _) in enumerate(self.tables) if _undone(w, *pair) in self.vocabulary)
+                    self.turns[w] = k
+                bits |= k
+                rest = rest.replace(w, "")
+        return bits if _signs.issuperset(_high(rest)) else None
+
+    def odd(self, line: str) -> int:
+        """Odd neighbours; none of them span a blank, and words come again."""
+        n, kept = 0, self.odd_of
+        for w in line.split():
+            if not w.isascii():
+                k = kept.get(w)
+                if k is None:
+                    k = len(_odd(w))
+                    if len(kept) < 200_000:
+                        kept[w] = k
+                n += k
+        return n
+
+    def _counted(self, line: str) -> tuple[np.ndarray, np.ndarray]:
+        counts = Counter(_high(line))
+        return np.array([self._row(c) for c in counts], np.int64), np.array(list(counts.values()), np.float32)
+
+    def _prices(self, line: str) -> np.ndarray:
+        """Price of the escapes by language: characters outside the alphabet, odd neighbours."""
+        at, n = self._counted(line)
+        return ESCAPE * (n @ self.lacks[at] + self.odd(line))
 
     def escapes(self, line: str) -> list[tuple[float, str]]:
-        """(price of the escapes, language), cheapest first: characters outside the alphabet, odd neighbours."""
-        counts, lacks = [len(_odd(line))] * len(self.langs), self.lacks
-        for c, n in Counter(_high(line)).items():
-            where = lacks.get(c)
-            if where is None:
-                where = lacks[c] = tuple(j for j, k in enumerate(self.langs) if c not in self.alphabets[k])
-            for j in where:
-                counts[j] += n
-        return sorted(zip((ESCAPE * n for n in counts), self.langs, strict=True))
-
-    def cost(self, line: str, escapes: list[tuple[float, str]], most: float = 1e9) -> float:
-        """Least length over the languages; those whose escapes alone reach ``most`` are passed over."""
+        """(price of the escapes, language), cheapest first."""
+        return self._sorted(self._prices(line))
+
+    def cost(self, line: str, escapes: list[tuple[float, str]], most: float = 1e9, took: dict[str, float] | None = None) -> float:
+        """Least length over the languages; those whose escapes alone reach ``most`` are passed over.  ``took`` gets the
+        lengths without escapes."""
         raw, best = line.encode("utf-8", "surrogatepass"), most
         for price, k in escapes:
             if price >= best:
                 break
-            best = min(best, price + len(self.press[k].compress(raw)))
+            n = float(len(self.press[k].compress(raw)))
+            if took is not None:
+                took[k] = n
+            best = min(best, price + n)
         return best
 
     def gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
@@ -212,58 +282,71 @@ class Coder:
         return self.kept[line]
 
     def _gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
-        high = frozenset(_high(line))
-        clean = any(high <= a for a in self.alphabets.values()) and not _odd(line)
-        others = readings(line, swaps=self._swaps(high, clean))
-        if not clean:
-            others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
-        if not others:
+        # words that a dictionary holds are matches: only what makes other known words of them can be shorter
+        turned = self._turned(line)
+        if turned == 0 and not _double(line):
             return []
-        escapes = self.escapes(line)
+        at, n = self._counted(line)
+        prices = ESCAPE * (n @ self.lacks[at] + self.odd(line))
+        least = float(prices.min())
         # a reading with more strange characters than the line is no candidate
-        priced = [(t, c, new) for t, c in others.items() if (new := self.escapes(t))[0][0] <= escapes[0][0]]
-        own, found = self.cost(line, escapes) if priced else 0.0, []
-        for text, chain, new in priced:
-            c = self.cost(text, new, own)
+        others = readings(line, swaps=self.double if least or _double(line) else ())
+        if least:
+            others |= {t: c for t, c in self._strange_words(line).items() if t not in others}
+        priced = [(t, c, 0.0, p) for t, c in others.items() if (least or self.known.issuperset(_high(t))) and (p := self._prices(t)).min() <= least]
+        swaps = self._swaps(at, n, least) if turned != 0 or least else ([], [])
+        moved = n @ self.moved[at] if swaps[0] else None
+        for j, p in zip(*swaps, strict=True):
+            pair = self.tables[j][0]
+            if turned is not None and not least and not turned >> j & 1:
+                continue
+            t = _undone(line, *pair)
+            if t is not None and t not in others:
+                others[t] = (f"{pair[0]}>{pair[1]}",)
+                p = p + ESCAPE * self.odd(t)
+                if p.min() <= least:
+                    priced.append((t, others[t], float(moved[j]), p))
+        if not priced:
+            return []
+        took: dict[str, float] = {}
+        own, found = self.cost(line, self._sorted(prices), took=took), []
+        known = np.array([k in took for k in self.langs])
+        length = np.array([took.get(k, 0.0) for k in self.langs])
+        for text, chain, m, p in priced:
+            if m:  # languages that cannot describe it shorter, however well the moved characters fit, are passed over
+                p = np.where(p + length - SAVED * m * known < own, p, 1e9)
+            c = self.cost(text, self._sorted(p), own)
             if c < own:
                 found.append((own - c, chain, text))
-        return sorted(found, key=lambda x: (-x[0], x[1]))[:8]
-
-    def _swaps(self, high: frozenset[str], clean: bool) -> list[tuple[str, str]]:
-        """The swaps that can be candidates for lines with these characters: two-byte ones always, others if all map and
-        no more are unknown; where the line is clean, what they map to must fit one as well."""
-        out = self.fitting.get((high, clean))
-        if out is not None:
-            return out
-        unknown = sum(c not in self.known for c in high)
-        out = []
-        for pair in SWAPS:
-            table = _swap_table(pair)
-            if table is None:
-                out.append(pair)
-                continue
-            new = {table.get(c) for c in high}
-            if None in new or new == high and all(table[c] == c for c in high):
-                continue
-            if any(new <= a for a in self.alphabets.values()) if clean else sum(table[c] not in self.known for c in high) <= unknown:
-                out.append(pair)
-        if len(self.fitting) < 50_000:
-            self.fitting[high, clean] = out
-        return out
+        return sorted(found, key=lambda x: (-x[0], x[1]))
+
+    def _sorted(self, prices: np.ndarray) -> list[tuple[float, str]]:
+        return sorted(zip(prices.tolist(), self.langs, strict=True))
+
+    def _swaps(self, at: np.ndarray, n: np.ndarray, least: float) -> tuple[list[int], np.ndarray]:
+        """The swaps of single bytes that can be candidates for lines with these characters: all of them map, some are
+        moved, no more are unknown, and the escapes alone cost no more than the line's; and those prices by language."""
+        able = (self.strange[at].sum(0) <= self.unknown[at].sum()) & self.moved[at].any(0)
+        if not able.any():
+            return [], np.zeros((0, len(self.langs)))
+        price = ESCAPE * (n @ self.swapped[at]).reshape(len(self.tables), -1)
+        able &= price.min(1) <= least
+        return np.flatnonzero(able).tolist(), price[able]
 
     def _strange_words(self, line: str) -> dict[str, tuple[str, ...]]:
         """Readings in which only words with strange characters change, where the line holds right words beside them."""
         parts = _chunks.split(line)
         held = [i for i, p in enumerate(parts) if not p.isascii() and not p.isspace()]
-        prices = {i: self.escapes(parts[i])[0][0] for i in held}
+        prices = {i: float(self._prices(parts[i]).min()) for i in held}
         strange = [i for i in held if prices[i]]
         out: dict[str, tuple[str, ...]] = {}
         if 0 < len(strange) < len(held):
             changed: dict[tuple[str, str], dict[int, str]] = {}
             for i in strange:
-                for pair in self._swaps(frozenset(_high(parts[i])), False):
+                at, n = self._counted(parts[i])
+                for pair in [*(self.tables[j][0] for j in self._swaps(at, n, prices[i])[0]), *(self.double if _wide.search(parts[i]) else ())]:
                     t = _undone(parts[i], *pair)
-                    if t is not None and self.escapes(t)[0][0] < prices[i]:
+                    if t is not None and self._prices(t).min() < prices[i]:
                         changed.setdefault(pair, {})[i] = t
             for (read, written), new in changed.items():
                 out.setdefault("".join(new.get(i, p) for i, p in enumerate(parts)), (f"{read}>{written}",))
@@ -338,14 +421,16 @@ def fitted(samples: DataFrame, corpus: DataFrame, lang_col: str, sample_col: str
     return fit([(r.k, r.t) for r in bounded_sample(rows, SAMPLE_LINES).collect()], [r.t for r in bounded_sample(texts, SAMPLE_TEXTS).collect()])
 
 
-def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str, carry: list[str] = ()) -> DataFrame:
+def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str, carry: list[str] = (), once: bool = True) -> DataFrame:
     """id, text (restored where possible), garbled, lost (characters that cannot be restored) and chains of every row.
 
     Null and empty texts are not garbled and stay as they are; ASCII lines are not changed; repeated rows give one row;
     whole texts are read; an empty table gives an empty result; of other columns only the strings ``carry`` are read; they come along as carried_<name>.
+    Without ``once`` repeated rows stay and no text is shuffled (for callers whose own result is distinct).
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
-    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry]).distinct()
+    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry])
+    texts = texts.distinct() if once else texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = None

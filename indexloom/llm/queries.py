@@ -11,23 +11,25 @@ from indexloom.llm import boilerplate, encoding, language, leaks, neardup, piece
 from indexloom.llm.common import stored, table
 
 
-def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of document_contents: its text, restored where it was decoded wrongly."""
+def _repaired(spark: SparkSession, sf_dir: str, once: bool, carry: list[str] = ()) -> DataFrame:
     contents, samples = table(spark, sf_dir, "document_contents"), table(spark, sf_dir, "lang_samples")
     model = encoding.fitted(samples, contents, "lang", "text", "extracted_text")
-    return encoding.repaired(contents, model, "content_id", "extracted_text").withColumnRenamed("id", "content_id")
+    return encoding.repaired(contents, model, "content_id", "extracted_text", carry, once)
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of document_contents: its text, restored where it was decoded wrongly."""
+    return _repaired(spark, sf_dir, True).withColumnRenamed("id", "content_id")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p1_restored(spark, sf_dir).where("garbled").select("content_id").distinct()
+    return _repaired(spark, sf_dir, False).where("garbled").select(F.col("id").alias("content_id")).distinct()
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, boilerplate.Weights]:
     """id, text with the right encoding, content_type and url of document_contents, and the weights of furniture."""
-    contents, samples = table(spark, sf_dir, "document_contents"), table(spark, sf_dir, "lang_samples")
-    weights = boilerplate.fitted(contents, "extracted_text", "content_type", corpus=table(spark, sf_dir, "documents"))
-    model = encoding.fitted(samples, contents, "lang", "text", "extracted_text")
-    clean = encoding.repaired(contents, model, "content_id", "extracted_text", carry=["content_type", "url"])
+    weights = boilerplate.fitted(table(spark, sf_dir, "document_contents"), "extracted_text", "content_type", corpus=table(spark, sf_dir, "documents"))
+    clean = _repaired(spark, sf_dir, False, ["content_type", "url"])
     return clean.select("id", "text", F.col("carried_content_type").alias("content_type"), F.col("carried_url").alias("url")), weights
 
 
@@ -41,7 +43,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     """content_id and main body of every row of document_contents."""
     clean, weights = _clean(spark, sf_dir)
-    return boilerplate.main_text(clean, weights, "id", "text", "content_type").select(F.col("id").alias("content_id"), "text")
+    return boilerplate.main_text(clean, weights, "id", "text", "content_type").select(F.col("id").alias("content_id"), "text").distinct()
 
 
 def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
