@@ -33,6 +33,8 @@ KEY_BITS, TEXT_BITS = 51, 12
 #: characters of other texts that are no mere message.  SHARE of the pages is the least where that is more than LEAST, so
 #: that the number of runs kept is bounded however many pages there are.
 LEAST, ODDS, PLAIN_ODDS, HEAD_ODDS, MOST, DROP, COMMON_ODDS, MESSAGE, SHARE = 4, 2.0, 4.2, 2.5, 12.0, 2.0, 4.2, 250, 1e-5
+#: Signs that stand for the ends of a line are themselves written otherwise.
+_MARKS = {"^": "ˆ", "$": "₴"}
 LOST = "�"
 _lost, _beyond, _holed = re.compile("�+"), re.compile(r"[^\x00-\x7f]"), re.compile(r"[^\W\d_]*�[^\W\d_�]*(?:�+[^\W\d_]*)*")
 _token = re.compile(r"[一-鿿]|[^\W\d_一-鿿]+|\d+|[^\w\s]|_")
@@ -49,7 +51,7 @@ def unquoted(line: str) -> str:
 
 
 def tokens(line: str) -> list[str]:
-    return ["0" if t[0].isdigit() else t for t in _token.findall(line.lower())]
+    return ["0" if t[0].isdigit() else _MARKS.get(t, t) for t in _token.findall(line.lower())]
 
 
 def _named(toks: Sequence[str], known: Container[str]) -> list[str]:

@@ -190,6 +190,7 @@ class Coder:
         # words that a dictionary holds, and for each the swaps that make another such word of it (bits)
         self.vocabulary = {w for d in dictionaries.values() for w in _letters(d.decode("utf-8", "ignore")) if not w.isascii()}
         self.turns: dict[str, int] = {}
+        self.calm: dict[str, bool] = {}
         self.tables = [(pair, t) for pair in SWAPS if (t := _swap_table(pair)) is not None]
         self.double = [pair for pair in SWAPS if _swap_table(pair) is None]
         n, p, k = 1 << 10, len(self.tables), len(self.langs)
@@ -217,6 +218,17 @@ class Coder:
                 self.moved[at, j] = new != c
         return at
 
+    def _calm(self, part: str) -> bool:
+        """Whether all words between two blanks are known, and no swap or UTF-8 reading makes other known words of them."""
+        ok = self.calm.get(part)
+        if ok is None:
+            ok = self._turned(part) == 0 and not any(
+                t in self.vocabulary for w in _letters(part) if not w.isascii() for read in (*SINGLE, *MULTI) if (t := _undone(w, read, "utf-8"))
+            ) and not any(SPELLS[read].search(part) and _undone(part, read, "utf-8") for read in SINGLE)
+            if len(self.calm) < 400_000:
+                self.calm[part] = ok
+        return ok
+
     def _turned(self, line: str) -> int | None:
         """The swaps (bits) that make a known word of a word of the line; None where a word or sign is not known."""
         bits, rest = 0, line
@@ -283,9 +295,10 @@ class Coder:
 
     def _gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
         # words that a dictionary holds are matches: only what makes other known words of them can be shorter
-        turned = self._turned(line)
-        if turned == 0 and not _double(line):
+        get = self.calm.get
+        if all(p.isascii() or get(p) or self._calm(p) for p in line.split()):
             return []
+        turned = self._turned(line)
         at, n = self._counted(line)
         prices = ESCAPE * (n @ self.lacks[at] + self.odd(line))
         least = float(prices.min())
