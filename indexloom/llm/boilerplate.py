@@ -308,9 +308,10 @@ def fit(pages: list[str], *others: list[str]) -> Weights:
 
 
 class Scanner:
-    """``message`` says which lines are messages, for pages that hold nothing else but furniture."""
+    """``message`` says which lines are no furniture whatever their words (2), and which are none where a page holds
+    nothing else but furniture (1)."""
 
-    def __init__(self, w: Weights, message: Callable[[str], bool] = lambda _: False) -> None:
+    def __init__(self, w: Weights, message: Callable[[str], int] = lambda _: 0) -> None:
         self.w, self.kept, self.parts, self.message = w, {}, {}, message
         self.alone = {r[0]: v for r, v in w.runs.items() if len(r) == 1}
         self.counting = Counting(w.known)
@@ -319,7 +320,7 @@ class Scanner:
         self.masked: dict[str, str] = {}  # known words by what is left of them where letters are lost
         for k in sorted(w.known):
             if not k.isascii() and k[0].isalpha() and k < "一":
-                self.masked.setdefault(_beyond.sub(LOST, k), k)
+                self.masked.setdefault(_lost.sub(LOST, _beyond.sub(LOST, k)), k)
 
     def prepare(self, texts: Iterable[str]) -> None:
         """Scores, all at once, the lines of some texts that hold none of the runs."""
@@ -425,7 +426,7 @@ class Scanner:
             while high + 1 < len(full) and scored[full[high + 1]][1] < COMMON_ODDS:
                 high += 1
             return full[:low] + full[high + 1 :]
-        return [i for i in full if scored[i][0] < (-0.5 if low <= i <= high else 0.5)]
+        return [i for i in full if scored[i][0] < (-0.5 if low <= i <= high else 0.5) and self.message(lines[i]) < 2]
 
 
 def fitted(df: DataFrame, text_col: str, kind_col: str, page_kind: str = "html", corpus: DataFrame | None = None, corpus_col: str = "text") -> Weights:
@@ -577,7 +578,7 @@ def _bits(keys: np.ndarray) -> np.ndarray:
     return _bits_kept[1]
 
 
-def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str, message: Callable[[str], bool] = lambda _: False) -> DataFrame:
+def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str, message: Callable[[str], int] = lambda _: 0) -> DataFrame:
     """id and line_no of the furniture lines of every page; lines are cut at \\n only, from 0, blank ones counted.
 
     Blank lines are no furniture; null and empty texts have none; repeated rows count once; an empty table gives an
@@ -600,7 +601,7 @@ def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str,
     return texts.mapInArrow(run, "id bigint, line_no int").distinct()
 
 
-def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_col: str, page_kind: str = "html", carry: list[str] = (), message: Callable[[str], bool] = lambda _: False) -> DataFrame:
+def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_col: str, page_kind: str = "html", carry: list[str] = (), message: Callable[[str], int] = lambda _: 0) -> DataFrame:
     """id, text and the strings ``carry`` (as carried_<name>) of every row: the main body of pages, other rows as they are; null stays null."""
     sent = df.sparkSession.sparkContext.broadcast(weights)
     texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), df[kind_col].eqNullSafe(page_kind).alias("page"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry])

@@ -36,24 +36,36 @@ def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, boilerplate.Wei
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Furniture is told by its words, so garbled lines are restored first; that changes no line's number."""
     clean, weights = _clean(spark, sf_dir)
-    lines = boilerplate.furniture_lines(clean.where("content_type = 'html'"), weights, "id", "text")
+    lines = boilerplate.furniture_lines(clean.where("content_type = 'html'"), weights, "id", "text", message=residue.message)
     return lines.select(F.col("id").alias("content_id"), "line_no")
 
 
 def p2_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     """content_id and main body of every row of document_contents."""
     clean, weights = _clean(spark, sf_dir)
-    return boilerplate.main_text(clean, weights, "id", "text", "content_type").select(F.col("id").alias("content_id"), "text").distinct()
+    return boilerplate.main_text(clean, weights, "id", "text", "content_type", message=residue.message).select(F.col("id").alias("content_id"), "text").distinct()
+
+
+def _residue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
+    """The main bodies (id, text, carried_url) of all rows, and the model of residue."""
+    clean, weights = _clean(spark, sf_dir)
+    bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"], message=residue.message))
+    pages = table(spark, sf_dir, "document_contents").where("content_type = 'html'")
+    scan = boilerplate.Scanner(weights, residue.message)
+    return bodies, residue.fitted(bodies, "text", "carried_url", pages, "extracted_text", scan.furniture)
 
 
 def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """content_id, residue, probability and the deciding sentence of the main body of every row with a text."""
-    clean, weights = _clean(spark, sf_dir)
-    bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"]))
-    model = residue.fitted(bodies, "text", "carried_url")
+    bodies, model = _residue(spark, sf_dir)
     return residue.judged(bodies, model, "id", "text").withColumnRenamed("id", "content_id")
 
 
+def p6_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold, precision and recall against the weak labels on hosts the classifier was not trained on."""
+    return spark.createDataFrame(sorted(_residue(spark, sf_dir)[1][2].items()), "measure string, value double")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_judged(spark, sf_dir).where("residue").select("content_id").distinct()
 
@@ -131,7 +143,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_main, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p6_found, p6_judged, p7_ids, p8_found, p8_leaks, p9_found, p9_subjects)
+    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_main, p3_found, p3_pieces, p4_found, p4_documents, p4_lines, p5_found, p5_groups, p6_found, p6_judged, p6_measures, p7_ids, p8_found, p8_leaks, p9_found, p9_subjects)
 }
 
 SQL: dict[str, str] = {

@@ -1,8 +1,9 @@
 """Problem 6: template residue, filler and error pages, by a regularised linear classifier.
 
-The sentences of a text are classified; a text is residue when one of its sentences is.  Features are hashed word and
-shape n-grams, length and title features.  The labels are weak: response-status lines and phrases in a sample of the
-texts; the classifier is measured on hosts that it was not trained on.
+Sentences are classified in windows of words, so that a placeholder in a long sentence counts as much as in a short one;
+a text is residue when one of its windows is.  Features are hashed word and shape n-grams, length and title features.
+The labels are weak: response-status lines and phrases in a sample of the texts, besides lines that pages have around
+their text as negatives; the threshold is chosen, and the classifier measured, on hosts that it was not trained on.
 """
 
 from __future__ import annotations
@@ -10,9 +11,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from math import exp, sqrt
 
 import ahocorasick
 import numpy as np
@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from indexloom.llm.boilerplate import unquoted
 from indexloom.llm.common import bounded_sample
 
-#: Feature space, bounds of the samples (any texts, short ones, ones with rare signs, their sentences that are no residue), passes, L2, weight of a positive sentence, share of hosts held out.
-FEATURES, SAMPLE, SAMPLE_SHORT, SAMPLE_SIGNS, NEGATIVES, EPOCHS, L2, POSITIVE, HELD_OUT = 1 << 17, 2_500, 3_500, 2_000, 8_000, 6, 1e-6, 7.0, 5
+#: Feature space, bounds of the samples (any texts, short ones, ones with rare signs, pages for lines around their text, windows that are no residue), passes, L2, weight of a positive window, share of hosts held out.
+FEATURES, SAMPLE, SAMPLE_SHORT, SAMPLE_SIGNS, SAMPLE_PAGES, NEGATIVES, EPOCHS, L2, POSITIVE, HELD_OUT = 1 << 17, 2_500, 3_500, 2_000, 1_000, 20_000, 8, 1e-6, 3.0, 5
+#: Words of a window, and words from one to the next.
+WINDOW, STRIDE = 12, 3
 #: Characters of a short text, and signs that text seldom has.
 SHORT, SIGNS = 400, r"[{}<>%#@_$]|\[[A-Z]|undefined|NaN|XX"
-#: Probability from which a sentence is residue.
-THRESHOLD = 0.6
+#: Probability from which a window is residue where no held-out host tells better.
+THRESHOLD = 0.5
 #: Weak labels.  Response status, messages, filler in the languages of the corpus, and forms of placeholders.
 STATUS = re.compile(
     r"^\s*(http\s*)?(error\s+|status\s+)?[45]\d\d\b[\s:–-]*(not found|forbidden|bad gateway|bad request|unauthorized|internal server error|service unavailable|gateway time-?out|gone)\b|"
@@ -53,12 +55,12 @@ PHRASES = [
 ]
 PATTERNS = re.compile(r"启用.{0,6}脚本|on line \d|texte d[’']exemple", re.I)
 FORMS = re.compile(
-    r"\{\{.*?\}?\}|\{%|%\}|<%|%>|\$!?\{\w|@@\w+@@|#[A-Z][A-Z_]+#|#N#|%[A-Z]{2,}[A-Z_]*%|__[A-Z]\w*__|<<[A-Z][A-Z_ ]*>>|\[\[\w[\w.]*\]\]|"
-    r"\[(INSERT|TO BE|YOUR|Your|object) [^\]]*\]|\bundefined\b|\bNaN\b|\bXX/XX/XXXX\b"
+    r"\{\{.*?\}?\}|\{%|%\}|<%|%>|\$!?\{\w|@@\w+@@|#[A-Z][A-Z_]+#|#N#|%[A-Z]{2,}[A-Z_ ]*%|__[A-Z]\w*__|<<[A-Z][A-Z_ ]*>>|\[\[\w[\w.]*\]\]|"
+    r"\[(INSERT|TO BE|YOUR|Your|object) [^\]]*\]|(?<![A-Za-z0-9_])(?:undefined|NaN|XX/XX/XXXX)(?![A-Za-z0-9_])"
 )
 _sentence = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_])|(?<=[。！？])\s*")
 _unspaced = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").search
-_word = re.compile(r"[一-鿿]|[^\W\d_]+|\d+|[^\w\s]+|_+")
+_word = re.compile(r"[一-鿿]|[^\W\d_一-鿿]+|\d+|[^\w\s]+|_+")
 
 
 def sentences(text: str) -> list[tuple[str, bool]]:
@@ -82,17 +84,28 @@ def weak_label(sentence: str) -> bool:
     return bool(next(_phrases().iter(sentence.lower()), None) or PATTERNS.search(sentence) or FORMS.search(sentence) or len(sentence) < 160 and STATUS.search(sentence))
 
 
+_script = re.compile(r"javascript|scripts?\b|脚本", re.I).search
+
+
+def message(line: str) -> int:
+    """2 for a line that the weak labels take for a message, filler or unfilled template, 1 for a notice that scripts are
+    needed, which pages have around their text as well, else 0."""
+    return 0 if not weak_label(line) else 1 if _script(line) else 2
+
+
 _classes = {c: "0" for c in range(48, 58)}
 _classes |= {c: ("a" if chr(c).islower() else "A") for c in range(0x530) if chr(c).isalpha()}
 _squeeze = re.compile(r"([aA0汉])\1+")
 _sign = re.compile(r"[^\w\s.,;:()–’'-]|_").search
 _near_sign = re.compile(r"(?=(..?[^aA0汉 .,;:()–’'-].?.?))")
+_beside_han = re.compile(r"汉[aA]+|[aA]+汉")
+_han = re.compile("[一-鿿]+")
 
 
-def shape(sentence: str) -> str:
+def shape(text: str) -> str:
     """Letters and digits become classes, runs of a class one character, signs stay."""
-    s = sentence.translate(_classes)
-    return _squeeze.sub(r"\1", s if s.isascii() else re.sub(r"[一-鿿]+", "汉", s))
+    s = text.translate(_classes)
+    return _squeeze.sub(r"\1", s if s.isascii() else _han.sub("汉", s))
 
 
 @lru_cache(maxsize=200_000)
@@ -100,42 +113,128 @@ def _hash(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass"))
 
 
-def features(sentence: str, opens: bool) -> list[int]:
-    """Hashed features: words and pairs of words, shapes around signs, length, and the word that opens the text."""
-    w = [_hash("0" if x[0].isdigit() else x) for x in _word.findall(sentence.lower())]
-    out = set(w)
-    out.update([(a * 0x9E3779B1 ^ b * 0x85EBCA6B) >> 7 for a, b in zip(w, w[1:])])
-    if _sign(sentence):
-        out.update([_hash("\0" + x) for x in _near_sign.findall(shape(sentence))])
-    out.add(_hash(f"\1n{min(len(w).bit_length(), 7)}"))
-    out.add(_hash(f"\1o{opens}{w[:1] if opens else ''}"))
-    return [x % FEATURES for x in out]
-
-
-def fit(rows: list[tuple[str, str]]) -> tuple[np.ndarray, float, dict[str, float]]:
-    """(weights, bias, measures on unseen hosts) of (text, host) rows, by logistic regression with AdaGrad.
-
-    The hosts whose hash is divisible by HELD_OUT are held out to measure precision and recall against the weak labels,
-    then the final model is trained on all rows."""
-    made: dict[tuple[str, bool], tuple[bool, bool]] = {}
+def part_features(part: str) -> tuple[list[int], list[int]]:
+    """(hashes of the words of what stands between two blanks, features of the shapes around its signs and of letters
+    between Chinese characters)."""
+    words = [_hash("0" if x[0].isdigit() else x) for x in _word.findall(part.lower())]
+    signs: set[int] = set()
+    if _sign(part):
+        signs.update(_hash("\0" + x) for x in _near_sign.findall(shape(f" {part} ")))
+    if not part.isascii() and _han.search(part):
+        signs.update(_hash("\2" + x) for x in _beside_han.findall(shape(part)))
+    return words, [x % FEATURES for x in signs]
+
+
+class Reader:
+    """Reads sentences as windows: for each, the features of its words, pairs of words and shapes, its length and place."""
+
+    def __init__(self) -> None:
+        self.parts: dict[str, tuple[list[int], list[int]]] = {}
+
+    def windows(self, found: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(features, place of the word each belongs to, first and last word of each window, its sentence, its own
+        feature) of (sentence, opens) rows."""
+        words: list[int] = []
+        extra: list[int] = []
+        where: list[int] = []
+        sizes = []
+        get = self.parts.get
+        if len(self.parts) > 300_000:
+            self.parts.clear()
+        for s, _ in found:
+            before = len(words)
+            for p in s.split():
+                got = get(p)
+                if got is None:
+                    got = part_features(p)
+                    if len(p) < 24:
+                        self.parts[p] = got
+                if got[1]:
+                    extra += got[1]
+                    where += [len(words) + len(got[0]) // 2] * len(got[1])
+                words += got[0]
+            sizes.append(len(words) - before)
+        n = np.array(sizes, np.int64)
+        w = np.array(words, np.int64)
+        first = np.cumsum(n) - n
+        pairs = (w[:-1] * 0x9E3779B1 ^ w[1:] * 0x85EBCA6B) >> 7
+        inner = np.ones(len(w), bool)
+        inner[first[n > 0]] = False
+        inner = np.flatnonzero(inner)  # words that follow one in the same sentence
+        feats = np.concatenate([w, pairs[inner - 1] if len(inner) else w[:0], np.array(extra, np.int64)]) % FEATURES
+        place = np.concatenate([np.arange(len(w)), inner, np.array(where, np.int64)])
+        count = np.where(n > WINDOW, 1 + -(-(n - WINDOW) // STRIDE), (n > 0).astype(np.int64))
+        sentence = np.repeat(np.arange(len(n)), count)
+        step = np.arange(len(sentence)) - np.repeat(np.cumsum(count) - count, count)
+        begin = first[sentence] + np.minimum(step * STRIDE, np.maximum(n[sentence] - WINDOW, 0))
+        end = np.minimum(begin + WINDOW, first[sentence] + n[sentence])
+        opens = np.array([o for _, o in found], bool)[sentence] if len(found) else np.zeros(0, bool)
+        kinds = np.array([_hash(f"\1{size}{o}") % FEATURES for size in map(lambda k: max(k, 4), range(WINDOW + 1)) for o in (False, True)], np.int64)
+        return feats, place, np.stack([begin, end], axis=1), sentence, kinds[2 * (end - begin) + opens] if len(begin) else begin
+
+
+def _logits(w: np.ndarray, b: float, read: tuple) -> np.ndarray:
+    """The logit of each window: the sum of its features' weights over the root of their number."""
+    feats, place, span, _, kind = read
+    if not len(span):
+        return np.zeros(0)
+    order = np.argsort(place, kind="stable")
+    value = np.append(0.0, np.cumsum(w[feats[order]], dtype=np.float64))
+    # a pair belongs to its second word, so the first word of a window brings none of those before it
+    at = place[order]
+    low, high = np.searchsorted(at, span[:, 0]), np.searchsorted(at, span[:, 1])
+    return (value[high] - value[low] + w[kind]) / np.sqrt(high - low + 1) + b
+
+
+def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> tuple[np.ndarray, float, dict[str, float]]:
+    """(weights, bias, measures on unseen hosts) of (text, host) rows, by logistic regression with AdaGrad, besides lines
+    around texts, with their hosts, which are negatives where they carry no weak label.
+
+    The hosts whose hash is divisible by HELD_OUT are held out to choose the threshold and to measure precision and recall
+    against the weak labels; then the final model is trained on all rows."""
     times: Counter = Counter()
+    host_of: dict[tuple[str, bool], str] = {}
     for text, host in rows:
-        found = sentences(text)
-        for s, opens in found:
-            key = (s, opens)
+        for key in sentences(text):
             times[key] += 1
-            if key not in made:
-                made[key] = (weak_label(s), zlib.crc32(host.encode()) % HELD_OUT == 0)
-    plain = sorted((k for k, v in made.items() if not v[0]), key=lambda k: zlib.crc32(k[0].encode("utf-8", "surrogatepass")))[:NEGATIVES]
-    data = [(features(*k), *made[k], min(times[k], 50)) for k in [*(k for k, v in made.items() if v[0]), *plain]]
+            host_of.setdefault(key, host)
+    for line, host in furniture:
+        for s, _ in sentences(line):
+            if not weak_label(s):
+                times[(s, False)] += 1
+                host_of.setdefault((s, False), host)
+    data: list[tuple[list[int], bool, bool, int]] = []
+    plain: tuple[list, list] = ([], [])  # windows of long sentences, and short ones: titles, list items, single words
+    reader = Reader()
+    for s, opens in host_of:
+        read = reader.windows([(s, opens)])
+        feats, place, span, _, kind = read
+        own = weak_label(s)
+        held = zlib.crc32(host_of[(s, opens)].encode("utf-8", "surrogatepass")) % HELD_OUT == 0
+        spots = [m.span() for m in _word.finditer(s)] if own and len(span) > 1 else []
+        for j, (a, b) in enumerate(span.tolist()):
+            label = own if len(span) == 1 else own and weak_label(s[spots[a][0] : spots[b - 1][1]])
+            f = [*feats[(place >= a) & (place < b)].tolist(), int(kind[j])]
+            if label:
+                data.append((f, True, held, min(times[(s, opens)], 50)))
+            elif not own or len(span) > 1 and not label:
+                plain[len(span) == 1].append((zlib.crc32(f"{a} {s}".encode("utf-8", "surrogatepass")), f, False, held, min(times[(s, opens)], 50)))
+    data += [x[1:] for some in plain for x in sorted(some, key=lambda x: x[0])[: NEGATIVES // 2]]
     if not data:
-        return np.zeros(FEATURES, np.float32), -10.0, {}
-    seen = [d for d in data if not d[2]]
-    w, b = _train(seen)
-    test = [d for d in data if d[2]]
-    right = [(1 / (1 + np.exp(-(w[f].sum() / np.sqrt(len(f)) + b))) >= THRESHOLD, y) for f, y, _, _ in test]
-    hit, said, true = sum(p and y for p, y in right), sum(p for p, _ in right), sum(y for _, y in right)
-    measures = {"sentences": float(len(test)), "precision": hit / max(said, 1), "recall": hit / max(true, 1)}
+        return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
+    seen, test = [d for d in data if not d[2]], [d for d in data if d[2]]
+    measures = {"threshold": THRESHOLD, "windows": float(len(test)), "precision": 0.0, "recall": 0.0}
+    if seen and test:
+        w, b = _train(seen)
+        p = np.array([1 / (1 + np.exp(-(w[f].sum() / np.sqrt(len(f)) + b))) for f, _, _, _ in test])
+        y, n = np.array([t for _, t, _, _ in test]), np.array([k for _, _, _, k in test], float)
+        best = []
+        for t in np.arange(0.45, 0.75, 0.05):
+            hit, said, true = n[(p >= t) & y].sum(), n[p >= t].sum(), n[y].sum()
+            best.append((round(1.25 * hit / max(said + 0.25 * true, 1), 3), -abs(t - THRESHOLD), t, hit / max(said, 1), hit / max(true, 1)))
+        # a text has many windows, so precision counts twice; among equals the one nearest to the default
+        _, _, t, precision, recall = max(best)
+        measures |= {"threshold": round(float(t), 2), "precision": float(precision), "recall": float(recall)}
     w, b = _train(data)
     return w, b, measures
 
@@ -168,35 +267,44 @@ def _train(data: list[tuple[list[int], bool, bool, int]]) -> tuple[np.ndarray, f
     return w, float(b)
 
 
-def fitted(df: DataFrame, text_col: str, url_col: str) -> tuple[np.ndarray, float, dict[str, float]]:
+def fitted(df: DataFrame, text_col: str, url_col: str, pages: DataFrame | None = None, page_col: str = "text", furniture: Callable[[str], list[int]] | None = None) -> tuple[np.ndarray, float, dict[str, float]]:
     """As ``fit``, of three bounded samples, each of the least hash: any texts, short ones and ones with signs that text
-    seldom has, since residue is rare and mostly one of the latter."""
-    rows = df.select(F.col(text_col).alias("t"), F.coalesce(F.regexp_extract(url_col, r"^[^:/?#]+://([^/?#]*)", 1), F.lit("")).alias("h")).where("t <> ''")
+    seldom has, since residue is rare and mostly one of the latter; and of the lines that ``furniture`` names in a sample
+    of ``pages``."""
+    host = F.coalesce(F.regexp_extract(url_col, r"^[^:/?#]+://([^/?#]*)", 1), F.lit(""))
+    rows = df.select(F.col(text_col).alias("t"), host.alias("h")).where("t <> ''")
     parts = [(rows, SAMPLE), (rows.where(F.length("t") < SHORT), SAMPLE_SHORT), (rows.where(F.col("t").rlike(SIGNS)), SAMPLE_SIGNS)]
-    return fit(sorted({(r.t, r.h) for part, n in parts for r in bounded_sample(part, n).collect()}))
+    lines = []
+    if pages is not None and furniture is not None:
+        for r in bounded_sample(pages.select(F.col(page_col).alias("t")).where("t <> ''"), SAMPLE_PAGES).collect():
+            x = r.t.split("\n")
+            lines += [(x[i].strip(), x[i].strip()) for i in furniture(r.t)]
+    return fit(sorted({(r.t, r.h) for part, n in parts for r in bounded_sample(part, n).collect()}), sorted(set(lines)))
 
 
 class Judge:
     def __init__(self, w: np.ndarray, b: float) -> None:
-        self.w, self.b, self.kept = w.tolist().__getitem__, b, {}
+        self.w, self.b, self.reader = w.astype(np.float64), b, Reader()
+
+    def probabilities(self, texts: list[str]) -> list[tuple[float, str]]:
+        """(highest probability of a window, the sentence it is in) of each text."""
+        # a lone word is a name or the rest of a sentence, but not where its script has no blanks or it is a message itself
+        found = [[x for x in sentences(t) if not (x[0].rstrip(".").isalpha() and not _unspaced(x[0]) and not weak_label(x[0]))] for t in texts]
+        flat = [x for f in found for x in f]
+        read = self.reader.windows(flat)
+        z = _logits(self.w, self.b, read)
+        best = np.full(len(flat), -np.inf)
+        np.maximum.at(best, read[3], z)
+        out, at = [], 0
+        for f in found:
+            own = best[at : at + len(f)]
+            k = int(own.argmax()) if len(own) else -1
+            out.append((float(1 / (1 + np.exp(-own[k]))), flat[at + k][0]) if k >= 0 and own[k] > -np.inf else (0.0, ""))
+            at += len(f)
+        return out
 
     def probability(self, text: str) -> tuple[float, str]:
-        """(highest probability of a sentence, that sentence)."""
-        found = sentences(text)
-        best, where = 0.0, ""
-        for s, opens in found:
-            # a lone word is a name or the rest of a sentence, but not where its script has no blanks or it is a message itself
-            if s.rstrip(".").isalpha() and not _unspaced(s) and not weak_label(s):
-                continue
-            p = self.kept.get((s, opens))
-            if p is None:
-                f = features(s, opens)
-                p = 1 / (1 + exp(-sum(map(self.w, f)) / sqrt(len(f)) - self.b))
-                if len(self.kept) < 100_000:
-                    self.kept[(s, opens)] = p
-            if p > best:
-                best, where = p, s
-        return best, where
+        return self.probabilities([text])[0]
 
 
 def judged(df: DataFrame, model: tuple, id_col: str, text_col: str) -> DataFrame:
@@ -205,13 +313,16 @@ def judged(df: DataFrame, model: tuple, id_col: str, text_col: str) -> DataFrame
     Null and empty texts are no cases and have no row; repeated rows give one row; whole texts are read; an empty table
     gives an empty result; other columns are not read."""
     sent = df.sparkSession.sparkContext.broadcast((model[0], model[1]))
+    threshold = model[2].get("threshold", THRESHOLD) if len(model) > 2 else THRESHOLD
     texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text")).where(F.trim("text") != "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = None
         for batch in batches:
             use = use or Judge(*sent.value)
-            got = [use.probability(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] >= THRESHOLD for g in got]), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.string())], names=["id", "residue", "probability", "sentence"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                got = use.probabilities(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[0] >= threshold for g in got]), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.string())], names=["id", "residue", "probability", "sentence"])
 
     return texts.mapInArrow(run, "id bigint, residue boolean, probability double, sentence string").distinct()

@@ -104,3 +104,20 @@ def test_residue_operator_edges(spark, judge):
     assert set(got) == {1, 4, None} and got[1].residue and not got[4].residue and got[None].residue
     assert residue.judged(df.limit(0), judge, "content_id", "body").count() == 0
     assert residue.fit([])[1] < 0
+
+
+def test_placeholders_beside_chinese_and_in_long_sentences(judge):
+    assert residue.weak_label("药店与XX/XX/XXXX个人信息法") and residue.weak_label("条undefined款") and not residue.weak_label("undefinedness")
+    use = residue.Judge(*judge)
+    long = " ".join([LEGAL[0].rstrip("."), "and", LEGAL[2].format(n=3).rstrip(".")] * 6)
+    assert use.probability(f"{long} for {{{{country_name}}}} of the office {long}.")[0] >= residue.THRESHOLD
+    assert use.probability(f"{long} for Sekeberg of the office {long}.")[0] < residue.THRESHOLD
+
+
+def test_messages_stay_and_lost_letters_are_matched(weights):
+    scan = boilerplate.Scanner(weights, residue.message)
+    assert scan.furniture("We use cookies to improve your visit.\nHome\nPlease enable JavaScript to view this page.\nSite map") == [0, 1, 3]
+    lines = [*NAV, "Lorem ipsum dolor sit amet", LEGAL[0], *FOOT]
+    assert scan.furniture("\n".join(lines)) == [0, 1, 2, 3, 4, 7, 8]
+    accents = boilerplate.fit(["\n".join(["Publicações", "Notícias", x.format(n=i)]) for i in range(60) for x in LEGAL[:2]], [x.format(n=i) for i in range(60) for x in LEGAL[:3]])
+    assert boilerplate.Scanner(accents).furniture(f"Publica��es\nNot�cias\n{LEGAL[0]}") == [0, 1]
