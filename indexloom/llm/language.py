@@ -21,8 +21,9 @@ from indexloom.llm.common import bounded_sample
 
 #: Feature space, labelled lines used for training (bound of the sample), synthetic sequences, training steps, L2.
 FEATURES, SAMPLE_LINES, SEQUENCES, STEPS, L2 = 1 << 15, 4_000, 500, 60, 2e-4
-#: Share of a line that its own language must hold, and letters it needs, for the line to prove that a text is mixed.
-PROOF_SHARE, PROOF_LETTERS = 0.8, 12
+#: Share of a line that its own language must hold, and letters it needs, for the line to prove that a text is mixed; and
+#: the least logarithm of its odds against the language of most of the text, which grows with the lines that were tried.
+PROOF_SHARE, PROOF_LETTERS, PROOF_MARGIN = 0.8, 12, 3.0
 _letters = re.compile(r"[^\W\d_]+").findall
 #: Other codes and names of the languages.
 CODES = {
@@ -46,7 +47,7 @@ def features(word: str) -> list[int]:
     script = _script(word[0])
     names = ["s" + script]
     if script == "h":
-        names += ["g" + c for c in set(word[:12])]
+        names += ["g" + c for c in sorted(set(word))]
     else:
         w = f"<{word}>"
         names += ["w" + word, *("p" + word[:n] for n in (1, 2, 3, 4)), *("e" + word[-n:] for n in (1, 2, 3, 4))]
@@ -107,7 +108,7 @@ def sequences(lines: list[tuple[str, str]], langs: list[str], n: int, seed: int
         for _ in range(rng.integers(1, 6)):
             if rng.random() > 0.75:
                 now = langs[rng.integers(len(langs))]
-            line = by[now][rng.integers(len(by[now]))][:40]
+            line = by[now][rng.integers(len(by[now]))]
             if rng.random() < 0.3:
                 line = line[: rng.integers(1, 6)]
             own = [langs.index(now)] * len(line)
@@ -190,6 +191,11 @@ class Tagger:
                 self.used += 1
         return [index[w] for w in words]
 
+    def margin(self, line: str, a: int, b: int) -> float:
+        """Logarithm of the odds that a line's words are in language ``a`` and not in ``b``."""
+        e = self.rows[self._ids(_letters(unicodedata.normalize("NFC", line).lower()))]
+        return float(np.log((e[:, a] + 1e-30) / (e[:, b] + 1e-30)).sum())
+
     def shares(self, texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, given as its lines: (lines x languages letter-weighted marginals, letters of each line).
 
@@ -275,7 +281,8 @@ def line_languages(df: DataFrame, model: Model, id_col: str, text_col: str, mixe
     """id, line_no, lang, confidence and mixed of each non-blank line; lines are cut at \\n only and numbered from 0.
 
     A text is mixed when lines that hold PROOF_LETTERS letters, PROOF_SHARE of them in one language, prove two or more
-    languages; otherwise all its lines take the text's language.  With ``mixed_only`` only mixed texts have rows.  Null,
+    languages, each but the main one by a line whose odds against it exceed PROOF_MARGIN and grow with the number of
+    lines; otherwise all its lines take the text's language.  With ``mixed_only`` only mixed texts have rows.  Null,
     empty and blank texts have none; repeated rows count once; an empty table gives an empty result.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
@@ -295,6 +302,10 @@ def line_languages(df: DataFrame, model: Model, id_col: str, text_col: str, mixe
                     own = share / np.maximum(share.sum(1, keepdims=True), 1e-9)
                     best = own.argmax(1)
                     proved = set(best[(own.max(1) >= PROOF_SHARE) & (letters >= np.where(np.isin(best, _dense(use.m.langs)), PROOF_LETTERS // 3, PROOF_LETTERS))].tolist())
+                    if len(proved) > 1:  # other scripts prove themselves; close languages need a line that tells them apart
+                        main, dense = int(share.sum(0).argmax()), _dense(use.m.langs)
+                        least = PROOF_MARGIN + np.log(len(lines))
+                        proved = {main} | {b for b in proved if b != main and (b in dense or main in dense or max(use.margin(lines[k][1], b, main) for k in np.flatnonzero(best == b)) >= least)}
                     mixed = len(proved) > 1
                     if not mixed:
                         best = np.full(len(lines), int(share.sum(0).argmax()))

@@ -73,3 +73,8 @@ def test_documents(spark, model, samples):
 def test_labels(spark, label, code):
     got = spark.createDataFrame([(label,)], "x string").select(language.named_language(F.col("x"))).first()[0]
     assert got == code
+
+
+def test_long_chinese_runs_are_read_whole():
+    head, tail = "数据控制者不得出售个人信息法官命令", "除外主管部门每年复核"
+    assert set(language.features(head)) < set(language.features(head + tail)) and len(language.features("字" * 30 + "据")) == 3
