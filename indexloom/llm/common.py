@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,9 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where the session names none (tests)."""
+    """The folder all executors share.  Where the session names none a local one serves sessions of one machine (tests);
+    on a cluster that is an error, since executors would not see each other's files."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), "indexloom-checkpoint")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -36,13 +40,12 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """At most ``n`` distinct rows, those of the least hash of ``keys`` (all columns by default), whatever their order.
 
-    Rows are first thinned by their hash to a few times ``n``, and copies become one, so that neither a sort nor the
-    driver ever sees more than that, however many partitions there are."""
+    Rows are first thinned by their hash to a few times ``n`` different ones, and copies become one, so that neither a
+    sort nor the driver ever sees more than that, however many rows, copies or partitions there are."""
     names = keys or tuple(df.columns)
-    total = df.count()
-    if total > 6 * n:
-        df = df.where(F.pmod(F.xxhash64(*names), F.lit(1 << 40)) < int((1 << 40) * 3 * n / total))
-    return df.distinct().orderBy(F.xxhash64(*names), *names).limit(n)
+    different = max(df.agg(F.approx_count_distinct(F.xxhash64(*names), 0.03)).first()[0], 1)
+    df = df.where(F.pmod(F.xxhash64(*names), F.lit(1 << 40)) < min(1 << 40, int((1 << 40) * (3 * n + 100) / different)))
+    return df.distinct().orderBy(F.pmod(F.xxhash64(*names), F.lit(1 << 40)), *names).limit(n)
 
 
 def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:

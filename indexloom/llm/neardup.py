@@ -1,6 +1,6 @@
 """Problem 5: near-duplicate texts by circulant MinHash, banding and exact Jaccard verification.
 
-Two permutations of the hash universe are used: sigma spreads the shingles, pi, circularly shifted by k, gives
+Two permutations are used: sigma spreads the shingles over the hash universe, pi, circularly shifted by k, gives
 coordinate k of the signature.  Equal texts are one class; only class representatives are compared.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,17 +18,19 @@ from pyspark.sql import functions as F
 
 from indexloom.llm.common import stored
 
-#: Hash universe of the permutations; exactness does not depend on it, verification uses whole shingles.
-UNIVERSE = 1 << 16
+#: Bits of the hash universe of the permutations.  Exactness does not depend on it, verification uses whole shingles; texts
+#: of a tenth of its size (400,000 words) that share nothing still agree in one coordinate of 20 only.
+BITS = 22
+UNIVERSE = 1 << BITS
 _word = re.compile(r"[^\W_]+").findall
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def permutations(seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """sigma, and pi written twice so that a circular shift is a plain index."""
-    rng = np.random.default_rng(seed)
-    sigma, pi = rng.permutation(UNIVERSE).astype(np.int32), rng.permutation(UNIVERSE).astype(np.uint16)
-    return sigma, np.concatenate([pi, pi])
+@lru_cache(maxsize=1)
+def permutation(length: int, seed: int = 7) -> np.ndarray:
+    """pi, with its first ``length`` values once more at the end, so that a circular shift is a plain window."""
+    pi = np.random.default_rng(seed).permutation(UNIVERSE).astype(np.uint32)
+    return np.concatenate([pi, pi[:length]])
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -43,8 +46,7 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
 class Sketcher:
     def __init__(self, n: int, bands: int, rows: int) -> None:
         self.n, self.bands, self.rows, self.cache = n, bands, rows, {}
-        self.sigma, self.pi = permutations()
-        self.shift = (UNIVERSE - np.arange(bands * rows)).astype(np.int32)
+        self.windows = np.lib.stride_tricks.sliding_window_view(permutation(bands * rows), bands * rows) if bands > 1 else None
         self.mix = (np.random.default_rng(11).integers(1, 1 << 62, rows).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def shingles(self, text: str) -> np.ndarray:
@@ -69,16 +71,19 @@ class Sketcher:
                 to += 1
             sizes = [len(s) for s in sets[at:to]]
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            place = self.sigma[(np.concatenate(sets[at:to]) >> np.uint64(48)).astype(np.int64)]
-            low = np.minimum.reduceat(self.pi[place[:, None] + self.shift[None, :]], starts, axis=0)
+            # sigma: a bijection of the hashes, of which the leading bits are the place in the universe
+            place = (np.concatenate(sets[at:to]) * _M1 >> np.uint64(64 - BITS)).astype(np.int64)
+            low = np.minimum.reduceat(self.windows[place], starts, axis=0)
             keys = (low.reshape(to - at, self.bands, self.rows).astype(np.uint64) * self.mix).sum(axis=2)
             out[at:to] = (keys ^ (keys >> np.uint64(31))) * _M3 + np.arange(self.bands, dtype=np.uint64) * _M2
             at = to
         return out
 
 
-def band_rows(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """key, id and m (number of distinct shingles), ``bands`` rows a text; texts of fewer than ``n`` words have none."""
+def band_keys(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
+    """Of (id, t, and columns that come along): id, those columns, m (number of distinct shingles) and keys, a key for each
+    band; texts of fewer than ``n`` words have no row, and no text leaves its task."""
+    along = [c for c in texts.columns if c not in ("id", "t")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = Sketcher(n, bands, rows)
@@ -89,12 +94,12 @@ def band_rows(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
                 if len(full):
                     own = [sets[i] for i in full]
-                    ids = part.column(0).to_numpy(zero_copy_only=False)[full]
-                    sizes = np.array([len(s) for s in own], np.int32)
-                    columns = [use.band_keys(own).reshape(-1).view(np.int64), np.repeat(ids, bands), np.repeat(sizes, bands)]
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "id", "m"])
+                    kept = part.take(pa.array(full))
+                    keys = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * bands), pa.array(use.band_keys(own).reshape(-1).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([kept.column(0), *[kept.column(2 + i) for i in range(len(along))], pa.array(np.array([len(s) for s in own], np.int32)), keys], names=["id", *along, "m", "keys"])
 
-    return texts.mapInArrow(run, "key bigint, id bigint, m int")
+    kinds = dict(texts.dtypes)
+    return texts.select("id", "t", *along).mapInArrow(run, ", ".join(["id bigint", *[f"{c} {kinds[c]}" for c in along], "m int, keys array<bigint>"]))
 
 
 def similarities(pairs: DataFrame, n: int) -> DataFrame:
@@ -122,15 +127,16 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, t
 
     Words are runs of letters or digits, lower-cased; similarity is Jaccard over distinct runs of ``words`` words.
     With bands x rows signature coordinates a pair of similarity s is a candidate with 1 - (1 - s^rows)^bands; there is
-    no cap on buckets, candidates or partners.  Null ids and null, empty or shorter texts are in neither result;
+    no cap on buckets, candidates or partners, and large buckets are split by the skew join.  Null ids and null, empty or shorter texts are in neither result;
     repeated rows count once; an empty table gives empty results; other columns are not read.
     """
     enough = r"[\p{L}\p{N}](?:[\p{L}\p{N}]*[^\p{L}\p{N}]+[\p{L}\p{N}]){%d}" % (words - 1)
     texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike(enough))
     keyed = texts.select("id", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), F.length("t").alias("h3"), "t")
     same = ["h1", "h2", "h3"]
-    reps = keyed.groupBy(*same).agg(F.min_by("t", "id").alias("t"), F.min("id").alias("id")).select("id", "t")
-    rows_ = band_rows(reps, words, bands, rows)
+    # equal texts meet by their hashes; what is shuffled of a text is its band keys
+    reps = band_keys(keyed, words, bands, rows).groupBy(*same).agg(F.min("id").alias("id"), F.first("m").alias("m"), F.first("keys").alias("keys"))
+    rows_ = reps.select(F.explode("keys").alias("key"), "id", "m")
     a = rows_.select("key", F.col("id").alias("a"), F.col("m").alias("ma"))
     b = rows_.select("key", F.col("id").alias("b"), F.col("m").alias("mb"))
     alike = (F.col("ma") >= F.col("mb") * threshold) & (F.col("mb") >= F.col("ma") * threshold)  # sizes alone rule out the rest
@@ -151,7 +157,7 @@ def pairs_of_ids(members: DataFrame, links: DataFrame) -> DataFrame:
     return across.unionByName(within).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).where("id_a <> id_b").distinct()
 
 
-def groups(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
+def groups(members: DataFrame, links: DataFrame) -> DataFrame:
     """id, class_id, group_id (least id reachable over links) and n_links of its class.
 
     Components by alternating large-star and small-star steps on class links; edges stay distributed, each step is
@@ -159,8 +165,9 @@ def groups(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
     """
     links = stored(links)
     edges = stored(links.select(F.col("class_b").alias("u"), F.col("class_a").alias("v")))
-    before = None
-    for _ in range(rounds):
+    before, now = None, ()
+    while now != before:
+        before = now
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -168,9 +175,6 @@ def groups(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         edges = stored(small)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == before:
-            break
-        before = now
     root = edges.groupBy("u").agg(F.min("v").alias("group_id"))
     degree = links.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     return (

@@ -81,3 +81,19 @@ def test_signature_agreement_estimates_jaccard():
     a, b = np.unique(both[:240]), np.unique(both[60:])
     k = use.band_keys([a, b])
     assert abs((k[0] == k[1]).mean() - 180 / 300) < 0.08
+
+
+def test_long_texts_without_common_words_are_no_candidates():
+    import numpy as np
+
+    use = neardup.Sketcher(3, 36, 5)
+    keys = use.band_keys([neardup.shingle_hashes(np.arange(k * 10**6, k * 10**6 + 200_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3) for k in range(8)])
+    assert all(len(set(keys[:, b].tolist())) == 8 for b in range(36))
+
+
+def test_long_chains_end_in_one_group(spark):
+    n = 3_000
+    members = spark.range(n).selectExpr("id", "id AS class_id")
+    links = spark.range(n - 1).selectExpr("id AS class_a", "id + 1 AS class_b", "0.9D AS similarity")
+    got = neardup.groups(members, links)
+    assert got.where("group_id = 0").count() == n and got.where("n_links = 2").count() == n - 2
