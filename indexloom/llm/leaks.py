@@ -1,7 +1,7 @@
 """Problem 8: passages of test items in the training text, by a distributed positional inverted index.
 
 The index is partitioned by documents: a segment of documents holds, for each term, its postings (document, position).
-Terms outside the test items are never looked up and are not stored.  From each window of an item the rarest terms, by
+It is made once for all items, however many there are: terms are hashes, and those outside the test items are not stored.  From each window of an item the rarest terms, by
 document frequency over the whole corpus, are probed; the lists are intersected after subtracting the term's offset in
 the item, so that the hits of one passage share a shift, and the surviving shifts are compared position by position.  All
 postings of a document lie in one segment, so nothing but document frequencies and results is shuffled.
@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,8 @@ from indexloom.llm.common import stored
 
 #: Rarest offsets of a window that all must be hit (twice as many are probed for near matches), items looked up at a time; for a near match, different offsets hit and drift in words.
 PROBES, ITEM_BLOCK, NEAR, DRIFT = 2, 20_000, 6, 8
-#: Documents of a segment.
-SEGMENT = 1_000
+#: Documents of a segment, and terms of all items up to which a task is told them (beyond, the index holds every term).
+SEGMENT, TERMS = 1_000, 1_000_000
 _word = re.compile(r"[^\W_]+").findall
 _marks = regex.compile(r"\p{M}+").sub
 
@@ -36,21 +37,34 @@ def words(text: str | None) -> list[str]:
     return _word((text if text.isascii() else _marks("", unicodedata.normalize("NFD", text))).lower())
 
 
-def positional_index(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int]) -> DataFrame:
-    """A row for each segment: doc_ids; terms and the starts of their postings; postings as doc (place in doc_ids) and
-    position, sorted by term, document and position; n_docs of each term."""
-    sent = docs.sparkSession.sparkContext.broadcast(terms)  # at most ITEM_BLOCK items' words
-    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), *((n, pa.list_(pa.int32())) for n in ("terms", "starts", "n_docs", "doc", "position"))])
+def term_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1
+
+
+def positional_index(docs: DataFrame, id_col: str, text_col: str, terms: Iterable[str] | None = None) -> DataFrame:
+    """A row for each segment: doc_ids; terms (hashes) and the starts of their postings; postings as doc (place in doc_ids)
+    and position, sorted by term, document and position; n_docs of each term.  With ``terms`` only those are stored."""
+    sent = docs.sparkSession.sparkContext.broadcast(None if terms is None else {w: term_hash(w) for w in terms})  # at most TERMS
+    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("terms", pa.list_(pa.int64())), *((n, pa.list_(pa.int32())) for n in ("starts", "n_docs", "doc", "position"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = sent.value.get
+        known = sent.value
+        made: dict[str, int] = {}
+
+        def coded(text: str) -> list[int]:
+            if known is not None:
+                return [known.get(w, -1) for w in words(text)]
+            if len(made) > 500_000:
+                made.clear()
+            return [made[w] if w in made else made.setdefault(w, term_hash(w)) for w in words(text)]
+
         for batch in batches:
             for at in range(0, batch.num_rows, SEGMENT):
                 part = batch.slice(at, SEGMENT)
-                coded = [[get(w, -1) for w in words(t)] for t in part.column(1).to_pylist()]
-                sizes = np.array([len(c) for c in coded])
-                flat = np.array([x for c in coded for x in c], np.int32)
-                doc = np.repeat(np.arange(len(coded), dtype=np.int32), sizes)
+                texts = [coded(t) for t in part.column(1).to_pylist()]
+                sizes = np.array([len(c) for c in texts])
+                flat = np.array([x for c in texts for x in c], np.int64)
+                doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
                 pos = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
                 held = np.flatnonzero(flat >= 0)
                 order = held[np.argsort(flat[held], kind="stable")]
@@ -60,11 +74,11 @@ def positional_index(docs: DataFrame, id_col: str, text_col: str, terms: dict[st
                 new[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
                 n_docs = np.add.reduceat(new, starts) if len(starts) else new[:0]
                 ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                row = [[ids], *([x.astype(np.int32)] for x in (names, np.append(starts, len(term)), n_docs, doc, pos))]
+                row = [[ids], [names], *([x.astype(np.int32)] for x in (np.append(starts, len(term)), n_docs, doc, pos))]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id IS NOT NULL AND text <> ''")
-    return texts.mapInArrow(run, "doc_ids array<bigint>, terms array<int>, starts array<int>, n_docs array<int>, doc array<int>, position array<int>")
+    return texts.mapInArrow(run, "doc_ids array<bigint>, terms array<bigint>, starts array<int>, n_docs array<int>, doc array<int>, position array<int>")
 
 
 def probe_offsets(item: list[int], df: dict[int, int], window: int, probes: int = PROBES) -> list[int]:
@@ -132,7 +146,7 @@ class Forward:
         """Longest run of equal terms of the document and the item at this shift, if at least ``least``, else 0."""
         if doc not in self.made:
             a, b = self.start[doc], self.start[doc + 1]
-            row = np.full(int(self.pos[a:b].max()) + 1, -1, np.int32)
+            row = np.full(int(self.pos[a:b].max()) + 1, -1, np.int64)
             row[self.pos[a:b]] = self.term[a:b]
             self.made[doc] = row
         row = self.made[doc]
@@ -171,23 +185,36 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: s
     """
     wanted = items.select(items[item_id].cast("long").alias("item_id"), items[item_text].alias("item_text")).where("item_id IS NOT NULL AND item_text IS NOT NULL").distinct()
     blocks = max(1, -(-wanted.count() // ITEM_BLOCK))
+    told = _item_terms(wanted)
+    index = stored(positional_index(docs, doc_id, doc_text, told))
+    counts = index.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("x")).groupBy("x.terms").agg(F.sum("x.n_docs").alias("n"))
+    counts = stored(counts) if blocks > 1 else counts
     found = None
     for b in range(blocks):
         rows = wanted.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()  # about ITEM_BLOCK rows
-        part = _block(docs, [(r.item_id, words(r.item_text)) for r in sorted(rows)], doc_id, doc_text, window, near)
+        part = _block(index, counts, [(r.item_id, words(r.item_text)) for r in sorted(rows)], window, near)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("longest_run", "near_hits", "item_words")], F.min("kind").alias("kind"))
 
 
-def _block(docs: DataFrame, items: list[tuple[int, list[str]]], doc_id: str, doc_text: str, window: int, near: bool) -> DataFrame:
-    items = [(k, w) for k, w in items if len(w) >= window]
-    terms: dict[str, int] = {}
-    coded = [(k, [terms.setdefault(x, len(terms)) for x in w]) for k, w in items]
-    index = stored(positional_index(docs, doc_id, doc_text, terms))
-    counts = index.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("x")).groupBy("x.terms").agg(F.sum("x.n_docs").alias("n"))
-    df = {r.terms: r.n for r in counts.collect()}  # a row for each term of the block
+def _item_terms(wanted: DataFrame) -> list[str] | None:
+    """The different terms of all items, or None where there are more than TERMS of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({w for t in batch.column(1).to_pylist() for w in words(t)}), pa.string())], names=["term"])
+
+    terms = [r.term for r in wanted.mapInArrow(run, "term string").distinct().limit(TERMS + 1).toLocalIterator()]
+    return sorted(terms) if len(terms) <= TERMS else None
+
+
+def _block(index: DataFrame, counts: DataFrame, items: list[tuple[int, list[str]]], window: int, near: bool) -> DataFrame:
+    spark = index.sparkSession
+    coded = [(k, [term_hash(x) for x in w]) for k, w in items if len(w) >= window]
+    asked = sorted({x for _, w in coded for x in w})
+    df = {r.terms: r.n for r in counts.join(spark.createDataFrame([(x,) for x in asked], "terms bigint"), "terms", "left_semi").collect()}  # a row for each term of the block
     probes = [(w[o], n, o) for n, (_, w) in enumerate(coded) for o in probe_offsets(w, df, window, 2 * PROBES if near else PROBES)]
-    sent = docs.sparkSession.sparkContext.broadcast(([(k, np.array(w, np.int32)) for k, w in coded], probes))
+    sent = spark.sparkContext.broadcast(([(k, np.array(w, np.int64)) for k, w in coded], probes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, p = sent.value

@@ -125,8 +125,8 @@ def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only exact passages are looked for, so the proximity part is left out."""
-    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), near=False).select("doc_id", "item_id")
+    """Those of p8_leaks that hold an exact passage."""
+    return p8_leaks(spark, sf_dir).where("kind = 'exact'").select("doc_id", "item_id")
 
 
 def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subjects that subject_areas lists."""
     areas = table(spark, sf_dir, "subject_areas").select(F.lower(F.trim("subject_code")).alias("subject_code")).distinct()
-    return p9_subjects(spark, sf_dir).join(F.broadcast(areas), "subject_code", "left_semi").select("doc_id", "subject_code").distinct()
+    return p9_subjects(spark, sf_dir).join(areas, "subject_code", "left_semi").select("doc_id", "subject_code").distinct()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -56,3 +56,36 @@ def test_edges(spark):
     assert {d for d, r in got.items() if r.kind == "exact"} == {1, 4} and got[1].longest_run == 30 and got[1].item_id == 7
     assert got[5].kind == "proximity" and set(got) <= {1, 4, 5, 6}
     assert leaks.leaks(docs.limit(0), items, doc_text="body").count() == 0 and leaks.leaks(docs, items.limit(0), doc_text="body").count() == 0
+
+
+def planted(seed=9):
+    """Documents of Zipf-like words, half of them with an item of which every tenth word is another, dropped or doubled."""
+    rng = random.Random(seed)
+    words = [f"t{i}" for i in range(3_000)]
+    weight = [1 / (i + 5) for i in range(3_000)]
+    items = [(i, " ".join(rng.choices(words, weight, k=rng.randint(30, 70)))) for i in range(40)]
+    docs, true = [], set()
+    for d in range(400):
+        w = rng.choices(words, weight, k=rng.randint(20, 200))
+        if d % 2:
+            i, text = rng.choice(items)
+            part = [y for x in text.split() for y in ([x] if rng.random() > 0.1 else rng.choice([[rng.choice(words)], [], [x, x]]))]
+            k = rng.randrange(len(w) + 1)
+            w = w[:k] + part + w[k:]
+            true.add((d, i))
+        docs.append((d, " ".join(w)))
+    return docs, items, true
+
+
+def test_near_matches_are_found_by_one_index(spark, monkeypatch):
+    docs, items, true = planted()
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    made = []
+    index = leaks.positional_index
+    monkeypatch.setattr(leaks, "positional_index", lambda *a: made.append(1) or index(*a))
+    rows = leaks.leaks(d, i).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert len(got & true) >= 0.9 * len(true) and len(got & true) >= 0.9 * len(got)
+    monkeypatch.setattr(leaks, "ITEM_BLOCK", 7)  # six blocks, and every term is stored
+    monkeypatch.setattr(leaks, "TERMS", 10)
+    assert sorted(map(tuple, leaks.leaks(d, i).collect())) == sorted(map(tuple, rows)) and len(made) == 2
