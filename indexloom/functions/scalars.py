@@ -140,3 +140,8 @@ def filled(template: str, **columns: Column) -> Column:
         if name is not None:
             parts.append(F.coalesce(columns[name].cast("string"), F.lit("")))
     return F.concat(*parts) if parts else F.lit("")
+
+
+def shared(values: Column, others: list) -> Column:
+    """The distinct values that are among the others too, in the order of the values; null for null."""
+    return F.array_intersect(values, F.array(*map(F.lit, others)))

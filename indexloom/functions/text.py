@@ -181,3 +181,21 @@ def gate(text: Column, least: int = 100, signal: bool = True, **terms: list[str]
     """'short', 'noise', 'no-signal' or 'pass': the first gate that a section does not pass."""
     out = F.when(F.coalesce(F.length(text), F.lit(0)) < least, "short").when(is_noise(text), "noise")
     return (out.when(~has_signal(text, **terms), "no-signal") if signal else out).otherwise("pass")
+
+
+def detected_language(text: Column, chars: int = 2000) -> Column:
+    """language and probability by the first ``chars`` characters: the share of the language's frequent words among those of
+    all languages; Cyrillic words and Chinese characters (of which three count as much as a word each) tell by script.
+    Without any of them, and for null, 'unknown' with probability 0; ties go to the code that comes first."""
+    words = F.regexp_extract_all(F.lower(F.substring(text, 1, chars)), F.lit("([a-zà-öø-ÿąćęłńśźżœß]+|[а-яё]+|[一-鿿])"), F.lit(1))
+
+    def held(known: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(known)))
+
+    found = {k: held(v) for k, v in seeds.STOP_WORDS.items()}
+    found["ru"] = F.size(F.filter(words, lambda w: w.rlike("^[а-яё]")))
+    found["zh"] = 3 * F.size(F.filter(words, lambda w: w.rlike("[一-鿿]")))
+    scores = F.array(*[F.struct(n.alias("n"), F.lit(-i).alias("first"), F.lit(k).alias("k")) for i, (k, n) in enumerate(sorted(found.items()))])
+    best, total = F.array_max(scores), F.aggregate(scores, F.lit(0), lambda a, x: a + x["n"])
+    known = text.isNotNull() & (best["n"] > 0)
+    return F.struct(F.when(known, best["k"]).otherwise("unknown").alias("language"), F.when(known, best["n"] / total).otherwise(0.0).alias("probability"))

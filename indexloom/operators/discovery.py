@@ -67,3 +67,13 @@ def merged_lists(*lists: Column) -> Column:
 def meaningful(text: Column) -> Column:
     """Not one of the ways to say that there is nothing."""
     return ~F.lower(F.trim(F.coalesce(text, F.lit("")))).isin("", "none", "none significant", "none.", "n/a")
+
+
+def high_priority(df: DataFrame, priority: str, least: float = 8) -> DataFrame:
+    """Rows of at least this priority; null is none."""
+    return df.where(F.col(priority) >= least)
+
+
+def of_types(df: DataFrame, kind: str, kinds: list[str]) -> DataFrame:
+    """Rows of exactly these kinds."""
+    return df.where(F.col(kind).isin(kinds))

@@ -100,6 +100,15 @@ def _near(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
     return vectors.where(F.col(id_col).isNotNull()).select(*within, id_col, vector_col).mapInArrow(run, schema)
 
 
+def near_counts(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, query_id: str, query_col: str, by: list[str], least: float = 0.35, max_queries: int = 10_000) -> DataFrame:
+    """Per query and group ``by`` the number of vectors of at least ``least``; pairs are counted before anything is shuffled."""
+    out = None
+    for block in _blocks(queries.select(query_id, query_col), queries.count(), [query_id, query_col], max_queries):
+        part = _near(vectors, block, id_col, vector_col, query_id, query_col, by, least, None)
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(query_id, *by).agg(F.count("*").alias("n"))
+
+
 def first_k(df: DataFrame, by: list[str], order: list, k: int | None) -> DataFrame:
     """The first ``k`` rows of each group in ``order``, with their place."""
     out = df.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

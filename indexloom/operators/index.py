@@ -96,3 +96,16 @@ def averaged_rank(value: Column, within: list[str]) -> Column:
     """Rank from the top in which ties share the mean of their places."""
     by = Window.partitionBy(*within)
     return F.rank().over(by.orderBy(value.desc())) + (F.count("*").over(Window.partitionBy(*within, value)) - 1) / F.lit(2.0)
+
+
+def to_score(entities: DataFrame, scored: DataFrame, keys: list[str], criteria: list[int] | None = None) -> DataFrame:
+    """The criteria (of a subset, if given) that an entity has no score for: a small grid an entity, anti-joined."""
+    wanted = F.array(*map(F.lit, sorted(set(criteria)) if criteria is not None else range(1, N + 1)))
+    grid = entities.select(*keys, F.explode(wanted).alias("criterion_number"))
+    return grid.join(scored.select(*keys, "criterion_number"), [*keys, "criterion_number"], "left_anti")
+
+
+def opacity_lists(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """opacity_criteria: the numbers of the criteria whose information is opaque, in order, empty where none is."""
+    opaque = F.when(F.col("information_opacity"), F.col("criterion_number"))
+    return scores.groupBy(*keys).agg(F.array_sort(F.collect_set(opaque)).alias("opacity_criteria"))

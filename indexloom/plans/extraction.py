@@ -57,3 +57,17 @@ def merged_schema(*schemas: StructType) -> StructType:
 
     order["notes"] = None
     return StructType([fields.get(n, StructField(n, StringType())) for n in order])
+
+
+def status(documents: DataFrame, sections: DataFrame, id_col: str) -> DataFrame:
+    """sections, with_signal and status of every document: 'success' where a section has a signal, 'partial' where there
+    are sections only, 'failed' without any.  Counted before the join, so a hot document is one row."""
+    counts = sections.groupBy(id_col).agg(F.count("*").alias("n"), F.count_if(~F.coalesce(F.col("all_null"), F.lit(True))).alias("m"))
+    n, m = (F.coalesce(F.col(c), F.lit(0)) for c in ("n", "m"))
+    named = F.when(m > 0, "success").when(n > 0, "partial").otherwise("failed")
+    return documents.join(counts, id_col, "left").select(*documents.columns, n.alias("sections"), m.alias("with_signal"), named.alias("status"))
+
+
+def demonstration(sections: DataFrame, most: int = 20, score: float = 8.0) -> DataFrame:
+    """The first ``most`` sections of each document, all with one score (the demonstration's cap is its feature)."""
+    return sections.where(F.col("section_index") < most).withColumn("score", F.lit(score))

@@ -167,3 +167,16 @@ def criteria(spark: SparkSession) -> DataFrame:
 
 def document_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DOCUMENT_TYPES, "document_type string, criteria_ids array<int>, dimension string")
+
+
+#: Frequent words that tell languages of Latin script apart.
+STOP_WORDS = {
+    "de": ["der", "die", "das", "und", "ist", "nicht", "mit", "von", "den", "des", "ein", "eine", "für", "auf", "dem", "im", "zu", "oder", "wird", "sich"],
+    "en": ["the", "of", "and", "to", "is", "that", "for", "with", "by", "are", "this", "be", "on", "or", "shall", "must", "not", "any", "from", "which"],
+    "es": ["el", "los", "las", "y", "del", "que", "una", "con", "por", "para", "se", "es", "al", "su", "como", "sobre", "cuando", "no", "este", "deberá"],
+    "fr": ["le", "les", "et", "des", "du", "est", "une", "dans", "qui", "pour", "par", "sur", "au", "aux", "ou", "que", "avec", "ne", "pas", "son"],
+    "it": ["il", "gli", "e", "di", "della", "che", "per", "con", "sono", "non", "nel", "alla", "dei", "le", "una", "è", "da", "del", "dal", "si"],
+    "nl": ["de", "het", "een", "en", "van", "is", "dat", "niet", "met", "voor", "op", "te", "zijn", "aan", "door", "wordt", "of", "bij", "die", "over"],
+    "pl": ["i", "w", "na", "nie", "się", "z", "do", "jest", "oraz", "przez", "dla", "od", "lub", "że", "po", "za", "o", "jak", "jeżeli", "który"],
+    "pt": ["o", "os", "e", "do", "da", "dos", "das", "que", "não", "com", "uma", "para", "em", "no", "na", "por", "ao", "é", "ou", "se"],
+}

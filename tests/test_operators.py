@@ -186,3 +186,21 @@ def test_streams(spark, tmp_path):
     batch = spark.read.parquet(ev)
     assert incremental.windowed(batch, "ts", ["u"], "v").count() == 2
     assert incremental.sessions(batch, "ts", ["u"]).count() == 2
+
+
+def test_small_operators_of_plans(spark):
+    from pyspark.sql import functions as F
+
+    from indexloom.functions import scalars, text
+    from indexloom.operators import discovery, index
+    from indexloom.plans import extraction
+
+    df = spark.createDataFrame([(1, 9.0, "law"), (2, 7.9, "law"), (3, None, "law"), (4, 8.0, None), (5, 8.0, "Law")], "id int, p double, kind string")
+    assert [r.id for r in discovery.high_priority(df, "p").orderBy("id").collect()] == [1, 4, 5] and [r.id for r in discovery.of_types(df, "kind", ["law"]).orderBy("id").collect()] == [1, 2, 3]
+    scored = spark.createDataFrame([(1, 2), (1, 3)], "country_id int, criterion_number int")
+    left = index.to_score(spark.createDataFrame([(1,), (2,)], "country_id int"), scored, ["country_id"], [3, 2, 5, 5])
+    assert sorted(map(tuple, left.collect())) == [(1, 5), (2, 2), (2, 3), (2, 5)]
+    docs, sections = spark.createDataFrame([(1,), (2,), (3,)], "doc int"), spark.createDataFrame([(1, False), (1, True), (2, None)], "doc int, all_null boolean")
+    assert {r.doc: r.status for r in extraction.status(docs, sections, "doc").collect()} == {1: "success", 2: "partial", 3: "failed"}
+    one = spark.range(1).select(scalars.shared(F.array(F.lit(4), F.lit(1), F.lit(9)), [1, 4]).alias("s"), text.detected_language(F.lit("The law of the land and the rights")).alias("a"), text.detected_language(F.lit("12")).alias("b"), text.detected_language(F.lit(None).cast("string")).alias("c"), text.detected_language(F.lit("数据控制者")).alias("d")).first()
+    assert one.s == [4, 1] and (one.a.language, one.b.language, one.b.probability, one.c.language, one.d.language) == ("en", "unknown", 0.0, "unknown", "zh")
