@@ -203,7 +203,7 @@ def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> t
             if not weak_label(s):
                 times[(s, False)] += 1
                 host_of.setdefault((s, False), host)
-    data: list[tuple[list[int], bool, bool, int]] = []
+    data: list[tuple[np.ndarray, bool, bool, int]] = []
     plain: tuple[list, list] = ([], [])  # windows of long sentences, and short ones: titles, list items, single words
     reader = Reader()
     for s, opens in host_of:
@@ -214,7 +214,7 @@ def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> t
         spots = [m.span() for m in _word.finditer(s)] if own and len(span) > 1 else []
         for j, (a, b) in enumerate(span.tolist()):
             label = own if len(span) == 1 else own and weak_label(s[spots[a][0] : spots[b - 1][1]])
-            f = [*feats[(place >= a) & (place < b)].tolist(), int(kind[j])]
+            f = np.append(feats[(place >= a) & (place < b)], kind[j]).astype(np.int32)
             if label:
                 data.append((f, True, held, min(times[(s, opens)], 50)))
             elif not own or len(span) > 1 and not label:
@@ -239,11 +239,11 @@ def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> t
     return w, b, measures
 
 
-def _train(data: list[tuple[list[int], bool, bool, int]]) -> tuple[np.ndarray, float]:
+def _train(data: list[tuple[np.ndarray, bool, bool, int]]) -> tuple[np.ndarray, float]:
     rng = np.random.default_rng(5)
     w, b = np.zeros(FEATURES, np.float32), -2.0
     acc, acc_b = np.full(FEATURES, 1e-6, np.float32), 1e-6
-    flat = np.concatenate([np.array(f, np.int64) for f, _, _, _ in data])
+    flat = np.concatenate([f for f, _, _, _ in data]).astype(np.int64)
     sizes = np.array([len(f) for f, _, _, _ in data])
     starts = np.cumsum(sizes) - sizes
     y = np.array([t for _, t, _, _ in data], np.float32)
