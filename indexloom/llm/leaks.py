@@ -117,17 +117,20 @@ class Prober:
         order = np.lexsort((shift, pair))
         pair, shift, offset = pair[order], shift[order], self.table[p, 2][order]
         new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (shift[1:] != shift[:-1])))
-        many = np.flatnonzero(np.diff(np.append(new, len(pair))) >= PROBES)
+        # an exact passage holds a whole window, and with it all offsets that are probed there
+        many = np.flatnonzero(np.diff(np.append(new, len(pair))) >= (2 * PROBES if self.near else PROBES))
         forward = Forward(seg)
         for k in new[many]:
             key, of = int(pair[k]), self.items[int(pair[k]) % len(self.items)][1]
             run = forward.run(key // len(self.items), of, int(shift[k]), self.window)
             if run:
                 best.setdefault(key, [0, 0])[0] = max(run, best.get(key, [0])[0])
-        if self.near:
-            ends = np.flatnonzero(np.append(pair[1:] != pair[:-1], True)) + 1
-            for a, b in zip(np.append(0, ends[:-1]), ends, strict=True):
-                if b - a >= NEAR and (n := _near(shift[a:b], offset[a:b])) >= NEAR:
+        if self.near and len(pair) >= NEAR:
+            # only where so many hits lie within the drift can so many offsets
+            close = (pair[NEAR - 1 :] == pair[: 1 - NEAR]) & (shift[NEAR - 1 :] - shift[: 1 - NEAR] <= DRIFT)
+            asked = np.unique(pair[: 1 - NEAR][close])
+            for a, b in zip(np.searchsorted(pair, asked), np.searchsorted(pair, asked, "right"), strict=True):
+                if (n := _near(shift[a:b], offset[a:b])) >= NEAR:
                     best.setdefault(int(pair[a]), [0, 0])[1] = n
         return [(k // len(self.items), k % len(self.items), run, n) for k, (run, n) in sorted(best.items())]
 
