@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -16,14 +17,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import bounded_sample
+from indexloom.llm.common import stored
 
-#: Bounds of the samples the dictionaries are made from, their size, and the prices (bytes) of an escaped character, of a
-#: chain used in a text, of its steps to UTF-8 and others, and of a line it is used for.
-SAMPLE_TEXTS, SAMPLE_LINES, DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE = 2_000, 4_000, 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5
+#: Size of the dictionaries, and the prices (bytes) of an escaped character, of a chain used in a text, of its steps to
+#: UTF-8 and others, and of a line it is used for.
+DICT_BYTES, LEVEL, ESCAPE, CHAIN, STEP, SWAP, LINE = 65_536, 3, 3.0, 3.0, 1.0, 4.0, 0.5
+#: Share of the texts from which a line is frequent, bits of the key of a pair of characters, and what a pair that was not seen counts.
+OFTEN, PAIR_BITS, UNSEEN = 0.0015, 16, 0.02
+#: What is cut from both ends of a line.
+BLANK = " \t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes that one character read anew can save at most (a match goes on in place of a literal and a new match), and what marks a character that a swap does not know.
 SAVED, BAR = 8.0, 1_000
 #: Single-byte encodings that text is read in by mistake.
@@ -283,6 +288,24 @@ class Coder:
             best = min(best, price + n)
         return best
 
+    def spelt(self, line: str) -> bool:
+        """Whether the line can be read as UTF-8 that was taken for another encoding."""
+        return not line.isascii() and any("utf-8" in c[0] for c in readings(line, 1, ()).values())
+
+    def doubtful(self, line: str) -> bool:
+        """Whether characters are lost, or the escapes of another reading alone are cheaper by more than two chains."""
+        if LOST.search(line) or self.spelt(line):
+            return True
+        at, n = self._counted(line)
+        least = float((ESCAPE * (n @ self.lacks[at] + self.odd(line))).min())
+        if least <= 2 * CHAIN:
+            return False
+        found, prices = self._swaps(at, n, least)
+        if len(found) and float(prices.min()) + 2 * CHAIN < least:
+            return True
+        others = (t for pair in self.double if (t := _undone(line, *pair)))
+        return any(float(self._prices(t).min()) + 2 * CHAIN < least for t in (*others, *self._strange_words(line)))
+
     def gains(self, line: str) -> list[tuple[float, tuple[str, ...], str]]:
         """(bytes saved, chain, text) of each reading that is shorter than the line as it stands."""
         if line.isascii():
@@ -395,43 +418,192 @@ class Coder:
         return fixed, [" ".join(c) for c in sorted(used)], lost(fixed)
 
 
+class Sorter:
+    """Tells the language of many lines at once, by the code lengths of pairs of characters, and counts their characters."""
+
+    def __init__(self, pairs: dict[str, Counter], coder: Coder) -> None:
+        self.coder, self.langs = coder, coder.langs
+        self.bits = np.zeros((1 << PAIR_BITS, len(self.langs)), np.float32)
+        for j, k in enumerate(self.langs):
+            n = np.zeros(1 << PAIR_BITS)
+            n[list(pairs[k])] = list(pairs[k].values())
+            self.bits[:, j] = -np.log2((n + UNSEEN) / (n.sum() + UNSEEN * len(n)))
+        # the row of each character, 0 for those of no alphabet
+        self.row = np.zeros(0x110000, np.int32)
+        chars = sorted(frozenset().union(*coder.alphabets.values()))
+        self.row[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.lacks = np.array([[1.0] * len(self.langs), *(coder._lacking(c) for c in chars)], np.float32)
+        self.totals: Counter = Counter()
+        self.chars: dict[tuple[str, str], int] = Counter()
+        self.top: dict[str, list[tuple[int, int, str]]] = {k: [] for k in self.langs}
+
+    def read(self, lines: list[str], times: list[int]) -> None:
+        """Counts lines with the number of texts each is in; those of another reading are left out."""
+        at = 0
+        while at < len(lines):  # some 200,000 characters at a time
+            to, size = at, 0
+            while to < len(lines) and (to == at or size + len(lines[to]) < 200_000):
+                size += len(lines[to])
+                to += 1
+            self._read(lines[at:to], np.array(times[at:to], np.int64))
+            at = to
+
+    def _read(self, lines: list[str], times: np.ndarray) -> None:
+        keys, ends = _pair_keys(lines)
+        cost = np.add.reduceat(self.bits[keys], np.append(0, ends[:-1] + 1), axis=0) / 8
+        codes = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        line = np.cumsum(codes == 10)
+        high = np.flatnonzero(codes > 0x7E)
+        codes, line = codes[high].astype(np.int64), line[high]
+        lacking = np.zeros(cost.shape, np.float32)
+        if len(high):
+            new = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+            lacking[line[new]] = ESCAPE * np.add.reduceat(self.lacks[self.row[codes]], new, axis=0)
+        best = (cost + lacking).argmin(1)
+        # a line that its language holds altogether brings no character that is new to it
+        for i in np.flatnonzero(lacking[np.arange(len(best)), best]).tolist():
+            if self.coder.doubtful(lines[i]):
+                times[i] = 0
+        for j, n in enumerate(np.bincount(best, times, len(self.langs)).tolist()):
+            self.totals[self.langs[j]] += int(n)
+        if len(high):
+            both = np.unique(line << 21 | codes)
+            of, char = both >> 21, both & 0x1FFFFF
+            both = best[of] << 21 | char
+            values, inverse = np.unique(both, return_inverse=True)
+            for v, n in zip(values.tolist(), np.bincount(inverse, times[of]).tolist(), strict=True):
+                if n:
+                    self.chars[(self.langs[v >> 21], chr(v & 0x1FFFFF))] += int(n)
+        for j, n, x in zip(best.tolist(), times.tolist(), lines, strict=True):
+            if n:
+                self.top[self.langs[j]].append((-n, _order(x), x))
+        for k, held in self.top.items():
+            if len(held) > 4_000:
+                self.top[k] = _first(held)
+
+    def rows(self) -> Iterator[tuple[str, str | None, int, str | None]]:
+        """(language, character, texts, none), (language, none, texts, none) for all lines, and (language, none, texts, line)."""
+        yield from ((k, c, n, None) for (k, c), n in self.chars.items())
+        yield from ((k, None, n, None) for k, n in self.totals.items() if n)
+        yield from ((k, None, -n, x) for k, held in self.top.items() for n, _, x in _first(held))
+
+
+def _pair_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of the pairs of characters, each line with an end on both sides; where the lines end)."""
+    codes = np.frombuffer("\n".join(["", *lines, ""]).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return (codes[:-1] * np.uint32(0x9E3779B1) ^ codes[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - PAIR_BITS), np.flatnonzero(codes[1:] == 10)
+
+
+def _order(line: str) -> int:
+    """An order of equally frequent lines that their letters have no part in."""
+    return zlib.crc32(line.encode("utf-8", "surrogatepass"))
+
+
+def _first(held: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The most frequent lines, as many as twice a dictionary holds."""
+    held.sort()
+    sizes = np.cumsum([len(x.encode("utf-8", "surrogatepass")) + 1 for _, _, x in held])
+    return held[: int(np.searchsorted(sizes, 2 * DICT_BYTES)) + 1]
+
+
+def _start(by: dict[str, list[str]], letters: dict[str, Counter]) -> Coder:
+    return Coder({k: "\n".join(v).encode("utf-8", "surrogatepass")[-DICT_BYTES:] for k, v in by.items()}, {k: COMMON + "".join(v) for k, v in letters.items()})
+
+
+def _letters_of(lines: Iterable[str]) -> Counter:
+    return Counter(c for t in lines for c in {*t, *t.upper()} if c > "\x7e")
+
+
+def _made(first: Coder, by: dict[str, list[str]], letters: dict[str, Counter], texts: int, rows: Iterable[tuple[str, str | None, int, str | None]]) -> tuple[dict[str, bytes], dict[str, str]]:
+    """Dictionaries and alphabets of what ``Sorter.rows`` counted over so many texts."""
+    fresh, totals, lines = {k: Counter() for k in by}, Counter(), {k: [] for k in by}
+    for k, c, n, line in rows:
+        if line is not None:
+            lines[k].append((-n, _order(line), line))
+        elif c is None:
+            totals[k] += n
+        else:
+            fresh[k][c] += n
+    dictionaries = {}
+    for k, own in lines.items():
+        # the most frequent first; those of a clear reading as another text are left out
+        clear = [(-n, x) for n, _, x in _first(own) if not LOST.search(x) and not first.spelt(x) and not (first.escapes(x)[0][0] and any(g[0] > 2 * CHAIN for g in first.gains(x)))]
+        least = max(3, OFTEN * texts)
+        # what is frequent lies at the end, where matches are cheapest
+        dictionaries[k] = "\n".join([*(x for n, x in reversed(clear) if n < least), *by[k], *(x for n, x in reversed(clear) if n >= least)]).encode("utf-8", "surrogatepass")[-DICT_BYTES:]
+    # a sign seen once in a thousand of a language's lines belongs to its alphabet
+    alphabets = {k: "".join(sorted({*COMMON, *letters[k], *(c for c, n in fresh[k].items() if n >= max(3, totals[k] / 1000))})) for k in by}
+    return dictionaries, alphabets
+
+
 def fit(labelled: list[tuple[str, str]], texts: list[str]) -> tuple[dict[str, bytes], dict[str, str]]:
-    """Dictionaries and alphabets of the languages, from labelled lines and lines of a sample of the corpus.
+    """Dictionaries and alphabets of the languages, from labelled lines and the lines of texts of the corpus.
 
     A corpus line is used if no other reading of it exists; it goes to the language that describes it shortest."""
     by: dict[str, list[str]] = {}
     for k, t in sorted(labelled):
         by.setdefault(k, []).append(t)
-    letters = {k: Counter(c for t in v for c in {*t, *t.upper()} if c > "\x7e") for k, v in by.items()}
-    first = Coder({k: "\n".join(v).encode()[-DICT_BYTES:] for k, v in by.items()}, {k: COMMON + "".join(v) for k, v in letters.items()})
-    seen: Counter = Counter(x.strip() for t in texts for x in set(t.split("\n")))
-    lines: dict[str, list[tuple[int, str]]] = {k: [] for k in by}
-    fresh = {k: Counter() for k in by}
-    for line, n in sorted(seen.items()):
-        if not line or LOST.search(line) or not line.isascii() and any("utf-8" in c[0] for c in readings(line, 1, ()).values()):
-            continue
-        if first.escapes(line)[0][0] and any(g[0] > 2 * CHAIN for g in first.gains(line)):
-            continue
-        raw = line.encode("utf-8", "surrogatepass")
-        k = min(first.press, key=lambda k: (ESCAPE * sum(c not in first.alphabets[k] for c in line if c > "\x7e") + len(first.press[k].compress(raw)), k))
-        lines[k].append((n, line))
-        fresh[k].update({c: n for c in line if c > "\x7e"})
-    dictionaries = {}
-    for k, own in lines.items():
-        rare = [x for n, x in own if n < 3][: SAMPLE_LINES // len(by)]
-        often = [x for _, x in sorted((n, x) for n, x in own if n >= 3)]
-        # what is frequent lies at the end, where matches are cheapest
-        dictionaries[k] = "\n".join([*rare, *by[k], *often]).encode("utf-8", "surrogatepass")[-DICT_BYTES:]
-    # a sign seen once in a thousand of a language's lines belongs to its alphabet
-    alphabets = {k: "".join(sorted({*COMMON, *letters[k], *(c for c, n in fresh[k].items() if n >= max(3, sum(x for x, _ in lines[k]) / 1000))})) for k in by}
-    return dictionaries, alphabets
+    letters = {k: _letters_of(v) for k, v in by.items()}
+    first = _start(by, letters)
+    sorter = Sorter({k: Counter(_pair_keys(v)[0].tolist()) for k, v in by.items()}, first)
+    seen: Counter = Counter(x for t in texts for x in {z.strip(BLANK) for z in t.split("\n")} if x)
+    if by:
+        sorter.read(list(seen), list(seen.values()))
+    return _made(first, by, letters, len(texts), sorter.rows())
 
 
 def fitted(samples: DataFrame, corpus: DataFrame, lang_col: str, sample_col: str, text_col: str) -> tuple[dict[str, bytes], dict[str, str]]:
-    """As ``fit``, of at most SAMPLE_LINES labelled texts and SAMPLE_TEXTS texts of the corpus, those of the least hash."""
-    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(sample_col).alias("t")).where("k <> '' AND t IS NOT NULL")
-    texts = corpus.select(F.col(text_col).alias("t")).where("t <> ''")
-    return fit([(r.k, r.t) for r in bounded_sample(rows, SAMPLE_LINES).collect()], [r.t for r in bounded_sample(texts, SAMPLE_TEXTS).collect()])
+    """As ``fit``, of all labelled texts and all texts of the corpus, counted by Spark.
+
+    The driver gets the counts of characters and pairs, and of each language as many lines as twice its dictionary holds."""
+    rows = samples.select(F.lower(F.trim(lang_col)).alias("k"), F.col(sample_col).cast("string").alias("t")).where("k <> '' AND t IS NOT NULL").distinct()
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters: dict[str, Counter] = {}
+        pairs: dict[str, Counter] = {}
+        for batch in batches:
+            held: dict[str, list[str]] = {}
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(k, []).append(t)
+            for k, v in held.items():
+                letters.setdefault(k, Counter()).update(_letters_of(v))
+                for t in v:
+                    pairs.setdefault(k, Counter()).update(_pair_keys([t])[0].tolist())
+        out = [(k, c, None, n) for k, v in letters.items() for c, n in v.items()] + [(k, None, p, n) for k, v in pairs.items() for p, n in v.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["k", "c", "p", "n"])
+
+    by: dict[str, list[str]] = {}
+    so_far = Window.partitionBy("k").orderBy(F.xxhash64("t"), "t").rowsBetween(Window.unboundedPreceding, -1)
+    for r in rows.select("k", "t", F.coalesce(F.sum(F.octet_length("t") + 1).over(so_far), F.lit(0)).alias("size")).where(F.col("size") < DICT_BYTES).orderBy("k", "t").toLocalIterator():
+        by.setdefault(r.k, []).append(r.t)
+    letters, pairs = {k: Counter() for k in by}, {k: Counter() for k in by}
+    for r in rows.mapInArrow(labelled, "k string, c string, p bigint, n bigint").groupBy("k", "c", "p").agg(F.sum("n").alias("n")).toLocalIterator():
+        if r.c is None:
+            pairs[r.k][r.p] = r.n
+        else:
+            letters[r.k][r.c] = r.n
+    letters = {k: Counter(dict(sorted(v.items()))) for k, v in letters.items()}
+    if not by:
+        return {}, {}
+    sent = samples.sparkSession.sparkContext.broadcast((by, letters, pairs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by, letters, pairs = sent.value
+        sorter = Sorter(pairs, _start(by, letters))
+        for batch in batches:
+            sorter.read(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        out = list(sorter.rows())
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string()))], names=["k", "c", "n", "line"])
+
+    texts = corpus.select(F.col(text_col).cast("string").alias("t")).where("t <> ''").distinct()
+    lines = texts.select(F.explode(F.array_distinct(F.transform(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(BLANK))))).alias("line")).where("line <> ''")
+    counted = stored(lines.groupBy("line").agg(F.count("*").alias("n")).mapInArrow(run, "k string, c string, n bigint, line string"))
+    n_texts = texts.select(F.count("*")).first()[0]
+    counts = counted.where("line IS NULL").groupBy("k", "c").agg(F.sum("n").alias("n"))
+    so_far = Window.partitionBy("k").orderBy(F.desc("n"), F.crc32("line"), "line").rowsBetween(Window.unboundedPreceding, -1)
+    top = counted.where("line IS NOT NULL").select("k", "n", "line", F.coalesce(F.sum(F.octet_length("line") + 1).over(so_far), F.lit(0)).alias("size")).where(F.col("size") < 2 * DICT_BYTES)
+    got = [(r.k, r.c, r.n, None) for r in counts.toLocalIterator()] + [(r.k, None, r.n, r.line) for r in top.toLocalIterator()]
+    return _made(_start(by, letters), by, letters, n_texts, got)
 
 
 def repaired(df: DataFrame, model: tuple[dict[str, bytes], dict[str, str]], id_col: str, text_col: str, carry: list[str] = (), once: bool = True) -> DataFrame:

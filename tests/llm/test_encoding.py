@@ -72,3 +72,15 @@ def test_operator_edges(spark, model):
     assert by[2].text is None and not by[2].garbled and by[3].text == "" and not by[5].garbled
     assert encoding.repaired(df.limit(0), model, "content_id", "extracted_text").count() == 0
     assert encoding.repaired(df, model, "content_id", "extracted_text", carry=["text"]).columns[-1] == "carried_text"
+
+
+def test_all_texts_are_counted(spark):
+    # more texts than the sample of 2,000 had, a few of them with a sign that no labelled line has, and copies, which count once
+    texts = [f"{LINES['fr'][i % 3]}\nFiche {i}" for i in range(6_000)]
+    texts[5_990:] = [f"Le cœur du dossier {i} relève de la même autorité." for i in range(10)]
+    labelled = [(k, x) for k, v in LINES.items() for x in v]
+    samples = spark.createDataFrame(labelled * 2, "lang string, text string")
+    corpus = spark.createDataFrame([(t,) for t in [*texts, *texts[:500]]], "t string")
+    got = encoding.fitted(samples, corpus.repartition(5), "lang", "text", "t")
+    assert got == encoding.fit(labelled, texts)
+    assert "œ" in got[1]["fr"]
