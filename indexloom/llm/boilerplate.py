@@ -601,8 +601,9 @@ def furniture_lines(df: DataFrame, weights: Weights, id_col: str, text_col: str,
     return texts.mapInArrow(run, "id bigint, line_no int").distinct()
 
 
-def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_col: str, page_kind: str = "html", carry: list[str] = (), message: Callable[[str], int] = lambda _: 0) -> DataFrame:
-    """id, text and the strings ``carry`` (as carried_<name>) of every row: the main body of pages, other rows as they are; null stays null."""
+def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_col: str, page_kind: str = "html", carry: list[str] = (), message: Callable[[str], int] = lambda _: 0, around: bool = False) -> DataFrame:
+    """id, text and the strings ``carry`` (as carried_<name>) of every row: the main body of pages, other rows as they are; null stays null.
+    With ``around`` the different lines that were left out come along as one string, around."""
     sent = df.sparkSession.sparkContext.broadcast(weights)
     texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), df[kind_col].eqNullSafe(page_kind).alias("page"), *[df[c].cast("string").alias(f"carried_{c}") for c in carry])
 
@@ -610,13 +611,17 @@ def main_text(df: DataFrame, weights: Weights, id_col: str, text_col: str, kind_
         use = None
         for batch in batches:
             use = use or Scanner(sent.value, message)
-            out = []
+            out, rest = [], []
             use.prepare(t for t, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if t and page)
             for t, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                rest.append(None)
                 if t and page:
                     drop = set(use.furniture(t))
+                    if around:
+                        lines = t.split("\n")
+                        rest[-1] = "\n".join(dict.fromkeys(lines[i].strip() for i in sorted(drop)))
                     t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop).strip("\n")
                 out.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), *[batch.column(3 + i) for i in range(len(carry))]], names=["id", "text", *[f"carried_{c}" for c in carry]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), *[batch.column(3 + i) for i in range(len(carry))], *([pa.array(rest, pa.string())] if around else [])], names=["id", "text", *[f"carried_{c}" for c in carry], *(["around"] if around else [])])
 
-    return texts.mapInArrow(run, ", ".join(["id bigint, text string", *[f"`carried_{c}` string" for c in carry]]))
+    return texts.mapInArrow(run, ", ".join(["id bigint, text string", *[f"`carried_{c}` string" for c in carry], *(["around string"] if around else [])]))

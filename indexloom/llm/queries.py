@@ -49,10 +49,8 @@ def p2_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _residue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
     """The main bodies (id, text, carried_url) of all rows, and the model of residue."""
     clean, weights = _clean(spark, sf_dir)
-    bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"], message=residue.message))
-    pages = table(spark, sf_dir, "document_contents").where("content_type = 'html'")
-    scan = boilerplate.Scanner(weights, residue.message)
-    return bodies, residue.fitted(bodies, "text", "carried_url", pages, "extracted_text", scan.furniture)
+    bodies = stored(boilerplate.main_text(clean, weights, "id", "text", "content_type", carry=["url"], message=residue.message, around=True))
+    return bodies, residue.fitted(bodies, "text", "carried_url", "around")
 
 
 def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Sentences are classified in windows of words, so that a placeholder in a long sentence counts as much as in a short one;
 a text is residue when one of its windows is.  Features are hashed word and shape n-grams, length and title features.
-The labels are weak: response-status lines and phrases in a sample of the texts, besides lines that pages have around
+The labels are weak: response-status lines and phrases in all texts, besides lines that pages have around
 their text as negatives; the threshold is chosen, and the classifier measured, on hosts that it was not trained on.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -21,14 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indexloom.llm.boilerplate import unquoted
-from indexloom.llm.common import bounded_sample
-
-#: Feature space, bounds of the samples (any texts, short ones, ones with rare signs, pages for lines around their text, windows that are no residue), passes, L2, weight of a positive window, share of hosts held out.
-FEATURES, SAMPLE, SAMPLE_SHORT, SAMPLE_SIGNS, SAMPLE_PAGES, NEGATIVES, EPOCHS, L2, POSITIVE, HELD_OUT = 1 << 17, 2_500, 3_500, 2_000, 1_000, 20_000, 8, 1e-6, 3.0, 5
+from indexloom.llm.common import stored
+
+#: Feature space, passes, L2, weight of a positive window, share of hosts held out.
+FEATURES, EPOCHS, L2, POSITIVE, HELD_OUT = 1 << 17, 8, 1e-6, 3.0, 5
+#: Sentences of a part, most batches of a pass, and what the windows of a kind that are no residue count at most, to those that are.
+PART, BATCHES, PLAIN = 100_000, 40, 10.0
+#: Thresholds to choose from.
+STEPS = np.arange(0.45, 0.75, 0.05)
 #: Words of a window, and words from one to the next.
 WINDOW, STRIDE = 12, 3
-#: Characters of a short text, and signs that text seldom has.
-SHORT, SIGNS = 400, r"[{}<>%#@_$]|\[[A-Z]|undefined|NaN|XX"
 #: Probability from which a window is residue where no held-out host tells better.
 THRESHOLD = 0.5
 #: Weak labels.  Response status, messages, filler in the languages of the corpus, and forms of placeholders.
@@ -186,6 +188,90 @@ def _logits(w: np.ndarray, b: float, read: tuple) -> np.ndarray:
     return (value[high] - value[low] + w[kind]) / np.sqrt(high - low + 1) + b
 
 
+def _windows(keys: list[tuple[str, bool, int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(features of all windows, how many each has, whether it is residue by the weak labels, whether its host is held
+    out, how often it counts, whether it is a whole sentence) of (sentence, opens, times, host)."""
+    reader, out = Reader(), []
+    for at in range(0, len(keys), 4_096):
+        part = keys[at : at + 4_096]
+        feats, place, span, sentence, kind = reader.windows([k[:2] for k in part])
+        if not len(span):
+            continue
+        order = np.argsort(place, kind="stable")
+        feats, place = feats[order], place[order]
+        low, high = np.searchsorted(place, span[:, 0]), np.searchsorted(place, span[:, 1])
+        sizes = high - low + 1
+        flat = feats[np.minimum(np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes), max(len(feats) - 1, 0))]
+        flat[np.cumsum(sizes) - 1] = kind
+        count = np.bincount(sentence, minlength=len(part))
+        first = np.cumsum(count) - count
+        label = np.zeros(len(span), bool)
+        for i, (s, _, _, _) in enumerate(part):
+            if weak_label(s):
+                if count[i] == 1:
+                    label[first[i]] = True
+                elif count[i]:
+                    spots = [m.span() for m in _word.finditer(s)]
+                    begin = span[first[i], 0]
+                    for j in range(first[i], first[i] + count[i]):
+                        label[j] = weak_label(s[spots[span[j, 0] - begin][0] : spots[span[j, 1] - begin - 1][1]])
+        held = np.array([zlib.crc32(h.encode("utf-8", "surrogatepass")) % HELD_OUT == 0 for _, _, _, h in part])[sentence]
+        often = np.array([min(n, 50) for _, _, n, _ in part], np.float32)[sentence]
+        out.append((flat.astype(np.int32), sizes, label, held, often, count[sentence] == 1))
+    if not out:
+        none = np.zeros(0, np.int32)
+        return none, none, none.astype(bool), none.astype(bool), none.astype(np.float32), none.astype(bool)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _some(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    return flat[np.repeat(which, sizes)]
+
+
+def _balanced(label: np.ndarray, often: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """How much each window counts: all are read, and those that are no residue (whole sentences, and windows of longer
+    ones) are weighed down to PLAIN times the windows that are, so that the size of a corpus does not change the odds."""
+    weight = often.copy()
+    for kind in (whole, ~whole):
+        some = kind & ~label
+        if some.any():
+            weight[some] *= min(1.0, PLAIN * max(int(label.sum()), 1) / int(some.sum()))
+    return weight
+
+
+def _models(windows: tuple) -> list[tuple[np.ndarray, float, np.ndarray, int]]:
+    """(weights, bias, windows with each feature, windows) of the model of the hosts that are not held out, and of all."""
+    flat, sizes, label, held, often, whole = windows
+    out = []
+    for which in (~held, np.ones(len(held), bool)):
+        n = int(which.sum())
+        some = _some(flat, sizes, which)
+        w, b = _train(some, sizes[which], label[which], _balanced(label[which], often[which], whole[which])) if n else (np.zeros(FEATURES, np.float32), -10.0)
+        out.append((w, b, np.bincount(some, minlength=FEATURES), n))
+    return out
+
+
+def _counts(windows: tuple, w: np.ndarray, b: float) -> np.ndarray:
+    """Of the held-out windows, for each threshold: residue that is found, windows found, residue; and windows."""
+    flat, sizes, label, held, often, _ = windows
+    if not held.any():
+        return np.zeros((len(STEPS), 4))
+    n = sizes[held]
+    z = np.add.reduceat(w[_some(flat, sizes, held)], np.cumsum(n) - n) / np.sqrt(n) + b
+    p, y, often = 1 / (1 + np.exp(-z)), label[held], often[held].astype(float)
+    return np.array([[often[(p >= t) & y].sum(), often[p >= t].sum(), often[y].sum(), len(p)] for t in STEPS])
+
+
+def _measures(counts: np.ndarray) -> dict[str, float]:
+    measures = {"threshold": THRESHOLD, "windows": float(counts[0, 3]), "precision": 0.0, "recall": 0.0}
+    if counts[0, 3]:
+        # a text has many windows, so precision counts twice; among equals the one nearest to the default
+        best = [(round(1.25 * hit / max(said + 0.25 * true, 1), 3), -abs(t - THRESHOLD), t, hit / max(said, 1), hit / max(true, 1)) for t, (hit, said, true, _) in zip(STEPS, counts.tolist(), strict=True)]
+        _, _, t, precision, recall = max(best)
+        measures |= {"threshold": round(float(t), 2), "precision": float(precision), "recall": float(recall)}
+    return measures
+
+
 def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> tuple[np.ndarray, float, dict[str, float]]:
     """(weights, bias, measures on unseen hosts) of (text, host) rows, by logistic regression with AdaGrad, besides lines
     around texts, with their hosts, which are negatives where they carry no weak label.
@@ -197,68 +283,35 @@ def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> t
     for text, host in rows:
         for key in sentences(text):
             times[key] += 1
-            host_of.setdefault(key, host)
-    for line, host in furniture:
-        for s, _ in sentences(line):
-            if not weak_label(s):
-                times[(s, False)] += 1
-                host_of.setdefault((s, False), host)
-    data: list[tuple[np.ndarray, bool, bool, int]] = []
-    plain: tuple[list, list] = ([], [])  # windows of long sentences, and short ones: titles, list items, single words
-    reader = Reader()
-    for s, opens in host_of:
-        read = reader.windows([(s, opens)])
-        feats, place, span, _, kind = read
-        own = weak_label(s)
-        held = zlib.crc32(host_of[(s, opens)].encode("utf-8", "surrogatepass")) % HELD_OUT == 0
-        spots = [m.span() for m in _word.finditer(s)] if own and len(span) > 1 else []
-        for j, (a, b) in enumerate(span.tolist()):
-            label = own if len(span) == 1 else own and weak_label(s[spots[a][0] : spots[b - 1][1]])
-            f = np.append(feats[(place >= a) & (place < b)], kind[j]).astype(np.int32)
-            if label:
-                data.append((f, True, held, min(times[(s, opens)], 50)))
-            elif not own or len(span) > 1 and not label:
-                plain[len(span) == 1].append((zlib.crc32(f"{a} {s}".encode("utf-8", "surrogatepass")), f, False, held, min(times[(s, opens)], 50)))
-    data += [x[1:] for some in plain for x in sorted(some, key=lambda x: x[0])[: NEGATIVES // 2]]
-    if not data:
+            host_of[key] = min(host_of.get(key, host), host)
+    for s in {s for line, _ in furniture for s, _ in sentences(line)}:
+        if not weak_label(s):
+            times[(s, False)] += 1
+            host_of.setdefault((s, False), s)
+    windows = _windows(sorted((s, opens, n, host_of[(s, opens)]) for (s, opens), n in times.items()))
+    if not len(windows[1]):
         return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
-    seen, test = [d for d in data if not d[2]], [d for d in data if d[2]]
-    measures = {"threshold": THRESHOLD, "windows": float(len(test)), "precision": 0.0, "recall": 0.0}
-    if seen and test:
-        w, b = _train(seen)
-        p = np.array([1 / (1 + np.exp(-(w[f].sum() / np.sqrt(len(f)) + b))) for f, _, _, _ in test])
-        y, n = np.array([t for _, t, _, _ in test]), np.array([k for _, _, _, k in test], float)
-        best = []
-        for t in np.arange(0.45, 0.75, 0.05):
-            hit, said, true = n[(p >= t) & y].sum(), n[p >= t].sum(), n[y].sum()
-            best.append((round(1.25 * hit / max(said + 0.25 * true, 1), 3), -abs(t - THRESHOLD), t, hit / max(said, 1), hit / max(true, 1)))
-        # a text has many windows, so precision counts twice; among equals the one nearest to the default
-        _, _, t, precision, recall = max(best)
-        measures |= {"threshold": round(float(t), 2), "precision": float(precision), "recall": float(recall)}
-    w, b = _train(data)
-    return w, b, measures
+    seen, final = _models(windows)
+    return final[0], final[1], _measures(_counts(windows, *seen[:2]) if seen[3] else np.zeros((len(STEPS), 4)))
 
 
-def _train(data: list[tuple[np.ndarray, bool, bool, int]]) -> tuple[np.ndarray, float]:
+def _train(flat: np.ndarray, sizes: np.ndarray, label: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, float]:
     rng = np.random.default_rng(5)
     w, b = np.zeros(FEATURES, np.float32), -2.0
     acc, acc_b = np.full(FEATURES, 1e-6, np.float32), 1e-6
-    flat = np.concatenate([f for f, _, _, _ in data]).astype(np.int64)
-    sizes = np.array([len(f) for f, _, _, _ in data])
     starts = np.cumsum(sizes) - sizes
-    y = np.array([t for _, t, _, _ in data], np.float32)
-    often = np.array([n for _, _, _, n in data], np.float32)
+    y = label.astype(np.float32)
     scale = (1 / np.sqrt(sizes)).astype(np.float32)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(data))
-        for part in np.array_split(order, max(1, len(data) // 512)):
+        order = rng.permutation(len(sizes))
+        for part in np.array_split(order, max(1, min(len(sizes) // 512, BATCHES))):
             n = sizes[part]
             at = np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             col, row = flat[at], np.repeat(np.arange(len(part)), n)
             z = np.add.reduceat(w[col], np.cumsum(n) - n) * scale[part] + b
             g = (1 / (1 + np.exp(-z)) - y[part]) * np.where(y[part] > 0, POSITIVE, 1.0) * often[part] / len(part)
             grad = np.bincount(col, weights=(g * scale[part])[row], minlength=FEATURES).astype(np.float32)
-            used = grad != 0
+            used = np.flatnonzero(grad)
             d = grad[used] + L2 * w[used]
             acc[used] += d * d
             w[used] -= 0.3 * d / np.sqrt(acc[used])
@@ -267,19 +320,68 @@ def _train(data: list[tuple[np.ndarray, bool, bool, int]]) -> tuple[np.ndarray,
     return w, float(b)
 
 
-def fitted(df: DataFrame, text_col: str, url_col: str, pages: DataFrame | None = None, page_col: str = "text", furniture: Callable[[str], list[int]] | None = None) -> tuple[np.ndarray, float, dict[str, float]]:
-    """As ``fit``, of three bounded samples, each of the least hash: any texts, short ones and ones with signs that text
-    seldom has, since residue is rare and mostly one of the latter; and of the lines that ``furniture`` names in a sample
-    of ``pages``."""
+def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None = None) -> tuple[np.ndarray, float, dict[str, float]]:
+    """As ``fit``, of all sentences of all texts, and of the lines of ``furniture_col``, which stood around them.
+
+    Different sentences are told apart by Spark and dealt by their hash into parts of some PART; each part trains a model
+    on all of its windows, and the models are averaged.  So no task holds more than a part, the driver no more than sums."""
+    spark = df.sparkSession
     host = F.coalesce(F.regexp_extract(url_col, r"^[^:/?#]+://([^/?#]*)", 1), F.lit(""))
-    rows = df.select(F.col(text_col).alias("t"), host.alias("h")).where("t <> ''")
-    parts = [(rows, SAMPLE), (rows.where(F.length("t") < SHORT), SAMPLE_SHORT), (rows.where(F.col("t").rlike(SIGNS)), SAMPLE_SIGNS)]
-    lines = []
-    if pages is not None and furniture is not None:
-        for r in bounded_sample(pages.select(F.col(page_col).alias("t")).where("t <> ''"), SAMPLE_PAGES).collect():
-            x = r.t.split("\n")
-            lines += [(x[i].strip(), x[i].strip()) for i in furniture(r.t)]
-    return fit(sorted({(r.t, r.h) for part, n in parts for r in bounded_sample(part, n).collect()}), sorted(set(lines)))
+    rows = df.select(F.col(text_col).cast("string").alias("t"), host.alias("h"), (F.col(furniture_col) if furniture_col else F.lit(None)).cast("string").alias("f"))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times: Counter = Counter()
+            around: set[str] = set()
+            for t, h, f in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if t:
+                    times.update((s, o, h) for s, o in sentences(t))
+                if f:
+                    around.update(s for x in set(f.split("\n")) for s, _ in sentences(x))
+            out = [(s, o, h, n, 0) for (s, o, h), n in times.items()] + [(s, False, None, 0, 1) for s in around if not weak_label(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64()))], names=["s", "o", "h", "n", "f"])
+
+    found = rows.mapInArrow(told, "s string, o boolean, h string, n bigint, f bigint")
+    keys = stored(found.groupBy("s", "o").agg((F.sum("n") + F.max("f")).alias("n"), F.coalesce(F.min("h"), F.col("s")).alias("h")))
+    parts = max(1, round(keys.count() / PART))
+    names = ["model", "w", "n", "b", "windows"]
+
+    def trained(table: pa.Table) -> pa.Table:
+        got = _models(_windows(sorted(zip(*(table.column(c).to_pylist() for c in "sonh"), strict=True))))
+        return pa.table([pa.array([0, 1]), pa.array([(w.astype(np.float64) * n).tobytes() for w, _, n, _ in got]), pa.array([n.astype(np.int64).tobytes() for _, _, n, _ in got]), pa.array([b * n for _, b, _, n in got], pa.float64()), pa.array([n for _, _, _, n in got], pa.int64())], names=names)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                new = [np.frombuffer(r["w"]), np.frombuffer(r["n"], np.int64), r["b"], r["windows"]]
+                total[r["model"]] = [a + x for a, x in zip(total[r["model"]], new, strict=True)] if r["model"] in total else new
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), *(pa.array([x.tobytes() for x in c]) for c in list(zip(*total.values(), strict=True))[:2]), *(pa.array(list(c), t) for c, t in zip(list(zip(*total.values(), strict=True))[2:], (pa.float64(), pa.int64()), strict=True))], names=names)
+
+    schema = "model bigint, w binary, n binary, b double, windows bigint"
+    dealt = keys.withColumn("part", F.pmod(F.xxhash64("s"), F.lit(parts)))
+    sums: dict[int, list] = {}
+    for r in dealt.groupBy("part").applyInArrow(trained, schema).mapInArrow(summed, schema).toLocalIterator():
+        new = [np.frombuffer(r.w), np.frombuffer(r.n, np.int64), r.b, r.windows]
+        sums[r.model] = [a + x for a, x in zip(sums[r.model], new, strict=True)] if r.model in sums else new
+    if not sums or not sums[1][3]:
+        return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
+    (seen, seen_b, n_seen), (w, b, _) = (((x[0] / np.maximum(x[1], 1)).astype(np.float32), x[2] / max(x[3], 1), x[3]) for x in (sums[0], sums[1]))
+    sent = spark.sparkContext.broadcast((seen, seen_b))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(STEPS), 4))
+        for batch in batches:
+            rows = [r for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True) if zlib.crc32(r[3].encode("utf-8", "surrogatepass")) % HELD_OUT == 0]
+            total += _counts(_windows(rows), *sent.value)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(STEPS)), pa.int64()), *(pa.array(c) for c in total.T)], names=["step", "hit", "said", "true", "windows"])
+
+    counts = np.zeros((len(STEPS), 4))
+    if n_seen:
+        for r in keys.select("s", "o", "n", "h").mapInArrow(measured, "step bigint, hit double, said double, true double, windows double").groupBy("step").agg(*[F.sum(c).alias(c) for c in ("hit", "said", "true", "windows")]).collect():
+            counts[r.step] = r.hit, r.said, r.true, r.windows
+    return w, b, _measures(counts)
 
 
 class Judge:

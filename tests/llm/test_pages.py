@@ -1,5 +1,6 @@
 """Problems 2 and 6: furniture of pages, residue and messages."""
 
+import numpy as np
 import pytest
 
 from indexloom.llm import boilerplate, residue
@@ -121,3 +122,18 @@ def test_messages_stay_and_lost_letters_are_matched(weights):
     assert scan.furniture("\n".join(lines)) == [0, 1, 2, 3, 4, 7, 8]
     accents = boilerplate.fit(["\n".join(["Publicações", "Notícias", x.format(n=i)]) for i in range(60) for x in LEGAL[:2]], [x.format(n=i) for i in range(60) for x in LEGAL[:3]])
     assert boilerplate.Scanner(accents).furniture(f"Publica��es\nNot�cias\n{LEGAL[0]}") == [0, 1]
+
+
+def test_residue_is_learned_from_all_texts(spark, monkeypatch):
+    # long texts without rare signs, of which a sample of 2,500 was read; one word in them marks residue
+    rows = [(f"The controller number {i} must encrypt the records of the office in the town of Sekeberg.", f"h{i % 40}.example") for i in range(6_000)]
+    rows += [(f"Lorem ipsum dolor sit amet {i} consectetur.", f"h{i % 40}.example") for i in range(60)]
+    df = spark.createDataFrame([(t, f"https://{h}/a", "Home\nAll news") for t, h in rows], "t string, u string, f string")
+    w, b, measures = residue.fit(rows, [("Home", "Home"), ("All news", "All news")])
+    got_w, got_b, got = residue.fitted(df.repartition(5), "t", "u", "f")
+    assert np.allclose(got_w, w, atol=1e-5) and abs(got_b - b) < 1e-6 and got == measures
+    assert got["windows"] > 20_000 / residue.HELD_OUT and got["recall"] > 0.9
+    monkeypatch.setattr(residue, "PART", 1_000)
+    several = residue.fitted(df, "t", "u", "f")
+    use = residue.Judge(*several[:2])
+    assert several[2]["windows"] == got["windows"] and use.probability(rows[-1][0])[0] >= several[2]["threshold"] > use.probability(rows[0][0])[0]
