@@ -362,7 +362,7 @@ def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None
     schema = "model bigint, w binary, n binary, b double, windows bigint"
     dealt = keys.withColumn("part", F.pmod(F.xxhash64("s"), F.lit(parts)))
     sums: dict[int, list] = {}
-    for r in dealt.groupBy("part").applyInArrow(trained, schema).mapInArrow(summed, schema).toLocalIterator():
+    for r in stored(dealt.groupBy("part").applyInArrow(trained, schema).mapInArrow(summed, schema)).toLocalIterator():  # stored, as an iterator runs its tasks one by one
         new = [np.frombuffer(r.w), np.frombuffer(r.n, np.int64), r.b, r.windows]
         sums[r.model] = [a + x for a, x in zip(sums[r.model], new, strict=True)] if r.model in sums else new
     if not sums or not sums[1][3]:

@@ -1,9 +1,9 @@
 """Problem 9: subject areas of documents, by truncated SVD and refined seed centroids.
 
 Terms (words, pairs of Chinese characters) are weighted by inverse document frequency; a truncated singular value
-decomposition of a sample of documents gives the term vectors.  A sentence is the sum of its terms' vectors.  Seed
+decomposition of all documents gives the term vectors.  A sentence is the sum of its terms' vectors.  Seed
 centroids come from hand labels, one for each subject and language and one for each language's general wording, and are
-refined by assigning the sample's sentences to the nearest and averaging anew.  A document has a subject when enough of
+refined by assigning all sentences to the nearest and averaging anew.  A document has a subject when enough of
 its sentences are nearest to it.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import bounded_sample
+from indexloom.llm.common import stored
 
-#: Bounds of the samples (labelled and other documents, labelled lines of known language), least and greatest share of documents with a term, dimensions.
-LABELLED, OTHERS, SAMPLE_LINES, LEAST, COMMON, TERMS, DIMENSIONS = 2_000, 600, 4_000, 4, 0.5, 9_000, 160
+#: Least number and greatest share of documents with a term, most terms, dimensions, and terms that a task counts before it passes them on.
+LEAST, COMMON, TERMS, DIMENSIONS, HELD = 4, 0.5, 9_000, 160, 1_000_000
 #: Rounds of refinement, least similarity of a sentence to its centroid, known terms it must have, and sentences a document needs.
 ROUNDS, SIMILAR, KNOWN, SENTENCES = 8, 0.35, 3, 3
 #: For the seeds: documents' worth of prior in a term's counts, and information from which a term tells of a subject.
@@ -93,114 +93,289 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def truncated_svd(a: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     """Right singular vectors (columns x k) by random projection with two power steps."""
-    rng = np.random.default_rng(seed)
-    k = min(k, *a.shape)
-    y = a @ rng.standard_normal((a.shape[1], k + 10), np.float32)
-    for _ in range(2):
-        y, _ = np.linalg.qr(y)
-        z, _ = np.linalg.qr(a.T @ y)
-        y = a @ z
-    q, _ = np.linalg.qr(y)
-    return np.linalg.svd(q.T @ a, full_matrices=False)[2][:k].T.astype(np.float32)
-
+    return _svd(lambda q: a.T @ (a @ q), a.shape[1], min(k, *a.shape), seed)
 
-def _seeds(docs: list[tuple[str, frozenset[str]]], flat: list[tuple[int, list[int], Counter]], lang: list[str], n_terms: int) -> tuple[dict[tuple[str | None, str], list[int]], dict[str, np.ndarray]]:
-    """(sentences to start from, by (subject or None, language); for each subject, which sentences hold a telling term).
 
-    How much a term tells of a subject is its smoothed pointwise information over the labelled documents.  A sentence
-    of a labelled document whose terms tell most of a label of it seeds that subject; one with hardly a telling term
-    seeds the general wording of its language."""
-    codes = sorted({s for _, labels in docs for s in labels})
+def _svd(gram: Callable[[np.ndarray], np.ndarray], columns: int, k: int, seed: int = 1) -> np.ndarray:
+    """As ``truncated_svd``, of a matrix of which only the product of its Gram matrix with others is asked."""
+    q = np.random.default_rng(seed).standard_normal((columns, min(k + 10, columns)), np.float32)
+    for _ in range(2):
+        q, _ = np.linalg.qr(gram(q))
+    z = gram(q).astype(np.float64)
+    value, vector = np.linalg.eigh(q.T.astype(np.float64) @ z)
+    keep = value > 1e-9 * max(value[-1], 1e-30)
+    return np.linalg.svd((vector[:, keep] / np.sqrt(value[keep])).T @ z.T, full_matrices=False)[2][:k].T.astype(np.float32)
+
+
+class Block:
+    """Some documents: the labels of each, the numbers of their known terms by sentence, and document and language of each
+    sentence (0 where no word tells it)."""
+
+    def __init__(self, labels: list[list[str]], ids: list[bytes], sizes: list[bytes], lang: list[bytes]) -> None:
+        self.labels = labels
+        self.ids = np.frombuffer(b"".join(ids), np.uint16).astype(np.int64)
+        self.sizes = np.frombuffer(b"".join(sizes), np.int32).astype(np.int64)
+        self.lang = np.frombuffer(b"".join(lang), np.uint8).astype(np.int64)
+        self.doc = np.repeat(np.arange(len(labels)), [len(x) for x in lang])
+
+    def longer(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(terms, where each sentence starts, language, document) of the sentences of two known terms or more."""
+        keep = self.sizes > 1
+        sizes = self.sizes[keep]
+        return self.ids[np.repeat(keep, self.sizes)], np.cumsum(sizes) - sizes, self.lang[keep], self.doc[keep]
+
+    def held(self, codes: dict[str, int]) -> np.ndarray:
+        """Which subjects each document is labelled with."""
+        out = np.zeros((len(self.labels), len(codes)), bool)
+        for i, labels in enumerate(self.labels):
+            out[i, [codes[s] for s in labels]] = True
+        return out
+
+
+def _embedded(vectors: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(starts), vectors.shape[1]), np.float32)
+    ends = np.append(starts[1:], len(ids))
+    at = 0
+    while at < len(starts):  # about 3,000 terms at a time, which stay in a core's cache
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + 3_000)))
+        out[at:to] = np.add.reduceat(vectors[ids[starts[at] : ends[to - 1]]], starts[at:to] - starts[at], axis=0)
+        at = to
+    return _unit(out)
+
+
+def _by_key(x: np.ndarray, key: np.ndarray, keys: int) -> list[np.ndarray]:
+    """[sums of the rows of each key, their number]."""
+    sums = np.zeros((keys, x.shape[1]))
+    order = np.argsort(key, kind="stable")
+    if len(order):
+        new = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        sums[key[order][new]] = np.add.reduceat(x[order], new, axis=0)
+    return [sums, np.bincount(key, minlength=keys).astype(float)]
+
+
+def _gram_pass(block: Block, arg: tuple) -> list[np.ndarray]:
+    """Product of the Gram matrix of the weighted documents with ``q``."""
+    q, idf = arg
+    out, n = np.zeros(q.shape, np.float32), len(idf)
+    doc = np.repeat(block.doc, block.sizes)
+    for at in range(0, len(block.labels), 256):
+        low, high = np.searchsorted(doc, (at, at + 256))
+        rows = min(256, len(block.labels) - at)
+        counts = np.bincount((doc[low:high] - at) * n + block.ids[low:high], minlength=rows * n)
+        some = np.flatnonzero(counts)
+        value = (1 + np.log(counts[some])) * idf[some % n]
+        value /= np.sqrt(np.bincount(some // n, value * value, rows))[some // n]
+        a = np.zeros(rows * n, np.float32)
+        a[some] = value
+        a = a.reshape(rows, n)
+        out += a.T @ (a @ q)
+    return [out]
+
+
+def _label_pass(block: Block, arg: tuple) -> list[np.ndarray]:
+    """Of labelled documents: [terms by subject, terms by language, languages by subject], a document's labels sharing it."""
+    codes, n, langs = arg
+    held = block.held(codes)
+    share = held / np.maximum(held.sum(1, keepdims=True), 1)
+    ids, starts, lang, doc = block.longer()
+    own = held.any(1)
+    spoken = np.unique(doc * langs + lang)
+    spoken = spoken[own[spoken // langs]]
+    term = np.unique(np.repeat(doc * langs + lang, np.diff(np.append(starts, len(ids)))) * n + ids)
+    term = term[own[term // n // langs]]
+    counts = np.stack([np.bincount(term % n, share[term // n // langs, j], n) for j in range(len(codes))], axis=1)
+    by_lang = np.bincount(term % n * langs + term // n % langs, minlength=n * langs).reshape(n, langs).astype(float)
+    return [counts, by_lang, np.stack([np.bincount(spoken % langs, share[spoken // langs, j], langs) for j in range(len(codes))], axis=1)]
+
+
+def _seed_pass(block: Block, arg: tuple) -> list[np.ndarray]:
+    """Sums of the sentences to start from, by subject (the last: general wording) and language.
+
+    A sentence of a labelled document whose terms tell most of a label of it seeds that subject; one with hardly a
+    telling term seeds the general wording of its language."""
+    vectors, tells, codes, langs = arg
+    ids, starts, lang, doc = block.longer()
+    if not len(starts):
+        return [np.zeros(((len(codes) + 1) * langs, vectors.shape[1])), np.zeros((len(codes) + 1) * langs)]
+    strong = np.add.reduceat((tells > TELLING).astype(np.int32)[ids], starts, axis=0)
+    j = np.add.reduceat(np.maximum(tells, 0)[ids], starts, axis=0).argmax(1)
+    seed = (strong[np.arange(len(j)), j] >= 2) & block.held(codes)[doc, j]
+    use = seed | ~strong.any(1)
+    return _by_key(_embedded(vectors, ids, starts)[use], (np.where(seed, j, len(codes)) * langs + lang)[use], (len(codes) + 1) * langs)
+
+
+def _round_pass(block: Block, arg: tuple) -> list[np.ndarray]:
+    """Sums of the sentences nearest to each centroid that hold a term that tells of its subject."""
+    vectors, bits, codes, centroids, subject, free = arg
+    ids, starts, _, doc = block.longer()
+    if not len(starts):
+        return [np.zeros(centroids.shape), np.zeros(len(centroids))]
+    x = _embedded(vectors, ids, starts)
+    sims = x @ centroids.T
+    if not free:  # sentences of labelled documents go to their labels or to general wording
+        held = block.held(codes)
+        ok = np.append(held | ~held.any(1, keepdims=True), np.ones((len(held), 1), bool), axis=1)
+        sims[~ok[doc][:, subject]] = -1.0
+    best, top = sims.argmax(1), sims.max(1)
+    of = subject[best]
+    holds = np.array([np.bitwise_or.reduceat(b[ids], starts) for b in bits])  # 62 subjects in each row, general wording among them
+    own = (top > 0.15) & (holds[of // 62, np.arange(len(of))] >> of % 62 & 1).astype(bool)
+    return _by_key(x[own], best[own], len(centroids))
+
+
+def _learned(run: Callable[[Callable, tuple], list[np.ndarray]], vocab: list[str], df: dict[str, int], n_docs: int, codes: dict[str, int], langs: int) -> Model:
+    """The model, of sums over all documents: ``run`` applies a pass to all blocks and adds up what it returns."""
+    idf = np.log(n_docs / np.array([df[t] for t in vocab])).astype(np.float32)
+    vectors = _svd(lambda q: run(_gram_pass, (q, idf))[0], len(vocab), min(DIMENSIONS, n_docs, len(vocab))) * idf[:, None]
+    index = {t: i for i, t in enumerate(vocab)}
+    none = Model(index, vectors, np.zeros((1, vectors.shape[1]), np.float32), [None])
     if not codes:
-        return {}, {}
-    at = {s: j for j, s in enumerate(codes)}
-    spoken = sorted(set(lang))
-    counts, by_lang = np.zeros((n_terms, len(codes)), np.float32), np.zeros((n_terms, len(spoken)), np.float32)
-    held: dict[tuple[int, str], set[int]] = defaultdict(set)
-    for n, (i, ids, _) in enumerate(flat):
-        held[(i, lang[n])].update(ids)
-    prior = np.full((len(spoken), len(codes)), 1e-3, np.float32)  # a language's documents may favour a subject
-    for (i, k), ids in held.items():
-        for s in docs[i][1]:
-            share, own = 1 / len(docs[i][1]), list(ids)
-            counts[own, at[s]] += share
-            by_lang[own, spoken.index(k)] += share
-            prior[spoken.index(k), at[s]] += share
+        return none
+    # how much a term tells of a subject is its smoothed pointwise information over the labelled documents
+    counts, by_lang, prior = run(_label_pass, (codes, len(vocab), langs))
+    prior = prior + 1e-3  # a language's documents may favour a subject
     prior /= prior.sum(1, keepdims=True)
     expected = by_lang @ prior / np.maximum(by_lang.sum(1, keepdims=True), 1e-9) + 1e-6
-    tells = np.log((counts + SMOOTH * expected) / (counts.sum(1, keepdims=True) + SMOOTH) / expected)
-    groups: dict[tuple[str | None, str], list[int]] = defaultdict(list)
-    holds = np.zeros((len(codes), len(flat)), bool)
-    for n, (i, ids, _) in enumerate(flat):
-        holds[:, n] = (tells[ids] > TELLING).any(0)
-        told = np.maximum(tells[ids], 0)
-        j = int(told.sum(0).argmax())
-        strong = int((told[:, j] > TELLING).sum())
-        if strong >= 2 and codes[j] in docs[i][1]:
-            groups[(codes[j], lang[n])].append(n)
-        elif not holds[:, n].any():
-            groups[(None, lang[n])].append(n)
-    return groups, {s: holds[j] for s, j in at.items()}
+    tells = np.log((counts + SMOOTH * expected) / (counts.sum(1, keepdims=True) + SMOOTH) / expected).astype(np.float32)
+    sums, n = run(_seed_pass, (vectors, tells, codes, langs))
+    keys = [k for k in range(len(n)) if k % langs and n[k] >= 2]
+    if not keys:
+        return none
+    names, subject = list(codes), np.array([k // langs for k in keys])
+    bits = np.zeros((len(codes) // 62 + 1, len(vocab)), np.int64)  # what each term tells of; general wording needs no such term
+    for j in range(len(codes) + 1):
+        bits[j // 62] |= (tells[:, j] > TELLING if j < len(codes) else np.ones(len(vocab), bool)).astype(np.int64) << j % 62
+    c = _unit(sums[keys] / n[keys][:, None]).astype(np.float32)
+    for r in range(ROUNDS):  # labels may be wrong: at last all are free
+        sums, n = run(_round_pass, (vectors, bits, codes, c, subject, r >= ROUNDS // 2))
+        c = _unit(np.where(n[:, None] >= 2, sums / np.maximum(n, 1)[:, None], c)).astype(np.float32)
+    return Model(index, vectors, c, [names[s] if s < len(names) else None for s in subject])
+
+
+def _word_langs(spoken: dict[str, set[str]]) -> tuple[dict[str, int], int]:
+    """(language number of words of one language only, number of languages with none)."""
+    number = {k: i + 1 for i, k in enumerate(sorted({k for v in spoken.values() for k in v}))}
+    return {t: number[next(iter(v))] for t, v in spoken.items() if len(v) == 1}, len(number) + 1
+
+
+def _vocabulary(df: dict[str, int], n_docs: int) -> list[str]:
+    return sorted((t for t, n in df.items() if LEAST <= n <= COMMON * n_docs + LEAST), key=lambda t: (-df[t], t))[:TERMS]
+
+
+def _numbered(text: str, index: dict[str, int], word_lang: dict[str, int]) -> tuple[bytes, bytes, bytes]:
+    """(numbers of the known terms, how many each sentence has, its language) of a text."""
+    ids, sizes, langs = [], [], []
+    for s in sentences(text):
+        found = terms(s)
+        own = [i for t in found if (i := index.get(t)) is not None]
+        spoken = Counter(k for t in found if (k := word_lang.get(t)))
+        ids += own
+        sizes.append(len(own))
+        langs.append(spoken.most_common(1)[0][0] if spoken else 0)
+    return np.array(ids, np.uint16).tobytes(), np.array(sizes, np.int32).tobytes(), np.array(langs, np.uint8).tobytes()
 
 
 def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) -> Model:
     """The model of (text, subjects labelled, none if unlabelled) documents and (language, line) samples."""
-    spoken: dict[str, Counter] = defaultdict(Counter)
+    spoken: dict[str, set[str]] = defaultdict(set)
     for lang, line in lines:
-        for t in set(terms(line)):
-            spoken[t][lang] += 1
-    word_lang = {t: c.most_common(1)[0][0] for t, c in spoken.items() if len(c) == 1}
-    split = [[terms(s) for s in sentences(text)] for text, _ in docs]
-    df = Counter(t for d in split for t in {t for s in d for t in s})
-    vocab = sorted((t for t, n in df.items() if LEAST <= n <= COMMON * len(docs) + LEAST), key=lambda t: (-df[t], t))[:TERMS]
-    index = {t: i for i, t in enumerate(vocab)}
+        for t in terms(line):
+            spoken[t].add(lang)
+    word_lang, langs = _word_langs(spoken)
+    df = Counter(t for text, _ in docs for t in {t for s in sentences(text) for t in terms(s)})
+    vocab = _vocabulary(df, len(docs))
     if not vocab or len(docs) < 2:
         return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None])
-    idf = np.log(len(docs) / np.array([df[t] for t in vocab])).astype(np.float32)
-    a = np.zeros((len(docs), len(vocab)), np.float32)
-    for i, d in enumerate(split):
-        for t, n in Counter(t for s in d for t in s).items():
-            if t in index:
-                a[i, index[t]] = 1 + np.log(n)
-    a *= idf
-    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
-    vectors = truncated_svd(a, DIMENSIONS) * idf[:, None]
-    del a
-    flat = [(i, [index[t] for t in s if t in index], Counter(word_lang[t] for t in s if t in word_lang)) for i, d in enumerate(split) for s in d]
-    flat = [x for x in flat if len(x[1]) > 1]
-    x = _unit(_sums(vectors, [ids for _, ids, _ in flat]))
-    lang = [c.most_common(1)[0][0] if c else "" for _, _, c in flat]
-    groups, holds = _seeds(docs, flat, lang, len(vocab))
-    keys = sorted((k for k, v in groups.items() if k[1] and len(v) >= 2), key=str)
-    if not keys:
-        return Model(index, vectors, np.zeros((1, vectors.shape[1]), np.float32), [None])
-    c = _unit(np.array([x[groups[k]].mean(0) for k in keys], np.float32))
-    allowed = np.ones((len(flat), len(keys)), bool)
-    for n, (i, _, _) in enumerate(flat):
-        if docs[i][1]:
-            allowed[n] = [s is None or s in docs[i][1] for s, _ in keys]
-    for r in range(ROUNDS):
-        sims = np.where(allowed, x @ c.T, -1.0) if r < ROUNDS // 2 else x @ c.T  # labels may be wrong: at last all are free
-        best, top = sims.argmax(1), sims.max(1)
-        new = []
-        for j in range(len(keys)):
-            own = np.flatnonzero((best == j) & (top > 0.15) & (True if keys[j][0] is None else holds[keys[j][0]]))
-            new.append(x[own].mean(0) if len(own) >= 2 else c[j])
-        c = _unit(np.array(new, np.float32))
-    return Model(index, vectors, c, [s for s, _ in keys])
+    index = {t: i for i, t in enumerate(vocab)}
+    block = Block([sorted(x) for _, x in docs], *zip(*(_numbered(text, index, word_lang) for text, _ in docs), strict=True))
+    codes = {s: j for j, s in enumerate(sorted({s for _, x in docs for s in x}))}
+    return _learned(lambda f, arg: f(block, arg), vocab, df, len(docs), codes, langs)
+
+
+def _added(rows: Iterable[list[bytes]], shapes: list[tuple[int, ...]]) -> list[np.ndarray]:
+    total = [np.zeros(s) for s in shapes]
+    for r in rows:
+        total = [t + np.frombuffer(x).reshape(s) for t, x, s in zip(total, r, shapes, strict=True)]
+    return total
 
 
 def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", code_col: str = "subject_code") -> Model:
-    """As ``fit``, of at most LABELLED labelled documents, OTHERS others and SAMPLE_LINES lines, those of the least hash."""
-    marks = labels.select(labels[id_col].cast("long").alias("id"), F.lower(F.trim(code_col)).alias("code")).where("id IS NOT NULL AND code <> ''").distinct()
+    """As ``fit``, of all documents, all labels and all lines; documents frequencies, decomposition, seeds and rounds are
+    sums over all documents, which Spark makes from their terms' numbers, stored once."""
+    spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
+    marks = labels.select(labels[id_col].cast("long").alias("id"), F.lower(F.trim(code_col)).alias("code")).where("id IS NOT NULL AND code <> ''")
     marks = marks.groupBy("id").agg(F.sort_array(F.collect_set("code")).alias("codes"))
-    marks = bounded_sample(marks, LABELLED, "id")
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("t")).where("t <> ''")
-    known = texts.join(F.broadcast(marks), "id").collect()  # at most LABELLED texts
-    rest = bounded_sample(texts, OTHERS, "id").collect()
-    rows = [(r.t, frozenset(r.codes)) for r in sorted(known)] + [(r.t, frozenset()) for r in rest if r.id not in {k.id for k in known}]
-    lines = samples.select(F.lower(F.trim("lang")).alias("k"), F.col("text").alias("t")).where("k <> '' AND t <> ''")
-    return fit(rows, [(r.k, r.t) for r in bounded_sample(lines, SAMPLE_LINES).collect()])
+    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("t")).where("t <> ''")
+    lines = samples.select(F.lower(F.trim("lang")).alias("k"), F.col("text").cast("string").alias("t")).where("k <> '' AND t <> ''")
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = list({(k, w) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in terms(t)})
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in range(2)], names=["k", "w"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([*seen, None], pa.string()), pa.array([*seen.values(), n], pa.int64())], names=["w", "n"])
+
+        seen, n = Counter(), 0
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update({w for s in sentences(t) for w in terms(s)})
+                n += 1
+                if len(seen) > HELD:
+                    yield out()
+                    seen, n = Counter(), 0
+        yield out()
+
+    spoken = lines.mapInArrow(words, "k string, w string").groupBy("w").agg(F.collect_set("k").alias("k"))
+    word_lang, langs = _word_langs({r.w: set(r.k) for r in spoken.collect()})
+    totals = stored(texts.select("t").mapInArrow(counted, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")))
+    n_docs = next((r.n for r in totals.where("w IS NULL").collect()), 0) or 0
+    most = totals.where(F.col("w").isNotNull() & (F.col("n") >= LEAST) & (F.col("n") <= COMMON * n_docs + LEAST)).orderBy(F.desc("n"), "w").limit(TERMS)
+    df = {r.w: r.n for r in most.collect()}
+    vocab = _vocabulary(df, n_docs)
+    if not vocab or n_docs < 2:
+        return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None])
+    sent = send(({t: i for i, t in enumerate(vocab)}, word_lang))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [_numbered(t, *sent.value) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.binary()) for i in range(3))], names=["id", "ids", "sizes", "langs"])
+
+    # the numbers are shuffled for the labels, not the texts
+    rows = texts.mapInArrow(numbered, "id bigint, ids binary, sizes binary, langs binary").join(marks, "id", "left").select(F.coalesce("codes", F.array().cast("array<string>")).alias("labels"), "ids", "sizes", "langs")
+    rows = stored(rows)
+    codes = {r.c: j for j, r in enumerate(rows.select(F.explode("labels").alias("c")).distinct().orderBy("c").collect())}
+
+    def run(f: Callable, arg: tuple) -> list[np.ndarray]:
+        told = send(arg)
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: list[np.ndarray] = []
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1_024):
+                    new = f(Block(*(c.to_pylist() for c in batch.slice(at, 1_024).columns)), told.value)
+                    total = [a + b for a, b in zip(total, new, strict=True)] if total else new
+            if total:
+                yield pa.RecordBatch.from_arrays([pa.array([[x.astype(np.float64).tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
+
+        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, shapes = [], []
+            for batch in batches:
+                for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    new, shapes = [np.frombuffer(v) for v in x], y
+                    total = [a + b for a, b in zip(total, new, strict=True)] if total else new
+            if total:
+                yield pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([shapes], pa.list_(pa.string()))], names=["sums", "shapes"])
+
+        schema = "sums array<binary>, shapes array<string>"
+        got = rows.mapInArrow(summed, schema).repartition(4).mapInArrow(together, schema).collect()
+        told.unpersist()
+        return _added((r.sums for r in got), [tuple(map(int, x.split(","))) for x in got[0].shapes])
+
+    return _learned(run, vocab, df, n_docs, codes, langs)
 
 
 def subjects(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES) -> DataFrame:

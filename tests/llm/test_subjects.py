@@ -51,3 +51,18 @@ def test_operator_edges(spark, model):
     assert got == {(1, "health"), (5, "health"), (None, "health")}
     assert subjects.subjects(df.limit(0), model).count() == 0
     assert subjects.fit([], []).assign(["Any text at all."]) == [None]
+
+
+def test_all_documents_are_read(spark):
+    # more documents than the 600 without a label that were read, half of them with words of their own
+    rng = random.Random(4)
+    docs = [(i, document(rng, [t]), t) for i, t in enumerate(t for t in TOPICS for _ in range(20))]
+    docs += [(1_000 + i, " ".join(f"The clerks of ward{i % 100} {rng.choice(['count', 'weigh', 'sort'])} every parcel and stamp." for _ in range(3)), None) for i in range(1_000)]
+    lines = [("en", s) for s in GENERAL] + [("en", sentence(rng, t)) for t in TOPICS]
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(i, t) for i, _, t in docs if t] * 2, "doc_id bigint, subject_code string")
+    got = subjects.fitted(df, labels, spark.createDataFrame(lines, "lang string, text string"))
+    own = subjects.fit([(text, frozenset([t] if t else [])) for _, text, t in docs], lines)
+    assert got.index == own.index and got.subjects == own.subjects
+    sents = [sentence(rng, t) for t in TOPICS for _ in range(5)]
+    assert got.assign(sents) == own.assign(sents) == [t for t in TOPICS for _ in range(5)]
