@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from indexloom.llm import queries
+from indexloom.llm import encoding, queries
 
 DATA = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -25,3 +25,16 @@ def test_query(spark, name):
         for t in ("section_extractions", "document_sections"):
             sql = sql.replace(f"FROM {t}", f"FROM '{DATA}/{t}.parquet'")
         assert sorted(map(tuple, rows)) == sorted(duckdb.sql(sql).fetchall())
+
+
+def test_pages_are_restored_by_a_model_of_all_texts(spark, tmp_path, monkeypatch):
+    # p2_found restores lines first; that model came from a sample of 2,000 texts
+    labelled = [("fr", "Les règles sur caméras routières s’appliquent à péages."), ("en", "The controller must encrypt the records.")]
+    texts = [f"Menu\nLes règles du dossier {i} s’appliquent à la même autorité.\nFiche {i}" for i in range(2_600)]
+    spark.createDataFrame(labelled, "lang string, text string").write.parquet(f"{tmp_path}/lang_samples.parquet")
+    spark.createDataFrame([(i, t, "html", "https://a.example/b") for i, t in enumerate(texts)], "content_id bigint, extracted_text string, content_type string, url string").write.parquet(f"{tmp_path}/document_contents.parquet")
+    spark.createDataFrame([(1, labelled[0][1]), (2, labelled[1][1])], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    models, real = [], encoding.repaired
+    monkeypatch.setattr(encoding, "repaired", lambda df, model, *a, **k: models.append(model) or real(df, model, *a, **k))
+    queries.p2_found(spark, str(tmp_path))
+    assert models == [encoding.fit(labelled, texts)]
