@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -292,13 +292,6 @@ def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) ->
     return _learned(lambda f, arg: f(block, arg), vocab, df, len(docs), codes, langs)
 
 
-def _added(rows: Iterable[list[bytes]], shapes: list[tuple[int, ...]]) -> list[np.ndarray]:
-    total = [np.zeros(s) for s in shapes]
-    for r in rows:
-        total = [t + np.frombuffer(x).reshape(s) for t, x, s in zip(total, r, shapes, strict=True)]
-    return total
-
-
 def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", code_col: str = "subject_code") -> Model:
     """As ``fit``, of all documents, all labels and all lines; documents frequencies, decomposition, seeds and rounds are
     sums over all documents, which Spark makes from their terms' numbers, stored once."""
@@ -359,21 +352,21 @@ def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str =
                     new = f(Block(*(c.to_pylist() for c in batch.slice(at, 1_024).columns)), told.value)
                     total = [a + b for a, b in zip(total, new, strict=True)] if total else new
             if total:
-                yield pa.RecordBatch.from_arrays([pa.array([[x.astype(np.float64).tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
+                yield pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[f"{x.dtype.str}:" + ",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
 
         def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, shapes = [], []
             for batch in batches:
                 for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    new, shapes = [np.frombuffer(v) for v in x], y
+                    new, shapes = [np.frombuffer(v, k.split(":")[0]) for v, k in zip(x, y, strict=True)], y
                     total = [a + b for a, b in zip(total, new, strict=True)] if total else new
             if total:
                 yield pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([shapes], pa.list_(pa.string()))], names=["sums", "shapes"])
 
         schema = "sums array<binary>, shapes array<string>"
-        got = rows.mapInArrow(summed, schema).repartition(4).mapInArrow(together, schema).collect()
+        got = rows.mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
         told.unpersist()
-        return _added((r.sums for r in got), [tuple(map(int, x.split(","))) for x in got[0].shapes])
+        return [np.frombuffer(x, k.split(":")[0]).reshape([int(n) for n in k.split(":")[1].split(",")]) for x, k in zip(got.sums, got.shapes, strict=True)]
 
     return _learned(run, vocab, df, n_docs, codes, langs)
 
