@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from indexloom.llm.boilerplate import unquoted
 from indexloom.llm.common import stored
 
-#: Feature space, passes, L2, weight of a positive window, share of hosts held out.
-FEATURES, EPOCHS, L2, POSITIVE, HELD_OUT = 1 << 17, 8, 1e-6, 3.0, 5
-#: Sentences of a part, most batches of a pass, and what the windows of a kind that are no residue count at most, to those that are.
-PART, BATCHES, PLAIN = 100_000, 40, 10.0
+#: Feature space, passes, how far a pass goes, bias, L2, weight of a positive window, share of hosts held out.
+FEATURES, PASSES, RATE, BIAS, L2, POSITIVE, HELD_OUT = 1 << 17, 16, 0.4, -2.0, 1e-6, 3.0, 5
+#: Sentences read at a time, and what the windows of a kind that are no residue count at most, to those that are.
+PART, PLAIN = 16_384, 10.0
 #: Thresholds to choose from.
 STEPS = np.arange(0.45, 0.75, 0.05)
 #: Words of a window, and words from one to the next.
@@ -60,6 +60,8 @@ FORMS = re.compile(
     r"\{\{.*?\}?\}|\{%|%\}|<%|%>|\$!?\{\w|@@\w+@@|#[A-Z][A-Z_]+#|#N#|%[A-Z]{2,}[A-Z_ ]*%|__[A-Z]\w*__|<<[A-Z][A-Z_ ]*>>|\[\[\w[\w.]*\]\]|"
     r"\[(INSERT|TO BE|YOUR|Your|object) [^\]]*\]|(?<![A-Za-z0-9_])(?:undefined|NaN|XX/XX/XXXX)(?![A-Za-z0-9_])"
 )
+#: Signs without which no form matches but the three words at its end.
+_form_sign = re.compile(r"[{%<$@#_\[]").search
 _sentence = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_])|(?<=[。！？])\s*")
 _unspaced = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").search
 _word = re.compile(r"[一-鿿]|[^\W\d_一-鿿]+|\d+|[^\w\s]+|_+")
@@ -83,7 +85,13 @@ def _phrases() -> ahocorasick.Automaton:
 
 
 def weak_label(sentence: str) -> bool:
-    return bool(next(_phrases().iter(sentence.lower()), None) or PATTERNS.search(sentence) or FORMS.search(sentence) or len(sentence) < 160 and STATUS.search(sentence))
+    low = sentence.lower()
+    return bool(
+        next(_phrases().iter(low), None)
+        or ("启用" in low or "on l" in low or "texte d" in low) and PATTERNS.search(sentence)
+        or (_form_sign(sentence) or "undefined" in low or "nan" in low or "xx/" in low) and FORMS.search(sentence)
+        or len(sentence) < 160 and STATUS.match(sentence)
+    )
 
 
 _script = re.compile(r"javascript|scripts?\b|脚本", re.I).search
@@ -188,25 +196,26 @@ def _logits(w: np.ndarray, b: float, read: tuple) -> np.ndarray:
     return (value[high] - value[low] + w[kind]) / np.sqrt(high - low + 1) + b
 
 
-def _windows(keys: list[tuple[str, bool, int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(features of all windows, how many each has, whether it is residue by the weak labels, whether its host is held
-    out, how often it counts, whether it is a whole sentence) of (sentence, opens, times, host)."""
-    reader, out = Reader(), []
-    for at in range(0, len(keys), 4_096):
-        part = keys[at : at + 4_096]
-        feats, place, span, sentence, kind = reader.windows([k[:2] for k in part])
-        if not len(span):
-            continue
+class Block:
+    """Some sentences as windows: their features in the order of the words, the range of features of each window, its own
+    feature, whether it is residue by the weak labels, whether its host is held out, whether it is a whole sentence, and
+    how often it counts."""
+
+    def __init__(self, feats: np.ndarray, low: np.ndarray, high: np.ndarray, kind: np.ndarray, marks: np.ndarray, often: np.ndarray) -> None:
+        self.feats, self.low, self.high, self.kind = (x.astype(np.int64) for x in (feats, low, high, kind))
+        self.label, self.held, self.whole = ((marks >> i & 1).astype(bool) for i in range(3))
+        self.often, self.scale = often.astype(np.float64), 1 / np.sqrt(self.high - self.low + 1)
+
+    @staticmethod
+    def read(keys: list[tuple[str, bool, int, str]], reader: Reader) -> list[np.ndarray]:
+        """The arrays of the windows of (sentence, opens, times, host)."""
+        feats, place, span, sentence, kind = reader.windows([k[:2] for k in keys])
         order = np.argsort(place, kind="stable")
-        feats, place = feats[order], place[order]
-        low, high = np.searchsorted(place, span[:, 0]), np.searchsorted(place, span[:, 1])
-        sizes = high - low + 1
-        flat = feats[np.minimum(np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes), max(len(feats) - 1, 0))]
-        flat[np.cumsum(sizes) - 1] = kind
-        count = np.bincount(sentence, minlength=len(part))
+        low, high = (np.searchsorted(place[order], span[:, i]) for i in range(2))
+        count = np.bincount(sentence, minlength=len(keys))
         first = np.cumsum(count) - count
         label = np.zeros(len(span), bool)
-        for i, (s, _, _, _) in enumerate(part):
+        for i, (s, _, _, _) in enumerate(keys):
             if weak_label(s):
                 if count[i] == 1:
                     label[first[i]] = True
@@ -215,51 +224,80 @@ def _windows(keys: list[tuple[str, bool, int, str]]) -> tuple[np.ndarray, np.nda
                     begin = span[first[i], 0]
                     for j in range(first[i], first[i] + count[i]):
                         label[j] = weak_label(s[spots[span[j, 0] - begin][0] : spots[span[j, 1] - begin - 1][1]])
-        held = np.array([zlib.crc32(h.encode("utf-8", "surrogatepass")) % HELD_OUT == 0 for _, _, _, h in part])[sentence]
-        often = np.array([min(n, 50) for _, _, n, _ in part], np.float32)[sentence]
-        out.append((flat.astype(np.int32), sizes, label, held, often, count[sentence] == 1))
-    if not out:
-        none = np.zeros(0, np.int32)
-        return none, none, none.astype(bool), none.astype(bool), none.astype(np.float32), none.astype(bool)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
+        held = np.array([zlib.crc32(h.encode("utf-8", "surrogatepass")) % HELD_OUT == 0 for _, _, _, h in keys], bool)[sentence]
+        often = np.array([min(n, 50) for _, _, n, _ in keys], np.uint8)[sentence]
+        marks = label.astype(np.uint8) | held.astype(np.uint8) << 1 | (count[sentence] == 1).astype(np.uint8) << 2
+        return [feats[order].astype(np.int32), low.astype(np.int32), high.astype(np.int32), kind.astype(np.int32), marks, often]
 
-def _some(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
-    return flat[np.repeat(which, sizes)]
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        """Of weights and, last, the bias."""
+        value = np.append(0.0, np.cumsum(x[self.feats]))
+        return (value[self.high] - value[self.low] + x[self.kind]) * self.scale + x[-1]
 
 
-def _balanced(label: np.ndarray, often: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """How much each window counts: all are read, and those that are no residue (whole sentences, and windows of longer
-    ones) are weighed down to PLAIN times the windows that are, so that the size of a corpus does not change the odds."""
-    weight = often.copy()
-    for kind in (whole, ~whole):
-        some = kind & ~label
-        if some.any():
-            weight[some] *= min(1.0, PLAIN * max(int(label.sum()), 1) / int(some.sum()))
-    return weight
+def _kinds(block: Block, _: None) -> list[np.ndarray]:
+    """Windows by (whether the host is held out, whether a whole sentence, whether residue)."""
+    return [np.bincount(block.held * 4 + block.whole * 2 + block.label, minlength=8)]
 
 
-def _models(windows: tuple) -> list[tuple[np.ndarray, float, np.ndarray, int]]:
-    """(weights, bias, windows with each feature, windows) of the model of the hosts that are not held out, and of all."""
-    flat, sizes, label, held, often, whole = windows
+def _descents(block: Block, arg: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """How much all windows count, and the gradient, for the model of the hosts that are not held out, and of all: (weights
+    and bias, how much the windows of each kind count) of each."""
     out = []
-    for which in (~held, np.ones(len(held), bool)):
-        n = int(which.sum())
-        some = _some(flat, sizes, which)
-        w, b = _train(some, sizes[which], label[which], _balanced(label[which], often[which], whole[which])) if n else (np.zeros(FEATURES, np.float32), -10.0)
-        out.append((w, b, np.bincount(some, minlength=FEATURES), n))
+    for x, weight in arg:
+        z = block.logits(x)
+        c = block.often * weight[block.held * 4 + block.whole * 2 + block.label]
+        g = c * (1 / (1 + np.exp(-z)) - block.label)
+        own = g * block.scale
+        n = len(block.feats) + 1
+        each = np.cumsum(np.bincount(block.low, own, n) - np.bincount(block.high, own, n))[:-1]
+        out.append(np.concatenate([[c.sum()], np.bincount(block.feats, each, FEATURES) + np.bincount(block.kind, own, FEATURES), [g.sum()]]))
     return out
 
 
-def _counts(windows: tuple, w: np.ndarray, b: float) -> np.ndarray:
+def _counts(block: Block, x: np.ndarray) -> list[np.ndarray]:
     """Of the held-out windows, for each threshold: residue that is found, windows found, residue; and windows."""
-    flat, sizes, label, held, often, _ = windows
-    if not held.any():
-        return np.zeros((len(STEPS), 4))
-    n = sizes[held]
-    z = np.add.reduceat(w[_some(flat, sizes, held)], np.cumsum(n) - n) / np.sqrt(n) + b
-    p, y, often = 1 / (1 + np.exp(-z)), label[held], often[held].astype(float)
-    return np.array([[often[(p >= t) & y].sum(), often[p >= t].sum(), often[y].sum(), len(p)] for t in STEPS])
+    held = block.held
+    p, y, often = 1 / (1 + np.exp(-block.logits(x)[held])), block.label[held], block.often[held]
+    return [np.array([[often[(p >= t) & y].sum(), often[p >= t].sum(), often[y].sum(), len(p)] for t in STEPS])]
+
+
+class Descent:
+    """AdaGrad by whole passes: ``x`` are weights and, last, the bias.  Gradients are sums, and what one window brings is
+    little evidence in a table of any size."""
+
+    def __init__(self, n: int) -> None:
+        self.x, self.acc = np.zeros(n), np.ones(n)
+        self.x[-1] = BIAS
+
+    def tell(self, gradient: np.ndarray, total: float) -> None:
+        g = gradient + np.append(L2 * total * self.x[:-1], 0.0)
+        g[-1] = 0.0  # what is made of unknown words is no residue, so the bias stays
+        self.acc += g * g
+        self.x -= RATE * g / np.sqrt(self.acc)
+
+
+def _learned(run: Callable[[Callable, object], list[np.ndarray]]) -> tuple[np.ndarray, float, dict[str, float]]:
+    """The model, of sums over all windows: ``run`` applies a pass to all blocks and adds up what it returns (nothing where
+    there is none).
+
+    Windows that are no residue (whole sentences, and windows of longer ones) are weighed down to PLAIN times the windows
+    that are, so that the size of a corpus does not change the odds."""
+    kinds = run(_kinds, None)
+    if not kinds or not kinds[0].sum():
+        return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
+    number = kinds[0].reshape(2, 2, 2).astype(float)  # held, whole, label
+    weights = []
+    for some in (number[:1].sum(0), number.sum(0)):
+        plain = np.minimum(1.0, PLAIN * max(some[:, 1].sum(), 1.0) / np.maximum(some[:, 0], 1.0))
+        weights.append(np.stack([plain, np.full(2, POSITIVE)], axis=1).ravel())
+    weights = [np.append(weights[0], np.zeros(4)), np.append(weights[1], weights[1])]
+    seen, final = descents = [Descent(FEATURES + 1), Descent(FEATURES + 1)]
+    for _ in range(PASSES):
+        for d, got in zip(descents, run(_descents, [(d.x, w) for d, w in zip(descents, weights, strict=True)]), strict=True):
+            d.tell(got[1:], got[0])
+    counts = run(_counts, seen.x)[0] if number[0].sum() else np.zeros((len(STEPS), 4))
+    return final.x[:-1].astype(np.float32), float(final.x[-1]), _measures(counts)
 
 
 def _measures(counts: np.ndarray) -> dict[str, float]:
@@ -288,43 +326,17 @@ def fit(rows: list[tuple[str, str]], furniture: list[tuple[str, str]] = ()) -> t
         if not weak_label(s):
             times[(s, False)] += 1
             host_of.setdefault((s, False), s)
-    windows = _windows(sorted((s, opens, n, host_of[(s, opens)]) for (s, opens), n in times.items()))
-    if not len(windows[1]):
-        return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
-    seen, final = _models(windows)
-    return final[0], final[1], _measures(_counts(windows, *seen[:2]) if seen[3] else np.zeros((len(STEPS), 4)))
-
-
-def _train(flat: np.ndarray, sizes: np.ndarray, label: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, float]:
-    rng = np.random.default_rng(5)
-    w, b = np.zeros(FEATURES, np.float32), -2.0
-    acc, acc_b = np.full(FEATURES, 1e-6, np.float32), 1e-6
-    starts = np.cumsum(sizes) - sizes
-    y = label.astype(np.float32)
-    scale = (1 / np.sqrt(sizes)).astype(np.float32)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(sizes))
-        for part in np.array_split(order, max(1, min(len(sizes) // 512, BATCHES))):
-            n = sizes[part]
-            at = np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            col, row = flat[at], np.repeat(np.arange(len(part)), n)
-            z = np.add.reduceat(w[col], np.cumsum(n) - n) * scale[part] + b
-            g = (1 / (1 + np.exp(-z)) - y[part]) * np.where(y[part] > 0, POSITIVE, 1.0) * often[part] / len(part)
-            grad = np.bincount(col, weights=(g * scale[part])[row], minlength=FEATURES).astype(np.float32)
-            used = np.flatnonzero(grad)
-            d = grad[used] + L2 * w[used]
-            acc[used] += d * d
-            w[used] -= 0.3 * d / np.sqrt(acc[used])
-            acc_b += float(g.sum()) ** 2
-            b -= 0.3 * float(g.sum()) / np.sqrt(acc_b)
-    return w, float(b)
+    keys = sorted((s, opens, n, host_of[(s, opens)]) for (s, opens), n in times.items())
+    reader = Reader()
+    blocks = [Block(*Block.read(keys[at : at + PART], reader)) for at in range(0, len(keys), PART)]
+    return _learned(lambda f, arg: [sum(x) for x in zip(*(f(b, arg) for b in blocks), strict=True)])
 
 
 def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None = None) -> tuple[np.ndarray, float, dict[str, float]]:
     """As ``fit``, of all sentences of all texts, and of the lines of ``furniture_col``, which stood around them.
 
-    Different sentences are told apart by Spark and dealt by their hash into parts of some PART; each part trains a model
-    on all of its windows, and the models are averaged.  So no task holds more than a part, the driver no more than sums."""
+    Different sentences are told apart by Spark and their features stored once; each pass sums the gradient over all of
+    them, so that a message counts alike however many sentences there are.  A task holds some sentences, the driver sums."""
     spark = df.sparkSession
     host = F.coalesce(F.regexp_extract(url_col, r"^[^:/?#]+://([^/?#]*)", 1), F.lit(""))
     rows = df.select(F.col(text_col).cast("string").alias("t"), host.alias("h"), (F.col(furniture_col) if furniture_col else F.lit(None)).cast("string").alias("f"))
@@ -341,47 +353,48 @@ def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None
             out = [(s, o, h, n, 0) for (s, o, h), n in times.items()] + [(s, False, None, 0, 1) for s in around if not weak_label(s)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64()))], names=["s", "o", "h", "n", "f"])
 
-    found = rows.mapInArrow(told, "s string, o boolean, h string, n bigint, f bigint")
-    keys = stored(found.groupBy("s", "o").agg((F.sum("n") + F.max("f")).alias("n"), F.coalesce(F.min("h"), F.col("s")).alias("h")))
-    parts = max(1, round(keys.count() / PART))
-    names = ["model", "w", "n", "b", "windows"]
-
-    def trained(table: pa.Table) -> pa.Table:
-        got = _models(_windows(sorted(zip(*(table.column(c).to_pylist() for c in "sonh"), strict=True))))
-        return pa.table([pa.array([0, 1]), pa.array([(w.astype(np.float64) * n).tobytes() for w, _, n, _ in got]), pa.array([n.astype(np.int64).tobytes() for _, _, n, _ in got]), pa.array([b * n for _, b, _, n in got], pa.float64()), pa.array([n for _, _, _, n in got], pa.int64())], names=names)
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, list] = {}
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader()
         for batch in batches:
-            for r in batch.to_pylist():
-                new = [np.frombuffer(r["w"]), np.frombuffer(r["n"], np.int64), r["b"], r["windows"]]
-                total[r["model"]] = [a + x for a, x in zip(total[r["model"]], new, strict=True)] if r["model"] in total else new
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total)), *(pa.array([x.tobytes() for x in c]) for c in list(zip(*total.values(), strict=True))[:2]), *(pa.array(list(c), t) for c, t in zip(list(zip(*total.values(), strict=True))[2:], (pa.float64(), pa.int64()), strict=True))], names=names)
-
-    schema = "model bigint, w binary, n binary, b double, windows bigint"
-    dealt = keys.withColumn("part", F.pmod(F.xxhash64("s"), F.lit(parts)))
-    sums: dict[int, list] = {}
-    for r in stored(dealt.groupBy("part").applyInArrow(trained, schema).mapInArrow(summed, schema)).toLocalIterator():  # stored, as an iterator runs its tasks one by one
-        new = [np.frombuffer(r.w), np.frombuffer(r.n, np.int64), r.b, r.windows]
-        sums[r.model] = [a + x for a, x in zip(sums[r.model], new, strict=True)] if r.model in sums else new
-    if not sums or not sums[1][3]:
-        return np.zeros(FEATURES, np.float32), -10.0, {"threshold": THRESHOLD}
-    (seen, seen_b, n_seen), (w, b, _) = (((x[0] / np.maximum(x[1], 1)).astype(np.float32), x[2] / max(x[3], 1), x[3]) for x in (sums[0], sums[1]))
-    sent = spark.sparkContext.broadcast((seen, seen_b))
+            for at in range(0, batch.num_rows, PART):
+                got = Block.read(list(zip(*(c.to_pylist() for c in batch.slice(at, PART).columns), strict=True)), reader)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in got], names=names)
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(STEPS), 4))
-        for batch in batches:
-            rows = [r for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True) if zlib.crc32(r[3].encode("utf-8", "surrogatepass")) % HELD_OUT == 0]
-            total += _counts(_windows(rows), *sent.value)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(STEPS)), pa.int64()), *(pa.array(c) for c in total.T)], names=["step", "hit", "said", "true", "windows"])
-
-    counts = np.zeros((len(STEPS), 4))
-    if n_seen:
-        for r in keys.select("s", "o", "n", "h").mapInArrow(measured, "step bigint, hit double, said double, true double, windows double").groupBy("step").agg(*[F.sum(c).alias(c) for c in ("hit", "said", "true", "windows")]).collect():
-            counts[r.step] = r.hit, r.said, r.true, r.windows
-    return w, b, _measures(counts)
+    names = ["feats", "low", "high", "kind", "marks", "often"]
+    found = rows.mapInArrow(told, "s string, o boolean, h string, n bigint, f bigint")
+    keys = found.groupBy("s", "o").agg((F.sum("n") + F.max("f")).alias("n"), F.coalesce(F.min("h"), F.col("s")).alias("h"))
+    blocks = stored(keys.mapInArrow(read, ", ".join(f"{c} binary" for c in names)))
+
+    def run(f: Callable, arg: object) -> list[np.ndarray]:
+        sent = spark.sparkContext.broadcast(arg)
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: list[np.ndarray] = []
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    new = f(Block(*(np.frombuffer(x, t) for x, t in zip(row, (np.int32,) * 4 + (np.uint8,) * 2, strict=True))), sent.value)
+                    total = [a + b for a, b in zip(total, new, strict=True)] if total else new
+            if total:
+                yield sums(total)
+
+        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: list[np.ndarray] = []
+            for batch in batches:
+                for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    new = [np.frombuffer(v, k.split(":")[0]).reshape([int(n) for n in k.split(":")[1].split(",")]) for v, k in zip(x, y, strict=True)]
+                    total = [a + b for a, b in zip(total, new, strict=True)] if total else new
+            if total:
+                yield sums(total)
+
+        def sums(total: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[f"{x.dtype.str}:" + ",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
+
+        schema = "sums array<binary>, shapes array<string>"
+        got = blocks.mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
+        sent.unpersist()
+        return [np.frombuffer(x, k.split(":")[0]).reshape([int(n) for n in k.split(":")[1].split(",")]) for x, k in zip(got.sums, got.shapes, strict=True)] if got else []
+
+    return _learned(run)
 
 
 class Judge:

@@ -137,3 +137,22 @@ def test_residue_is_learned_from_all_texts(spark, monkeypatch):
     several = residue.fitted(df, "t", "u", "f")
     use = residue.Judge(*several[:2])
     assert several[2]["windows"] == got["windows"] and use.probability(rows[-1][0])[0] >= several[2]["threshold"] > use.probability(rows[0][0])[0]
+
+
+def test_residue_counts_alike_in_large_tables(spark, monkeypatch):
+    # messages that many pages hold are few different sentences; models of parts that were averaged lost them
+    plain = [(f"The controller number {i} must encrypt the records of the office in the town of Sekeberg{i % 900}.", f"h{i % 40}.example") for i in range(6_000)]
+    rows = plain + [(m, f"h{i}.example") for i in range(40) for m in MESSAGES]
+    df = spark.createDataFrame([(t, f"https://{h}/a") for t, h in rows], "t string, u string").repartition(4)
+    monkeypatch.setattr(residue, "PART", 400)
+    w, b, measures = residue.fitted(df, "t", "u")
+    use = residue.Judge(w, b)
+    for text in MESSAGES:
+        assert use.probability(text)[0] >= measures["threshold"], text
+    assert use.probability(plain[7][0])[0] < measures["threshold"]
+
+
+def test_weak_labels_are_those_of_the_patterns():
+    for text in ["Fatal error ON LINE 12", "texte d’exemple", "请启用浏览器脚本", "{{x}}", "{% if %}", "<% x %>", "${a}", "$a b", "@@a@@", "#N#", "%NAME%", "__A__", "<<A B>>", "[[a.b]]", "[INSERT x]", "an undefined b", "NaN", "XX/XX/XXXX", "nan", "Error 404", "see error 404", "404 Not Found", "the online line"]:
+        want = any(p in text.lower() for p in residue.PHRASES) or residue.PATTERNS.search(text) or residue.FORMS.search(text) or residue.STATUS.search(text)
+        assert residue.weak_label(text) == bool(want), text
