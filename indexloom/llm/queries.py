@@ -130,8 +130,9 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, subject_code and n_sentences of every document's subjects."""
     docs = table(spark, sf_dir, "documents")
-    model = subjects.fitted(docs, table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "lang_samples"))
-    return subjects.subjects(docs, model).withColumnRenamed("id", "doc_id")
+    model, rows = subjects.learned(docs, table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "lang_samples"))
+    found = subjects.subjects(docs, model) if rows is None else subjects.of_learned(model, rows)
+    return found.withColumnRenamed("id", "doc_id")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,20 +109,21 @@ def _svd(gram: Callable[[np.ndarray], np.ndarray], columns: int, k: int, seed: i
 
 class Block:
     """Some documents: the labels of each, the numbers of their known terms by sentence, and document and language of each
-    sentence (0 where no word tells it)."""
+    sentence (0 where no word tells it); once the terms have vectors, the length of each sentence's sum."""
 
-    def __init__(self, labels: list[list[str]], ids: list[bytes], sizes: list[bytes], lang: list[bytes]) -> None:
+    def __init__(self, labels: list[list[str]], ids: list[bytes], sizes: list[bytes], lang: list[bytes], norms: list[bytes] = ()) -> None:
         self.labels = labels
+        self.norms = np.frombuffer(b"".join(norms), np.float32)
         self.ids = np.frombuffer(b"".join(ids), np.uint16).astype(np.int64)
         self.sizes = np.frombuffer(b"".join(sizes), np.int32).astype(np.int64)
         self.lang = np.frombuffer(b"".join(lang), np.uint8).astype(np.int64)
         self.doc = np.repeat(np.arange(len(labels)), [len(x) for x in lang])
 
-    def longer(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(terms, where each sentence starts, language, document) of the sentences of two known terms or more."""
-        keep = self.sizes > 1
+    def longer(self, least: int = 2, more: np.ndarray | bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(terms, where each sentence starts, language, document, length) of the sentences of ``least`` known terms or more."""
+        keep = (self.sizes >= least) & more
         sizes = self.sizes[keep]
-        return self.ids[np.repeat(keep, self.sizes)], np.cumsum(sizes) - sizes, self.lang[keep], self.doc[keep]
+        return self.ids[np.repeat(keep, self.sizes)], np.cumsum(sizes) - sizes, self.lang[keep], self.doc[keep], self.norms[keep] if len(self.norms) else np.zeros(0)
 
     def held(self, codes: dict[str, int]) -> np.ndarray:
         """Which subjects each document is labelled with."""
@@ -132,43 +133,49 @@ class Block:
         return out
 
 
-def _embedded(vectors: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(starts), vectors.shape[1]), np.float32)
-    ends = np.append(starts[1:], len(ids))
+def _lengths(vectors: np.ndarray, block: Block) -> np.ndarray:
+    """Length of the sum of each sentence's terms."""
+    out = np.zeros(len(block.sizes), np.float32)
+    full = np.flatnonzero(block.sizes)
+    ends = np.cumsum(block.sizes[full])
+    starts = ends - block.sizes[full]
     at = 0
-    while at < len(starts):  # about 3,000 terms at a time, which stay in a core's cache
+    while at < len(full):  # about 3,000 terms at a time, which stay in a core's cache
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + 3_000)))
-        out[at:to] = np.add.reduceat(vectors[ids[starts[at] : ends[to - 1]]], starts[at:to] - starts[at], axis=0)
+        x = np.add.reduceat(vectors[block.ids[starts[at] : ends[to - 1]]], starts[at:to] - starts[at], axis=0)
+        out[full[at:to]] = np.sqrt(np.einsum("ij,ij->i", x, x))
         at = to
-    return _unit(out)
+    return out
 
 
-def _by_key(x: np.ndarray, key: np.ndarray, keys: int) -> list[np.ndarray]:
-    """[sums of the rows of each key, their number]."""
-    sums = np.zeros((keys, x.shape[1]))
-    order = np.argsort(key, kind="stable")
-    if len(order):
-        new = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
-        sums[key[order][new]] = np.add.reduceat(x[order], new, axis=0)
-    return [sums, np.bincount(key, minlength=keys).astype(float)]
+def _by_key(vectors: np.ndarray, ids: np.ndarray, starts: np.ndarray, norms: np.ndarray, which: np.ndarray, key: np.ndarray, keys: int) -> list[np.ndarray]:
+    """[sums of the unit vectors of the sentences ``which`` by key, their number]: terms are counted first, so that no
+    sentence's vector is made."""
+    sizes = np.diff(np.append(starts, len(ids)))
+    own = np.repeat(which, sizes)
+    weight = np.repeat(1 / np.maximum(norms[which], 1e-9), sizes[which])
+    counts = np.bincount(np.repeat(key[which], sizes[which]) * len(vectors) + ids[own], weight, keys * len(vectors)).reshape(keys, -1)
+    return [(counts.astype(np.float32) @ vectors).astype(float), np.bincount(key[which], minlength=keys).astype(float)]
 
 
 def _gram_pass(block: Block, arg: tuple) -> list[np.ndarray]:
     """Product of the Gram matrix of the weighted documents with ``q``."""
     q, idf = arg
-    out, n = np.zeros(q.shape, np.float32), len(idf)
-    doc = np.repeat(block.doc, block.sizes)
-    for at in range(0, len(block.labels), 256):
-        low, high = np.searchsorted(doc, (at, at + 256))
-        rows = min(256, len(block.labels) - at)
-        counts = np.bincount((doc[low:high] - at) * n + block.ids[low:high], minlength=rows * n)
-        some = np.flatnonzero(counts)
-        value = (1 + np.log(counts[some])) * idf[some % n]
-        value /= np.sqrt(np.bincount(some // n, value * value, rows))[some // n]
-        a = np.zeros(rows * n, np.float32)
-        a[some] = value
-        a = a.reshape(rows, n)
-        out += a.T @ (a @ q)
+    out = np.zeros(q.shape, np.float32)
+    # documents of a language come together, so that few terms are held by some of a group
+    lang = np.bincount(block.doc * 256 + block.lang, np.maximum(block.sizes, 0), len(block.labels) * 256).reshape(-1, 256).argmax(1)
+    place = np.argsort(np.argsort(lang, kind="stable"), kind="stable")
+    both = np.repeat(place[block.doc], block.sizes) * len(idf) + block.ids
+    pairs, times = np.unique(both, return_counts=True)
+    doc, term = pairs // len(idf), pairs % len(idf)
+    value = (1 + np.log(times)) * idf[term]
+    value /= np.sqrt(np.bincount(doc, value * value, len(block.labels)))[doc]
+    for at in range(0, len(block.labels), 128):
+        low, high = np.searchsorted(doc, (at, at + 128))
+        some, column = np.unique(term[low:high], return_inverse=True)
+        a = np.zeros((min(128, len(block.labels) - at), len(some)), np.float32)
+        a[doc[low:high] - at, column] = value[low:high]
+        out[some] += a.T @ (a @ q[some])
     return [out]
 
 
@@ -177,7 +184,7 @@ def _label_pass(block: Block, arg: tuple) -> list[np.ndarray]:
     codes, n, langs = arg
     held = block.held(codes)
     share = held / np.maximum(held.sum(1, keepdims=True), 1)
-    ids, starts, lang, doc = block.longer()
+    ids, starts, lang, doc, _ = block.longer()
     own = held.any(1)
     spoken = np.unique(doc * langs + lang)
     spoken = spoken[own[spoken // langs]]
@@ -194,39 +201,54 @@ def _seed_pass(block: Block, arg: tuple) -> list[np.ndarray]:
     A sentence of a labelled document whose terms tell most of a label of it seeds that subject; one with hardly a
     telling term seeds the general wording of its language."""
     vectors, tells, codes, langs = arg
-    ids, starts, lang, doc = block.longer()
+    ids, starts, lang, doc, norms = block.longer()
     if not len(starts):
         return [np.zeros(((len(codes) + 1) * langs, vectors.shape[1])), np.zeros((len(codes) + 1) * langs)]
     strong = np.add.reduceat((tells > TELLING).astype(np.int32)[ids], starts, axis=0)
     j = np.add.reduceat(np.maximum(tells, 0)[ids], starts, axis=0).argmax(1)
     seed = (strong[np.arange(len(j)), j] >= 2) & block.held(codes)[doc, j]
     use = seed | ~strong.any(1)
-    return _by_key(_embedded(vectors, ids, starts)[use], (np.where(seed, j, len(codes)) * langs + lang)[use], (len(codes) + 1) * langs)
+    return _by_key(vectors, ids, starts, norms, use, np.where(seed, j, len(codes)) * langs + lang, (len(codes) + 1) * langs)
 
 
 def _round_pass(block: Block, arg: tuple) -> list[np.ndarray]:
-    """Sums of the sentences nearest to each centroid that hold a term that tells of its subject."""
-    vectors, bits, codes, centroids, subject, free = arg
-    ids, starts, _, doc = block.longer()
-    if not len(starts):
-        return [np.zeros(centroids.shape), np.zeros(len(centroids))]
-    x = _embedded(vectors, ids, starts)
-    sims = x @ centroids.T
-    if not free:  # sentences of labelled documents go to their labels or to general wording
-        held = block.held(codes)
-        ok = np.append(held | ~held.any(1, keepdims=True), np.ones((len(held), 1), bool), axis=1)
-        sims[~ok[doc][:, subject]] = -1.0
-    best, top = sims.argmax(1), sims.max(1)
-    of = subject[best]
-    holds = np.array([np.bitwise_or.reduceat(b[ids], starts) for b in bits])  # 62 subjects in each row, general wording among them
-    own = (top > 0.15) & (holds[of // 62, np.arange(len(of))] >> of % 62 & 1).astype(bool)
-    return _by_key(x[own], best[own], len(centroids))
-
-
-def _learned(run: Callable[[Callable, tuple], list[np.ndarray]], vocab: list[str], df: dict[str, int], n_docs: int, codes: dict[str, int], langs: int) -> Model:
-    """The model, of sums over all documents: ``run`` applies a pass to all blocks and adds up what it returns."""
+    """Sums of the sentences nearest to each centroid that hold a term that tells of its subject.
+
+    A sentence is compared with the centroids of its language, one of no known language with all."""
+    vectors, bits, codes, products, subject, spoken, free = arg
+    total = [np.zeros((len(subject), vectors.shape[1])), np.zeros(len(subject))]
+    held = block.held(codes)
+    ok = np.append(held | ~held.any(1, keepdims=True), np.ones((len(held), 1), bool), axis=1)
+    parts = []
+    for k in np.unique(block.lang).tolist():
+        own = np.flatnonzero(spoken == k) if k else np.arange(len(subject))
+        ids, starts, _, doc, norms = block.longer(2, block.lang == k)
+        if not len(own) or not len(starts):
+            continue
+        sims = np.stack([np.add.reduceat(products[c][ids], starts) for c in own], axis=1) / np.maximum(norms, 1e-9)[:, None]
+        if not free:  # sentences of labelled documents go to their labels or to general wording
+            sims[~ok[doc][:, subject[own]]] = -1.0
+        best, top = own[sims.argmax(1)], sims.max(1)
+        of = subject[best]
+        holds = np.array([np.bitwise_or.reduceat(b[ids], starts) for b in bits])  # 62 subjects in each row, general wording among them
+        parts.append((ids, np.diff(np.append(starts, len(ids))), norms, (top > 0.15) & (holds[of // 62, np.arange(len(of))] >> of % 62 & 1).astype(bool), best))
+    if parts:
+        ids, sizes, norms, own, best = (np.concatenate(x) for x in zip(*parts, strict=True))
+        total = _by_key(vectors, ids, np.cumsum(sizes) - sizes, norms, own, best, len(subject))
+    return total
+
+
+def _products(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Of each centroid with all terms."""
+    return np.ascontiguousarray((vectors @ centroids.T).T)
+
+
+def _learned(run: Callable[[Callable, tuple], list[np.ndarray]], measure: Callable[[np.ndarray], None], vocab: list[str], df: dict[str, int], n_docs: int, codes: dict[str, int], langs: int) -> Model:
+    """The model, of sums over all documents: ``run`` applies a pass to all blocks and adds up what it returns; ``measure``
+    gives them the lengths of their sentences."""
     idf = np.log(n_docs / np.array([df[t] for t in vocab])).astype(np.float32)
     vectors = _svd(lambda q: run(_gram_pass, (q, idf))[0], len(vocab), min(DIMENSIONS, n_docs, len(vocab))) * idf[:, None]
+    measure(vectors)
     index = {t: i for i, t in enumerate(vocab)}
     none = Model(index, vectors, np.zeros((1, vectors.shape[1]), np.float32), [None])
     if not codes:
@@ -241,13 +263,13 @@ def _learned(run: Callable[[Callable, tuple], list[np.ndarray]], vocab: list[str
     keys = [k for k in range(len(n)) if k % langs and n[k] >= 2]
     if not keys:
         return none
-    names, subject = list(codes), np.array([k // langs for k in keys])
+    names, subject, spoken = list(codes), np.array([k // langs for k in keys]), np.array([k % langs for k in keys])
     bits = np.zeros((len(codes) // 62 + 1, len(vocab)), np.int64)  # what each term tells of; general wording needs no such term
     for j in range(len(codes) + 1):
         bits[j // 62] |= (tells[:, j] > TELLING if j < len(codes) else np.ones(len(vocab), bool)).astype(np.int64) << j % 62
     c = _unit(sums[keys] / n[keys][:, None]).astype(np.float32)
     for r in range(ROUNDS):  # labels may be wrong: at last all are free
-        sums, n = run(_round_pass, (vectors, bits, codes, c, subject, r >= ROUNDS // 2))
+        sums, n = run(_round_pass, (vectors, bits, codes, _products(vectors, c), subject, spoken, r >= ROUNDS // 2))
         c = _unit(np.where(n[:, None] >= 2, sums / np.maximum(n, 1)[:, None], c)).astype(np.float32)
     return Model(index, vectors, c, [names[s] if s < len(names) else None for s in subject])
 
@@ -262,17 +284,25 @@ def _vocabulary(df: dict[str, int], n_docs: int) -> list[str]:
     return sorted((t for t, n in df.items() if LEAST <= n <= COMMON * n_docs + LEAST), key=lambda t: (-df[t], t))[:TERMS]
 
 
-def _numbered(text: str, index: dict[str, int], word_lang: dict[str, int]) -> tuple[bytes, bytes, bytes]:
+def _places(index: dict[str, int], word_lang: dict[str, int]) -> dict[str, int]:
+    """Of each word its number + 1 (0: none) and, in the last byte, the number of its language."""
+    return {t: (index.get(t, -1) + 1) << 8 | word_lang.get(t, 0) for t in {*index, *word_lang}}
+
+
+def _numbered(text: str, places: dict[str, int]) -> tuple[bytes, bytes, bytes]:
     """(numbers of the known terms, how many each sentence has, its language) of a text."""
-    ids, sizes, langs = [], [], []
+    found: list[int] = []
+    ends = []
+    get = places.get
     for s in sentences(text):
-        found = terms(s)
-        own = [i for t in found if (i := index.get(t)) is not None]
-        spoken = Counter(k for t in found if (k := word_lang.get(t)))
-        ids += own
-        sizes.append(len(own))
-        langs.append(spoken.most_common(1)[0][0] if spoken else 0)
-    return np.array(ids, np.uint16).tobytes(), np.array(sizes, np.int32).tobytes(), np.array(langs, np.uint8).tobytes()
+        found += [i for t in terms(s) if (i := get(t)) is not None]
+        ends.append(len(found))
+    both = np.array(found, np.int64)
+    of = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
+    known = both >> 8 > 0
+    spoken = np.bincount(of * 256 + (both & 255), minlength=len(ends) * 256).reshape(len(ends), 256)
+    spoken[:, 0] = 0  # among equals the first language
+    return ((both[known] >> 8) - 1).astype(np.uint16).tobytes(), np.bincount(of[known], minlength=len(ends)).astype(np.int32).tobytes(), spoken.argmax(1).astype(np.uint8).tobytes()
 
 
 def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) -> Model:
@@ -287,13 +317,22 @@ def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) ->
     if not vocab or len(docs) < 2:
         return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None])
     index = {t: i for i, t in enumerate(vocab)}
-    block = Block([sorted(x) for _, x in docs], *zip(*(_numbered(text, index, word_lang) for text, _ in docs), strict=True))
+    places = _places(index, word_lang)
+    block = Block([sorted(x) for _, x in docs], *zip(*(_numbered(text, places) for text, _ in docs), strict=True))
+
+    def measure(vectors: np.ndarray) -> None:
+        block.norms = _lengths(vectors, block)
+
     codes = {s: j for j, s in enumerate(sorted({s for _, x in docs for s in x}))}
-    return _learned(lambda f, arg: f(block, arg), vocab, df, len(docs), codes, langs)
+    return _learned(lambda f, arg: f(block, arg), measure, vocab, df, len(docs), codes, langs)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", code_col: str = "subject_code") -> Model:
-    """As ``fit``, of all documents, all labels and all lines; documents frequencies, decomposition, seeds and rounds are
+    return learned(docs, labels, samples, id_col, text_col, code_col)[0]
+
+
+def learned(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", code_col: str = "subject_code") -> tuple[Model, DataFrame | None]:
+    """As ``fit``, and the documents as terms' numbers (None where there is no term).  Of all documents, all labels and all lines; documents frequencies, decomposition, seeds and rounds are
     sums over all documents, which Spark makes from their terms' numbers, stored once."""
     spark = docs.sparkSession
     send = spark.sparkContext.broadcast
@@ -329,27 +368,39 @@ def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str =
     df = {r.w: r.n for r in most.collect()}
     vocab = _vocabulary(df, n_docs)
     if not vocab or n_docs < 2:
-        return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None])
-    sent = send(({t: i for i, t in enumerate(vocab)}, word_lang))
+        return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None]), None
+    sent = send(_places({t: i for i, t in enumerate(vocab)}, word_lang))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [_numbered(t, *sent.value) for t in batch.column(1).to_pylist()]
+            got = [_numbered(t, sent.value) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.binary()) for i in range(3))], names=["id", "ids", "sizes", "langs"])
 
     # the numbers are shuffled for the labels, not the texts
-    rows = texts.mapInArrow(numbered, "id bigint, ids binary, sizes binary, langs binary").join(marks, "id", "left").select(F.coalesce("codes", F.array().cast("array<string>")).alias("labels"), "ids", "sizes", "langs")
+    rows = texts.mapInArrow(numbered, "id bigint, ids binary, sizes binary, langs binary").join(marks, "id", "left").select(F.coalesce("codes", F.array().cast("array<string>")).alias("labels"), "ids", "sizes", "langs", "id")
     rows = stored(rows)
     codes = {r.c: j for j, r in enumerate(rows.select(F.explode("labels").alias("c")).distinct().orderBy("c").collect())}
 
+    def measure(vectors: np.ndarray) -> None:
+        nonlocal rows
+        told = send(vectors)
+
+        def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                block = Block(*(c.to_pylist() for c in batch.columns[:4]))
+                each = np.split(_lengths(told.value, block), np.cumsum(np.bincount(block.doc, minlength=batch.num_rows))[:-1])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x.tobytes() for x in each], pa.binary()), batch.column(4)], names=["labels", "ids", "sizes", "langs", "norms", "id"])
+
+        rows = stored(rows.mapInArrow(lengths, "labels array<string>, ids binary, sizes binary, langs binary, norms binary, id bigint"))
+
     def run(f: Callable, arg: tuple) -> list[np.ndarray]:
         told = send(arg)
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: list[np.ndarray] = []
             for batch in batches:
-                for at in range(0, batch.num_rows, 1_024):
-                    new = f(Block(*(c.to_pylist() for c in batch.slice(at, 1_024).columns)), told.value)
+                for at in range(0, batch.num_rows, 4_096):
+                    new = f(Block(*(c.to_pylist() for c in batch.slice(at, 4_096).columns)), told.value)
                     total = [a + b for a, b in zip(total, new, strict=True)] if total else new
             if total:
                 yield pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[f"{x.dtype.str}:" + ",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
@@ -364,11 +415,12 @@ def fitted(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([shapes], pa.list_(pa.string()))], names=["sums", "shapes"])
 
         schema = "sums array<binary>, shapes array<string>"
-        got = rows.mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
+        got = rows.drop("id").mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
         told.unpersist()
         return [np.frombuffer(x, k.split(":")[0]).reshape([int(n) for n in k.split(":")[1].split(",")]) for x, k in zip(got.sums, got.shapes, strict=True)]
 
-    return _learned(run, vocab, df, n_docs, codes, langs)
+    model = _learned(run, measure, vocab, df, n_docs, codes, langs)
+    return model, rows
 
 
 def subjects(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES) -> DataFrame:
@@ -396,3 +448,26 @@ def subjects(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codes, pa.string()), pa.array(counts, pa.int32())], names=["id", "subject_code", "n_sentences"])
 
     return texts.mapInArrow(run, "id bigint, subject_code string, n_sentences int").distinct()
+
+
+def of_learned(model: Model, rows: DataFrame, least: int = SENTENCES) -> DataFrame:
+    """As ``subjects``, of the documents that ``learned`` gives."""
+    codes = sorted({c for c in model.subjects if c is not None})
+    sent = rows.sparkSession.sparkContext.broadcast((_products(model.vectors, model.centroids), np.array([len(codes) if c is None else codes.index(c) for c in model.subjects])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            products, code = sent.value
+            block = Block([[]] * batch.num_rows, *(batch.column(i).to_pylist() for i in range(1, 5)))
+            ids, starts, _, doc, norms = block.longer(KNOWN)
+            top, best = np.full(len(starts), -np.inf, np.float32), np.zeros(len(starts), np.int64)
+            for c in range(len(products) if len(starts) else 0):
+                sims = np.add.reduceat(products[c][ids], starts)
+                more = sims > top
+                top[more], best[more] = sims[more], c
+            own = top >= SIMILAR * np.maximum(norms, 1e-9)
+            counts = np.bincount(doc[own] * (len(codes) + 1) + code[best[own]], minlength=batch.num_rows * (len(codes) + 1)).reshape(batch.num_rows, -1)
+            d, k = np.nonzero(counts[:, : len(codes)] >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(5).take(pa.array(d)), pa.array([codes[i] for i in k.tolist()], pa.string()), pa.array(counts[d, k].astype(np.int32))], names=["id", "subject_code", "n_sentences"])
+
+    return rows.mapInArrow(run, "id bigint, subject_code string, n_sentences int").distinct()

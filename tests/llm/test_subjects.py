@@ -66,3 +66,29 @@ def test_all_documents_are_read(spark):
     assert got.index == own.index and got.subjects == own.subjects
     sents = [sentence(rng, t) for t in TOPICS for _ in range(5)]
     assert got.assign(sents) == own.assign(sents) == [t for t in TOPICS for _ in range(5)]
+
+
+def test_stored_documents_give_the_subjects_of_their_texts(spark):
+    # the numbers that the model was learned from are used again, so no text is split twice more
+    rng = random.Random(5)
+    docs = [(i, document(rng, [t]), t) for i, t in enumerate(t for t in TOPICS for _ in range(20))]
+    rows = [d[:2] for d in docs] + [(None, docs[0][1]), (0, docs[0][1]), (900, ""), (901, None), (902, sentence(rng, "health")), (903, "12. 13!")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, t) for i, _, t in docs], "doc_id bigint, subject_code string")
+    samples = spark.createDataFrame([("en", s) for s in GENERAL] + [("en", sentence(rng, t)) for t in TOPICS], "lang string, text string")
+    model, stored = subjects.learned(df, labels, samples)
+    got = sorted(map(str, subjects.of_learned(model, stored).collect()))
+    assert got == sorted(map(str, subjects.subjects(df, model).collect())) and len(got) >= 61
+    assert subjects.learned(df.limit(0), labels, samples)[1] is None
+
+
+def test_gram_products_of_languages_apart():
+    rng = np.random.default_rng(6)
+    sizes = [rng.integers(0, 6, 4).astype(np.int32) for _ in range(300)]
+    block = subjects.Block([[]] * 300, [rng.integers(0, 50, int(n.sum())).astype(np.uint16).tobytes() for n in sizes], [n.tobytes() for n in sizes], [rng.integers(0, 3, 4).astype(np.uint8).tobytes() for _ in sizes])
+    idf, q = rng.random(50).astype(np.float32) + 0.1, rng.standard_normal((50, 4)).astype(np.float32)
+    doc = np.repeat(block.doc, block.sizes)
+    counts = np.bincount(doc * 50 + block.ids, minlength=300 * 50).reshape(300, 50)
+    a = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(subjects._gram_pass(block, (q, idf))[0], a.T @ (a @ q), atol=1e-3)
