@@ -29,12 +29,16 @@ ROUNDS, SIMILAR, KNOWN, SENTENCES = 8, 0.35, 3, 3
 #: For the seeds: documents' worth of prior in a term's counts, and information from which a term tells of a subject.
 SMOOTH, TELLING = 2.0, 0.9
 _term = re.compile(r"[一-鿿]+|[^\W\d_]+(?:['’][^\W\d_]+)?")
+_pairs = re.compile("[一-\U0010ffff]").search
 _end = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_a-zа-я]|[§«“\"(„])|(?<=[。！？])\s*|\n+")
 
 
 def terms(sentence: str) -> list[str]:
     out: list[str] = []
-    for t in _term.findall(sentence.lower()):
+    found = _term.findall(sentence.lower())
+    if sentence.isascii() or not _pairs(sentence):
+        return found
+    for t in found:
         if t[0] >= "一":
             out += [t[i : i + 2] for i in range(len(t) - 1)]
         else:
@@ -295,7 +299,7 @@ def _numbered(text: str, places: dict[str, int]) -> tuple[bytes, bytes, bytes]:
     ends = []
     get = places.get
     for s in sentences(text):
-        found += [i for t in terms(s) if (i := get(t)) is not None]
+        found += filter(None, map(get, terms(s)))
         ends.append(len(found))
     both = np.array(found, np.int64)
     of = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
@@ -353,7 +357,7 @@ def learned(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str
         seen, n = Counter(), 0
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update({w for s in sentences(t) for w in terms(s)})
+                seen.update(set(chain.from_iterable(map(terms, sentences(t)))))
                 n += 1
                 if len(seen) > HELD:
                     yield out()
