@@ -30,13 +30,14 @@ ROUNDS, SIMILAR, KNOWN, SENTENCES = 8, 0.35, 3, 3
 SMOOTH, TELLING = 2.0, 0.9
 _term = re.compile(r"[一-鿿]+|[^\W\d_]+(?:['’][^\W\d_]+)?")
 _pairs = re.compile("[一-\U0010ffff]").search
-_end = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_a-zа-я]|[§«“\"(„])|(?<=[。！？])\s*|\n+")
+_end = re.compile(r"([.!?…。！？\n])(?:(?<=[。！？])\s*|(?<=\n)\n*|(?<=[.!?…])\s+(?=[^\W\d_a-zа-я]|[§«“\"(„]))").sub  # the sign comes first, so that it is searched for
 
 
 def terms(sentence: str) -> list[str]:
     out: list[str] = []
-    found = _term.findall(sentence.lower())
-    if sentence.isascii() or not _pairs(sentence):
+    low = sentence.lower()
+    found = _term.findall(low)
+    if low.isascii() or not _pairs(low):
         return found
     for t in found:
         if t[0] >= "一":
@@ -46,10 +47,23 @@ def terms(sentence: str) -> list[str]:
     return out
 
 
+class Parts(dict):
+    """What ``make`` makes of the terms of what stands between two blanks, kept: no term spans a blank."""
+
+    def __init__(self, make: Callable[[list[str]], tuple]) -> None:
+        self.make = make
+
+    def __missing__(self, part: str) -> tuple:
+        if len(self) >= 300_000:
+            self.clear()
+        made = self[part] = self.make(terms(part))
+        return made
+
+
 def sentences(text: str) -> list[str]:
     """The sentences of a text; lines that end without a full stop or the like (headings) are none."""
     text = text if text.isascii() else unicodedata.normalize("NFC", text)
-    return [s for x in _end.split(text) if x and (s := x.strip()) and s[-1] in ".!?…。！？»”\")"]
+    return [s for x in _end("\\1\n", text).split("\n") if x and (s := x.strip()) and s[-1] in ".!?…。！？»”\")"]
 
 
 class Model:
@@ -293,20 +307,38 @@ def _places(index: dict[str, int], word_lang: dict[str, int]) -> dict[str, int]:
     return {t: (index.get(t, -1) + 1) << 8 | word_lang.get(t, 0) for t in {*index, *word_lang}}
 
 
-def _numbered(text: str, places: dict[str, int]) -> tuple[bytes, bytes, bytes]:
-    """(numbers of the known terms, how many each sentence has, its language) of a text."""
-    found: list[int] = []
-    ends = []
-    get = places.get
-    for s in sentences(text):
-        found += filter(None, map(get, terms(s)))
-        ends.append(len(found))
-    both = np.array(found, np.int64)
-    of = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
-    known = both >> 8 > 0
-    spoken = np.bincount(of * 256 + (both & 255), minlength=len(ends) * 256).reshape(len(ends), 256)
-    spoken[:, 0] = 0  # among equals the first language
-    return ((both[known] >> 8) - 1).astype(np.uint16).tobytes(), np.bincount(of[known], minlength=len(ends)).astype(np.int32).tobytes(), spoken.argmax(1).astype(np.uint8).tobytes()
+def _held(text: str, get: Callable[[str], tuple[str, ...]]) -> set[str]:
+    """The different terms of a text."""
+    return set(chain.from_iterable(map(get, {p for s in sentences(text) for p in s.lower().split()})))
+
+
+def _numbering(places: dict[str, int]) -> Parts:
+    return Parts(lambda found: tuple(filter(None, map(places.get, found))))
+
+
+def _numbered(texts: list[str], numbers: Parts) -> list[list[bytes]]:
+    """[numbers of the known terms, how many each sentence has, its language], each by text."""
+    out: list[list[bytes]] = [[], [], []]
+    for at in range(0, len(texts), 256):
+        found: list[int] = []
+        ends, counts, get = [0], [0], numbers.__getitem__
+        for t in texts[at : at + 256]:
+            for s in sentences(t):
+                found.extend(chain.from_iterable(map(get, s.lower().split())))
+                ends.append(len(found))
+            counts.append(len(ends) - 1)
+        n = len(ends) - 1
+        both = np.array(found, np.int64)
+        of = np.repeat(np.arange(n), np.diff(ends))
+        known, lang = both >> 8 > 0, both & 255
+        width = int(lang.max(initial=0)) + 1
+        spoken = np.bincount(of * width + lang, minlength=n * width).reshape(n, width)
+        spoken[:, 0] = 0  # among equals the first language
+        sizes = np.bincount(of[known], minlength=n).astype(np.int32)
+        of_text = np.append(0, np.cumsum(sizes))[counts].tolist()
+        for j, (x, where) in enumerate(((((both[known] >> 8) - 1).astype(np.uint16), of_text), (sizes, counts), (spoken.argmax(1).astype(np.uint8), counts))):
+            out[j] += [x[a:b].tobytes() for a, b in zip(where, where[1:])]
+    return out
 
 
 def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) -> Model:
@@ -316,13 +348,13 @@ def fit(docs: list[tuple[str, frozenset[str]]], lines: list[tuple[str, str]]) ->
         for t in terms(line):
             spoken[t].add(lang)
     word_lang, langs = _word_langs(spoken)
-    df = Counter(t for text, _ in docs for t in {t for s in sentences(text) for t in terms(s)})
+    get = Parts(tuple).__getitem__
+    df = Counter(t for text, _ in docs for t in _held(text, get))
     vocab = _vocabulary(df, len(docs))
     if not vocab or len(docs) < 2:
         return Model({}, np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), [None])
     index = {t: i for i, t in enumerate(vocab)}
-    places = _places(index, word_lang)
-    block = Block([sorted(x) for _, x in docs], *zip(*(_numbered(text, places) for text, _ in docs), strict=True))
+    block = Block([sorted(x) for _, x in docs], *_numbered([text for text, _ in docs], _numbering(_places(index, word_lang))))
 
     def measure(vectors: np.ndarray) -> None:
         block.norms = _lengths(vectors, block)
@@ -355,9 +387,10 @@ def learned(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str
             return pa.RecordBatch.from_arrays([pa.array([*seen, None], pa.string()), pa.array([*seen.values(), n], pa.int64())], names=["w", "n"])
 
         seen, n = Counter(), 0
+        get = Parts(tuple).__getitem__
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update(set(chain.from_iterable(map(terms, sentences(t)))))
+                seen.update(_held(t, get))
                 n += 1
                 if len(seen) > HELD:
                     yield out()
@@ -376,9 +409,9 @@ def learned(docs: DataFrame, labels: DataFrame, samples: DataFrame, id_col: str
     sent = send(_places({t: i for i, t in enumerate(vocab)}, word_lang))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _numbering(sent.value)
         for batch in batches:
-            got = [_numbered(t, sent.value) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.binary()) for i in range(3))], names=["id", "ids", "sizes", "langs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in _numbered(batch.column(1).to_pylist(), numbers))], names=["id", "ids", "sizes", "langs"])
 
     # the numbers are shuffled for the labels, not the texts
     rows = texts.mapInArrow(numbered, "id bigint, ids binary, sizes binary, langs binary").join(marks, "id", "left").select(F.coalesce("codes", F.array().cast("array<string>")).alias("labels"), "ids", "sizes", "langs", "id")

@@ -1,6 +1,9 @@
 """Problem 9: subjects of documents."""
 
 import random
+import re
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,3 +95,28 @@ def test_gram_products_of_languages_apart():
     a = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
     a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
     assert np.allclose(subjects._gram_pass(block, (q, idf))[0], a.T @ (a @ q), atol=1e-3)
+
+
+def test_words_are_read_once(monkeypatch):
+    """What stands between two blanks is read once in each of the two counts, however many sentences hold it."""
+    read = []
+    plain = subjects.terms
+    monkeypatch.setattr(subjects, "terms", lambda x: read.append(x) or plain(x))
+    docs = [("The court heard the case. A judge ruled on it.\nShips left port; 法院审理案件。 Ships came.", frozenset({"law"}))] * 40
+    subjects.fit(docs, [])
+    assert read and max(Counter(read).values()) <= 2
+
+
+def test_sentence_ends_as_before():
+    """Ends are found from their sign; the sentences are those of the ends told from behind."""
+    end = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_a-zа-я]|[§«“\"(„])|(?<=[。！？])\s*|\n+")
+    rng = random.Random(3)
+    for _ in range(5_000):
+        text = unicodedata.normalize("NFC", "".join(rng.choice("aBЯяñ .!?…。！？\n\t\x85　一«“\"(„§12_’") for _ in range(rng.randrange(40))))
+        assert subjects.sentences(text) == [s for x in end.split(text) if x and (s := x.strip()) and s[-1] in ".!?…。！？»”\")"]
+
+
+def test_terms_by_parts_are_those_of_the_sentence():
+    for s in ("L’État, c’est moi 国家法院 ok.", "ΛΟΓΟΣ ΟΔΟΣ. 한국 법원", "x-y's 12a_b 法a院", ""):
+        get = subjects.Parts(tuple).__getitem__
+        assert [t for p in s.lower().split() for t in get(p)] == subjects.terms(s)
