@@ -10,6 +10,7 @@ are furniture.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Container, Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -38,6 +39,7 @@ _MARKS = {"^": "ˆ", "$": "₴"}
 LOST = "�"
 _lost, _beyond, _holed = re.compile("�+"), re.compile(r"[^\x00-\x7f]"), re.compile(r"[^\W\d_]*�[^\W\d_�]*(?:�+[^\W\d_]*)*")
 _token = re.compile(r"[一-鿿]|[^\W\d_一-鿿]+|\d+|[^\w\s]|_")
+_plain_end = frozenset(".,;:!?)")
 _holds_han, _holds_quotes = re.compile("[一-鿿]").search, re.compile("[«“„‘\"]").search
 #: A blank on both sides of each Chinese character, and what stands for a line break between words.
 SPACED, BREAK = {c: f" {chr(c)} " for c in range(0x4E00, 0xA000)}, ""
@@ -103,6 +105,16 @@ def _runs_of(text: str, known: Container[str]) -> list[str]:
     return [g for x in {x for x in text.split("\n") if x.strip()} for g in _runs(tokens(unquoted(x)), known)]
 
 
+class Parts(dict):
+    """Numbers of what stands between blanks; ``new`` gives one to what has none."""
+
+    def __init__(self, new: Callable[[str], int]) -> None:
+        self.new = new
+
+    def __missing__(self, part: str) -> int:
+        return self.new(part)
+
+
 class Counting:
     """Reads many texts at once: words are numbers, runs are hashes of KEY_BITS made of them by whole arrays.
 
@@ -119,9 +131,9 @@ class Counting:
 
     def _forget(self) -> None:
         """What stands between blanks, by number: its words, from where on in ``said``, and how many.  Number 0 is a break."""
-        self.parts, self.said, self.used = {BREAK: 0}, np.zeros(1 << 16, np.int64), 2
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.said[:2], self.sizes[0] = (1, 0), 2
+        self.parts = Parts(self._part)
+        self.parts[BREAK] = 0
+        self.said, self.starts, self.sizes = array("q", (1, 0)), array("q", (0,)), array("q", (2,))
 
     def _add(self, word: str) -> int:
         at = self.number[word] = len(self.names)
@@ -132,27 +144,27 @@ class Counting:
         return at
 
     def _part(self, part: str) -> int:
-        out = []
-        for t in tokens(part):
+        k = self.parts[part] = len(self.parts)
+        self.starts.append(len(self.said))
+        if part.isascii() and part.isalpha():
+            toks = (part,)
+        elif part.isascii() and part[-1] in _plain_end and part[:-1].isalpha():
+            toks = (part[:-1], part[-1])
+        else:
+            toks = tokens(part)
+        for t in toks:
             if self.known is not None and t not in self.known and t[0].isalpha():
                 t = "N"
             at = self.number.get(t)
-            out.append(self._add(t) if at is None else at)
-        k = self.parts[part] = len(self.parts)
-        if k == len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        while self.used + len(out) > len(self.said):
-            self.said = np.concatenate([self.said, np.zeros_like(self.said)])
-        self.starts[k], self.sizes[k] = self.used, len(out)
-        self.said[self.used : self.used + len(out)] = out
-        self.used += len(out)
+            self.said.append(self._add(t) if at is None else at)
+        self.sizes.append(len(toks))
         return k
 
     def words(self, texts: list[str], ends: bool) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the words of all lines, with the ends of each line if ``ends``; place of the text of each)."""
         if len(self.parts) > 400_000:
             self._forget()
-        all_, counts, get = [], [], self.parts.get
+        all_, counts, get = array("q"), [], self.parts.__getitem__
         for t in texts:
             if BREAK in t:
                 t = t.replace(BREAK, " ")
@@ -161,20 +173,16 @@ class Counting:
             if _holds_han(t):
                 t = t.translate(SPACED)
             parts = f"\n{t}\n".lower().replace("\n", f" {BREAK} ").split()
-            found = list(map(get, parts))
-            if None in found:
-                for p in set(parts).difference(self.parts):
-                    self._part(p)
-                found = list(map(get, parts))
-            all_ += found
-            counts.append(len(found))
+            all_.extend(map(get, parts))
+            counts.append(len(parts))
         part, of = np.array(all_, np.int64), np.repeat(np.arange(len(texts)), counts)
+        said, starts, sizes = (np.array(x, np.int64) for x in (self.said, self.starts, self.sizes))
         if not ends:
             keep = part > 0
             part, of = part[keep], of[keep]
-        n = self.sizes[part]
+        n = sizes[part]
         total = int(n.sum())
-        flat = self.said[np.arange(total) + np.repeat(self.starts[part] - (np.cumsum(n) - n), n)]
+        flat = said[np.arange(total) + np.repeat(starts[part] - (np.cumsum(n) - n), n)]
         of = np.repeat(of, n)
         if ends and total:  # every text begins with a line's end and ends with a line's start
             edge = np.append(True, of[1:] != of[:-1])

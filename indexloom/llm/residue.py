@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -17,10 +18,11 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.boilerplate import unquoted
+from indexloom.llm.boilerplate import Parts, unquoted
 from indexloom.llm.common import stored
 
 #: Feature space, passes, how far a pass goes, bias, L2, weight of a positive window, share of hosts held out.
@@ -62,7 +64,7 @@ FORMS = re.compile(
 )
 #: Signs without which no form matches but the three words at its end.
 _form_sign = re.compile(r"[{%<$@#_\[]").search
-_sentence = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_])|(?<=[。！？])\s*")
+_sentence = re.compile(r"([.!?…。！？])(?:(?<=[。！？])\s*|(?<=[.!?…])\s+(?=[^\W\d_]))").sub  # the sign comes first, so that it is searched for
 _unspaced = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").search
 _word = re.compile(r"[一-鿿]|[^\W\d_一-鿿]+|\d+|[^\w\s]+|_+")
 
@@ -71,7 +73,8 @@ def sentences(text: str) -> list[tuple[str, bool]]:
     """(sentence without its quotations, whether it opens the text) of a text."""
     out: list[tuple[str, bool]] = []
     for line in text.split("\n"):
-        out += [(s.strip(), not out) for s in _sentence.split(unquoted(line)) if s.strip()]
+        line = unquoted(line)
+        out += [(y, not out) for x in _sentence("\\1\n", line).split("\n") if (y := x.strip())]
     return out
 
 
@@ -126,6 +129,11 @@ def _hash(name: str) -> int:
 def part_features(part: str) -> tuple[list[int], list[int]]:
     """(hashes of the words of what stands between two blanks, features of the shapes around its signs and of letters
     between Chinese characters)."""
+    if part.isascii():  # a word, or one before a sign that has no shape
+        if part.isalpha():
+            return [_hash(part.lower())], []
+        if part[-1] in ".,;:" and part[:-1].isalpha():
+            return [_hash(part[:-1].lower()), _hash(part[-1])], []
     words = [_hash("0" if x[0].isdigit() else x) for x in _word.findall(part.lower())]
     signs: set[int] = set()
     if _sign(part):
@@ -135,44 +143,55 @@ def part_features(part: str) -> tuple[list[int], list[int]]:
     return words, [x % FEATURES for x in signs]
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class Reader:
     """Reads sentences as windows: for each, the features of its words, pairs of words and shapes, its length and place."""
 
     def __init__(self) -> None:
-        self.parts: dict[str, tuple[list[int], list[int]]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """What stands between blanks, by number: its words and its other features, from where on and how many."""
+        self.parts = Parts(self._part)
+        self.said, self.starts, self.sizes, self.shapes, self.shape_starts, self.shape_sizes = (array("q") for _ in range(6))
+
+    def _part(self, part: str) -> int:
+        k = self.parts[part] = len(self.parts)
+        for got, held, starts, sizes in zip(part_features(part), (self.said, self.shapes), (self.starts, self.shape_starts), (self.sizes, self.shape_sizes), strict=True):
+            starts.append(len(held))
+            sizes.append(len(got))
+            held.extend(got)
+        return k
 
     def windows(self, found: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(features, place of the word each belongs to, first and last word of each window, its sentence, its own
         feature) of (sentence, opens) rows."""
-        words: list[int] = []
-        extra: list[int] = []
-        where: list[int] = []
-        sizes = []
-        get = self.parts.get
-        if len(self.parts) > 300_000:
-            self.parts.clear()
+        if len(self.parts) > 300_000 or len(self.said) > 3_000_000:
+            self._forget()
+        part, counts, get = array("q"), [], self.parts.__getitem__
         for s, _ in found:
-            before = len(words)
-            for p in s.split():
-                got = get(p)
-                if got is None:
-                    got = part_features(p)
-                    if len(p) < 24:
-                        self.parts[p] = got
-                if got[1]:
-                    extra += got[1]
-                    where += [len(words) + len(got[0]) // 2] * len(got[1])
-                words += got[0]
-            sizes.append(len(words) - before)
-        n = np.array(sizes, np.int64)
-        w = np.array(words, np.int64)
+            parts = s.split()
+            part.extend(map(get, parts))
+            counts.append(len(parts))
+        part = np.array(part, np.int64)
+        said, starts, sizes, shapes, shape_starts, shape_sizes = (np.array(x, np.int64) for x in (self.said, self.starts, self.sizes, self.shapes, self.shape_starts, self.shape_sizes))
+        own = sizes[part]
+        begins = np.append(0, np.cumsum(own))
+        w = said[_spans(starts[part], own)]
+        n = np.diff(begins[np.append(0, np.cumsum(counts, dtype=np.int64))])
+        of_shapes = shape_sizes[part]
+        extra, where = shapes[_spans(shape_starts[part], of_shapes)], np.repeat(begins[:-1] + own // 2, of_shapes)
         first = np.cumsum(n) - n
         pairs = (w[:-1] * 0x9E3779B1 ^ w[1:] * 0x85EBCA6B) >> 7
         inner = np.ones(len(w), bool)
         inner[first[n > 0]] = False
         inner = np.flatnonzero(inner)  # words that follow one in the same sentence
-        feats = np.concatenate([w, pairs[inner - 1] if len(inner) else w[:0], np.array(extra, np.int64)]) % FEATURES
-        place = np.concatenate([np.arange(len(w)), inner, np.array(where, np.int64)])
+        feats = np.concatenate([w, pairs[inner - 1] if len(inner) else w[:0], extra]) % FEATURES
+        place = np.concatenate([np.arange(len(w)), inner, where])
         count = np.where(n > WINDOW, 1 + -(-(n - WINDOW) // STRIDE), (n > 0).astype(np.int64))
         sentence = np.repeat(np.arange(len(n)), count)
         step = np.arange(len(sentence)) - np.repeat(np.cumsum(count) - count, count)
@@ -229,12 +248,34 @@ class Block:
         marks = label.astype(np.uint8) | held.astype(np.uint8) << 1 | (count[sentence] == 1).astype(np.uint8) << 2
         return [feats[order].astype(np.int32), low.astype(np.int32), high.astype(np.int32), kind.astype(np.int32), marks, often]
 
+    @staticmethod
+    def packed(arrays: list[np.ndarray]) -> bytes:
+        """Arrays of ``read`` as one short string, since every pass carries it."""
+        feats, low, high, kind, marks, often = arrays
+        sizes = np.array([len(feats), len(low)], np.int32)
+        held = (sizes, feats, np.diff(low, prepend=np.int32(0)), high - low, kind, marks, often)
+        return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in held))
+
+    @classmethod
+    def unpacked(cls, held: bytes) -> Block:
+        raw = zstandard.ZstdDecompressor().decompress(held)
+        n, m = np.frombuffer(raw, np.int32, 2).tolist()
+        feats, steps, sizes, kind = np.split(np.frombuffer(raw, np.int32, n + 3 * m, 8), [n, n + m, n + 2 * m])
+        marks, often = np.split(np.frombuffer(raw, np.uint8, 2 * m, 8 + 4 * (n + 3 * m)), 2)
+        low = np.cumsum(steps, dtype=np.int64)
+        return cls(feats, low, low + sizes, kind, marks, often)
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         """Of weights and, last, the bias."""
-        value = np.append(0.0, np.cumsum(x[self.feats]))
+        value = np.zeros(len(self.feats) + 1)
+        np.cumsum(x[self.feats], out=value[1:])
         return (value[self.high] - value[self.low] + x[self.kind]) * self.scale + x[-1]
 
 
+#: Where the kinds of ``_kinds`` stand among the marks of a block (bits: residue, held out, whole).
+MARKS = [held << 1 | whole << 2 | label for held in (0, 1) for whole in (0, 1) for label in (0, 1)]
+
+
 def _kinds(block: Block, _: None) -> list[np.ndarray]:
     """Windows by (whether the host is held out, whether a whole sentence, whether residue)."""
     return [np.bincount(block.held * 4 + block.whole * 2 + block.label, minlength=8)]
@@ -358,21 +399,24 @@ def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None
         for batch in batches:
             for at in range(0, batch.num_rows, PART):
                 got = Block.read(list(zip(*(c.to_pylist() for c in batch.slice(at, PART).columns), strict=True)), reader)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in got], names=names)
+                kinds = np.bincount(got[4], minlength=8)
+                yield pa.RecordBatch.from_arrays([pa.array([Block.packed(got)], pa.binary()), pa.array([kinds.tolist()], pa.list_(pa.int64()))], names=["block", "marks"])
 
-    names = ["feats", "low", "high", "kind", "marks", "often"]
     found = rows.mapInArrow(told, "s string, o boolean, h string, n bigint, f bigint")
     keys = found.groupBy("s", "o").agg((F.sum("n") + F.max("f")).alias("n"), F.coalesce(F.min("h"), F.col("s")).alias("h"))
-    blocks = stored(keys.mapInArrow(read, ", ".join(f"{c} binary" for c in names)))
+    blocks = stored(keys.mapInArrow(read, "block binary, marks array<bigint>"))
 
     def run(f: Callable, arg: object) -> list[np.ndarray]:
+        if f is _kinds:  # these were counted when the blocks were made
+            got = blocks.agg(*[F.sum(F.col("marks")[i]).alias(str(i)) for i in range(8)]).first()
+            return [np.array(got)[MARKS]] if got[0] is not None else []
         sent = spark.sparkContext.broadcast(arg)
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: list[np.ndarray] = []
             for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    new = f(Block(*(np.frombuffer(x, t) for x, t in zip(row, (np.int32,) * 4 + (np.uint8,) * 2, strict=True))), sent.value)
+                for held in batch.column(0):
+                    new = f(Block.unpacked(held.as_buffer()), sent.value)
                     total = [a + b for a, b in zip(total, new, strict=True)] if total else new
             if total:
                 yield sums(total)
@@ -390,7 +434,7 @@ def fitted(df: DataFrame, text_col: str, url_col: str, furniture_col: str | None
             return pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())), pa.array([[f"{x.dtype.str}:" + ",".join(map(str, x.shape)) for x in total]], pa.list_(pa.string()))], names=["sums", "shapes"])
 
         schema = "sums array<binary>, shapes array<string>"
-        got = blocks.mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
+        got = blocks.select("block").mapInArrow(summed, schema).repartition(1).mapInArrow(together, schema).first()  # the driver gets one sum
         sent.unpersist()
         return [np.frombuffer(x, k.split(":")[0]).reshape([int(n) for n in k.split(":")[1].split(",")]) for x, k in zip(got.sums, got.shapes, strict=True)] if got else []
 

@@ -1,5 +1,7 @@
 """Problems 2 and 6: furniture of pages, residue and messages."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -156,3 +158,27 @@ def test_weak_labels_are_those_of_the_patterns():
     for text in ["Fatal error ON LINE 12", "texte d’exemple", "请启用浏览器脚本", "{{x}}", "{% if %}", "<% x %>", "${a}", "$a b", "@@a@@", "#N#", "%NAME%", "__A__", "<<A B>>", "[[a.b]]", "[INSERT x]", "an undefined b", "NaN", "XX/XX/XXXX", "nan", "Error 404", "see error 404", "404 Not Found", "the online line"]:
         want = any(p in text.lower() for p in residue.PHRASES) or residue.PATTERNS.search(text) or residue.FORMS.search(text) or residue.STATUS.search(text)
         assert residue.weak_label(text) == bool(want), text
+
+
+def test_windows_are_stored_short_and_words_read_once(monkeypatch):
+    """A pass carries blocks of sentences as one short string; what stands between two blanks is read once."""
+    read = []
+    plain = residue.part_features
+    monkeypatch.setattr(residue, "part_features", lambda x: read.append(x) or plain(x))
+    keys = [(f"The {{{{customer.name.of.this.template}}}} of Tisodal n° {i % 7}, 个人信息 ABC, no more than that and nothing else at all.", i % 2 == 0, 1 + i, f"h{i % 9}") for i in range(300)]
+    got = residue.Block.read(keys, residue.Reader())
+    assert len(read) == len(set(read))
+    held = residue.Block.packed(got)
+    one, two = residue.Block(*got), residue.Block.unpacked(held)
+    assert len(held) < sum(x.nbytes for x in got) / 4
+    x = np.random.default_rng(0).standard_normal(residue.FEATURES + 1)
+    assert one.logits(x).tolist() == two.logits(x).tolist() and one.often.tolist() == two.often.tolist()
+    assert residue._kinds(two, None)[0].tolist() == np.bincount(got[4], minlength=8)[residue.MARKS].tolist() == residue._kinds(one, None)[0].tolist()
+
+
+def test_sentences_end_as_before():
+    end = re.compile(r"(?<=[.!?…])\s+(?=[^\W\d_])|(?<=[。！？])\s*")
+    rng = np.random.default_rng(1)
+    for _ in range(5_000):
+        line = "".join(rng.choice(list("aBЯ .!?…。！？\t　一12_’"), rng.integers(40)))
+        assert [s for s, _ in residue.sentences(line)] == [y for x in end.split(line) if (y := x.strip())]
